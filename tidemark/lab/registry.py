@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.lab import analyses
+from tidemark.lab import analyses, ingest, planning
 
 
 def registered() -> dict:
-    return {**analyses.QUERIES}
+    return {**analyses.QUERIES, **ingest.QUERIES, **planning.QUERIES}

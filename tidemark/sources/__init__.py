@@ -7,7 +7,7 @@ from tidemark.sources.exports import (
     read_export,
     read_lines,
     reconcile_counts,
-    rejected_files,
+    rejected_exports,
 )
 from tidemark.sources.pages import EntityNotFound, check_pages, find_entity, read_pages
 from tidemark.sources.snapshots import SnapshotStore
@@ -27,6 +27,6 @@ __all__ = [
     "read_pages",
     "read_statement",
     "reconcile_counts",
-    "rejected_files",
+    "rejected_exports",
     "split_valid",
 ]

@@ -50,7 +50,7 @@ def _column(spec: TableSpec, field: T.StructField, checked: set[str]) -> Column:
 
 def _faults(spec: TableSpec, checked: set[str]) -> Column:
     """Array of messages, empty for a good row."""
-    found = [F.when(F.col("_row").isNull() | F.col("_row")[BAD].isNotNull(), "undecodable")]
+    found = []
     for field in spec.fields:
         name, wire = field.name, F.col("_row")[spec.source_name(field.name)]
         is_variant = name in checked or field.dataType == T.DateType()
@@ -62,7 +62,9 @@ def _faults(spec: TableSpec, checked: set[str]) -> Column:
             found.append(F.when(bad_day, f"{name}: not a date"))
         elif name in checked:
             found.append(F.when(~absent & _text(wire).isNull(), f"{name}: not text"))
-    return F.array_compact(F.array(*found))
+    undecodable = F.col("_row").isNull() | F.col("_row")[BAD].isNotNull()
+    alone = F.array(F.lit("undecodable"))
+    return F.when(undecodable, alone).otherwise(F.array_compact(F.array(*found)))
 
 
 def decode_rows(rows: DataFrame, spec: TableSpec, text: str = "value") -> DataFrame:

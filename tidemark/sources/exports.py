@@ -62,7 +62,7 @@ def read_export(
     return only_ids(rows, ids, noun_id)
 
 
-def reconcile_counts(rows: DataFrame, manifest: DataFrame, by: str = "file") -> DataFrame:
+def reconcile_counts(rows: DataFrame, manifest: DataFrame, by: str = "export") -> DataFrame:
     """Exports whose declared row count differs from the rows found; empty when all agree.
 
     ``manifest`` has (``by``, expected). An export without a manifest line has no declared
@@ -75,7 +75,7 @@ def reconcile_counts(rows: DataFrame, manifest: DataFrame, by: str = "file") ->
     )
 
 
-def rejected_files(decoded: DataFrame, by: str = "file") -> DataFrame:
+def rejected_exports(decoded: DataFrame, by: str = "export") -> DataFrame:
     """Exports holding at least one bad row, with the number of bad rows."""
     bad = F.count_if(F.size("faults") > 0)
     return decoded.groupBy(by).agg(bad.alias("bad_rows")).where(F.col("bad_rows") > 0)
