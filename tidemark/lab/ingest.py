@@ -19,7 +19,7 @@ from tidemark.operators import attribution, quality, retention
 from tidemark.operators.upsert import latest_by_key, upsert
 from tidemark.plans.requests import numbered
 from tidemark.schemas import TableSpec, campaign_specs, link_specs
-from tidemark.session import scratch_dir
+from tidemark.session import pinned, scratch_dir
 from tidemark.sources import (
     SnapshotStore,
     check_pages,
@@ -33,7 +33,7 @@ from tidemark.sources import (
 )
 from tidemark.sources.decode import decode_rows, split_valid
 from tidemark.sources.pages import created_days
-from tidemark.streaming import late_split, stream_exports
+from tidemark.streaming import on_time, stream_exports
 
 CAMPAIGNS = campaign_specs()
 BREAKDOWN, ENGAGEMENT = CAMPAIGNS["breakdown"], CAMPAIGNS["engagement"]
@@ -168,7 +168,8 @@ def key_validation(spark: SparkSession, sf: str) -> DataFrame:
     unquoted = F.regexp_replace(text, r'"campaign_id":"(\d+)"', r'"campaign_id":$1')
     value = F.when(numeric, unquoted).otherwise(text).alias("value")
     path = land(rows.select(value, "ship_month"), "keys")
-    good, aside = split_valid(decode_rows(read_lines(spark, path), BREAKDOWN))
+    decoded = pinned(decode_rows(read_lines(spark, path), BREAKDOWN), "decoded")
+    good, aside = split_valid(decoded)
     bad = aside.select(F.explode("faults").alias("fault")).groupBy("fault").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
@@ -575,15 +576,13 @@ FROM keys GROUP BY ALL"""
 
 
 def late_rows(spark: SparkSession, sf: str) -> DataFrame:
-    fresh, late = late_split(views.lines(spark, sf), "report_date", views.AS_OF)
-    sums = [
+    day = F.col("report_date")
+    part = F.when(on_time(day, views.AS_OF), "fresh").otherwise("late").alias("part")
+    return views.lines(spark, sf).groupBy(part).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min("report_date").alias("first_day"),
-        F.max("report_date").alias("last_day"),
-    ]
-    named = {"fresh": fresh, "late": late}
-    parts = [rows.agg(F.lit(name).alias("part"), *sums) for name, rows in named.items()]
-    return parts[0].unionByName(parts[1])
+        F.min(day).alias("first_day"),
+        F.max(day).alias("last_day"),
+    )
 
 
 LATE_SPLIT = f"""{_ROWS}

@@ -32,9 +32,13 @@ def statement_monthly(statement: DataFrame) -> DataFrame:
 
 
 def revenue_rate(statement: DataFrame, currency: str = "USD") -> DataFrame:
-    """Revenue per stream by recording and month; null where nothing was streamed."""
+    """Revenue per stream by recording and month; null where nothing was streamed.
+
+    Grouped by currency as well, which adds no rows: a join on (isrc, month) then has a shuffle
+    of its own, and adaptive execution can split a recording that most campaigns touched.
+    """
     rows = statement.where(F.col("currency") == currency)
-    sums = rows.groupBy("isrc", "month").agg(
+    sums = rows.groupBy("isrc", "month", "currency").agg(
         F.sum(money(F.col("revenue"))).alias("revenue"), F.sum("streams").alias("streams")
     )
     rate = ratio(F.col("revenue"), F.col("streams"))
@@ -148,7 +152,8 @@ def noise_cut(rows: DataFrame, windows: DataFrame, min_share: float = 0.05) -> D
             F.sum(in_bucket[OTHER]).alias("other"),
             F.max("first_day").alias("first_day"),
             F.max("last_day").alias("last_day"),
-        )
+        ),
+        "bucket-totals",
     )
     promoted = per_track.groupBy(CAMPAIGN).agg(
         F.sum("promoted").alias("promoted_streams"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import ratio, round_half_away
@@ -24,11 +24,6 @@ def cohort_days(events: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _streams_on(day: Column) -> Column:
-    same_day = F.filter("later", lambda a: a[DAY] == day)
-    return F.coalesce(F.get(same_day["streams"], F.lit(0)), F.lit(0).cast("bigint"))
-
-
 def cohort_retention(
     events: DataFrame, as_of: date, *keys: str, days: int = RETENTION_DAYS
 ) -> DataFrame:
@@ -36,30 +31,27 @@ def cohort_retention(
 
     A user belongs to the day of the first joining event. ``returned_on_day_N`` counts users
     whose first return is day N, so ``retention_by_day_N`` (returns up to N over the cohort)
-    never exceeds one. All three are null until day N has passed at ``as_of``. A user's active
-    days are folded into one row; the calendar bounds their number, not the events.
+    never exceeds one. All three are null until day N has passed at ``as_of``. The window over a
+    user sees one row per active day, so the calendar bounds it, not the events.
     """
-    per_day = cohort_days(events, *keys)
-    offset = F.date_diff(F.col(DAY), F.col("cohort_date"))
-    per_user = per_day.groupBy(*keys, USER).agg(
-        F.min(F.when(F.col("joins"), F.col(DAY))).alias("cohort_date"),
-        F.array_agg(F.struct(DAY, "streams")).alias("active"),
+    joined = F.min(F.when(F.col("joins"), F.col(DAY))).over(Window.partitionBy(*keys, USER))
+    since = F.date_diff(F.col(DAY), F.col("cohort_date"))
+    active = cohort_days(events, *keys).withColumn("cohort_date", joined)
+    near = active.withColumn("_n", since).where(F.col("_n").between(0, days))
+    numbers = range(1, days + 1)
+    on_day = {n: F.when(F.col("_n") == n, F.col("streams")).otherwise(0) for n in numbers}
+    per_user = near.groupBy(*keys, USER, "cohort_date").agg(
+        F.min(F.when(F.col("_n") > 0, F.col("_n"))).alias("first_return"),
+        *[F.sum(on_day[n]).alias(f"_streams_{n}") for n in numbers],
     )
-    members = per_user.where(F.col("cohort_date").isNotNull())
-    first, last = F.date_add("cohort_date", 1), F.date_add("cohort_date", days)
-    later = F.filter("active", lambda a: a[DAY].between(first, last))
-    placed = members.withColumn("later", later).withColumn(
-        "first_return", F.date_diff(F.array_min(F.col("later")[DAY]), F.col("cohort_date"))
+    cohorts = per_user.groupBy(*keys, "cohort_date").agg(
+        F.count(F.lit(1)).alias("cohort_size"),
+        *[F.count_if(F.col("first_return") == n).alias(f"_returned_{n}") for n in numbers],
+        *[F.sum(f"_streams_{n}").alias(f"_streams_{n}") for n in numbers],
     )
-    sums = [F.count(F.lit(1)).alias("cohort_size")]
-    for n in range(1, days + 1):
-        on_day = _streams_on(F.date_add("cohort_date", n))
-        sums.append(F.count_if(F.col("first_return") == n).alias(f"_returned_{n}"))
-        sums.append(F.sum(on_day).alias(f"_streams_{n}"))
-    cohorts = placed.groupBy(*keys, "cohort_date").agg(*sums)
     columns = []
     returned = F.lit(0)
-    for n in range(1, days + 1):
+    for n in numbers:
         passed = F.date_add("cohort_date", n) < F.lit(as_of)
         returned = returned + F.col(f"_returned_{n}")
         share = round_half_away(ratio(returned, F.col("cohort_size")), 4)

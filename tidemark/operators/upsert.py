@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.schemas import TableSpec
-from tidemark.session import scratch_dir
+from tidemark.session import discard, scratch_dir
 from tidemark.sources.snapshots import SnapshotStore, evolve, with_period
 
 LINE_ORDER = ("file", "block", "line")
-BROADCAST_KEYS = 2_000_000
+BROADCAST_KEYS = 500_000
 
 
 def latest_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -70,13 +70,12 @@ def upsert(
     staged_rows = evolve(with_period(last, spec), columns, keep=("period",))
     staged_rows.write.parquet(staging)
     rows = given.get["rows"]
-    if rows == 0:
-        return 0
-
-    staged = spark.read.parquet(staging)
-    touched = staged.groupBy("period").count().collect()
-    base = store.version(spec)
-    target = store.read(spec, [row["period"] for row in touched], with_period=True)
-    merged = merge_rows(target, staged, spec.key, sum(row["count"] for row in touched))
-    store.write_periods(spec, merged, base)
+    if rows:
+        staged = spark.read.schema(staged_rows.schema).parquet(staging)
+        touched = staged.groupBy("period").count().collect()
+        base = store.version(spec)
+        target = store.read(spec, [row["period"] for row in touched], with_period=True)
+        merged = merge_rows(target, staged, spec.key, sum(row["count"] for row in touched))
+        store.write_periods(spec, merged, base)
+    discard(spark, staging)
     return rows

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.windows import LOOKBACK_DAYS, batch_windows, metric_windows
+from tidemark.plans.windows import LOOKBACK_DAYS, batch_ranges, windows_of
 from tidemark.session import pinned
 
 BATCH_SIZE = 50
@@ -28,7 +28,7 @@ def numbered(rows: DataFrame, *order: str | Column, ranges: int = RANGES) -> Dat
     not depend on the data.
     """
     ranged = rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
-    stored = pinned(ranged)
+    stored = pinned(ranged, "ranged")
     sizes = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -46,23 +46,18 @@ def id_batches(rows: DataFrame, *order: str | Column, size: int = BATCH_SIZE) ->
     return numbered(rows, *order).withColumn("batch", batch).drop("position")
 
 
-def _with_kinds(windows: DataFrame, kinds: list[str]) -> DataFrame:
-    each = F.explode(F.array(*[F.lit(kind) for kind in kinds]))
-    return windows.withColumn("kind", each).withColumn("status", F.lit(PLANNED))
-
-
-def _plan(entities: DataFrame, windows: DataFrame, by: str, kinds: list[str]) -> DataFrame:
-    """Requests of the windows, and one skipped row per entity that has none."""
-    columns = [by, "window_start", "window_end", "kind", "status"]
-    planned = _with_kinds(windows, kinds).select(*columns)
-    idle = entities.join(windows.select(by), by, "left_anti").select(by)
-    none = {
-        "window_start": F.lit(None).cast("date"),
-        "window_end": F.lit(None).cast("date"),
-        "kind": F.lit(None).cast("string"),
-        "status": F.lit(SKIPPED),
-    }
-    return planned.unionByName(idle.withColumns(none).select(*columns))
+def _requests(windows: Column, kinds: list[str]) -> list[Column]:
+    """Window, kind and status columns: a request per kind, or one skipped row without windows."""
+    return [
+        windows["window_start"].alias("window_start"),
+        windows["window_end"].alias("window_end"),
+        F.explode(
+            F.when(windows.isNull(), F.array(F.lit(None).cast("string"))).otherwise(
+                F.array(*[F.lit(kind) for kind in kinds])
+            )
+        ).alias("kind"),
+        F.when(windows.isNull(), SKIPPED).otherwise(PLANNED).alias("status"),
+    ]
 
 
 def plan_campaign_requests(
@@ -72,9 +67,13 @@ def plan_campaign_requests(
     days: int = LOOKBACK_DAYS,
     by: str = "campaign_id",
 ) -> DataFrame:
-    """Breakdown and engagement per campaign and window; skipped campaigns count as complete."""
-    windows = metric_windows(campaigns.select(by, "created_date"), mode, as_of, days)
-    return _plan(campaigns, windows, by, ["breakdown", "engagement"])
+    """Breakdown and engagement per campaign and window; skipped campaigns count as complete.
+
+    One pass over the entities: a campaign without a window keeps one row that says so.
+    """
+    windows = F.explode_outer(windows_of(F.col("created_date"), mode, as_of, days))
+    spread = campaigns.select(by, windows.alias("_window"))
+    return spread.select(by, *_requests(F.col("_window"), ["breakdown", "engagement"]))
 
 
 def plan_link_requests(
@@ -84,10 +83,12 @@ def plan_link_requests(
 
     ``members`` has (``by``, created_date, batch). Batch requests have a null member.
     """
-    windows = batch_windows(members, mode, as_of, days)
-    shared = _plan(members.select("batch").distinct(), windows, "batch", ["breakdown", "retention"])
+    batches = batch_ranges(members, mode, as_of, days)
+    spread = batches.select("batch", F.explode_outer("windows").alias("_window"))
+    shared = spread.select("batch", *_requests(F.col("_window"), ["breakdown", "retention"]))
     shared = shared.withColumn(by, F.lit(None).cast(members.schema[by].dataType))
-    ranges = windows.select("batch", "window_start", "window_end")
-    single = members.select(by, "batch").join(ranges, "batch")
+    single = members.select(by, "batch").join(
+        batches.select("batch", F.inline("windows")), "batch"
+    )
     single = single.withColumns({"kind": F.lit("engagement"), "status": F.lit(PLANNED)})
     return shared.unionByName(single)

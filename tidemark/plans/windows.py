@@ -45,38 +45,53 @@ def slice_ranges(
     return ranges.select(*rest, F.inline(slices(checked, F.col(end), max_days)))
 
 
-def lookback_windows(
-    entities: DataFrame, as_of: date, days: int = LOOKBACK_DAYS, created: str = "created_date"
-) -> DataFrame:
-    """The lookback per entity, not before it was created; none if created after ``as_of``."""
-    start, end = lookback_range(as_of, days)
-    windows = entities.withColumn("window_start", F.greatest(F.lit(start), F.col(created)))
-    windows = windows.withColumn("window_end", F.lit(end))
-    return windows.where(F.col("window_start") <= F.col("window_end"))
-
+def windows_of(
+    created: Column, mode: str, as_of: date, days: int = LOOKBACK_DAYS, max_days: int = MAX_DAYS
+) -> Column:
+    """Array of windows for an entity created on a day; empty when it has none yet.
 
-def backfill_windows(
-    entities: DataFrame, as_of: date, max_days: int = MAX_DAYS, created: str = "created_date"
-) -> DataFrame:
-    """Slices from creation to ``as_of`` per entity; none if created later."""
-    existing = entities.where(F.col(created) <= F.lit(as_of)).withColumn("_end", F.lit(as_of))
-    kept = existing.withColumn("_start", F.col(created))
-    return slice_ranges(kept, "_start", "_end", max_days)
+    Incremental: the lookback, not before creation. Full: slices from creation to ``as_of``.
+    """
+    end = F.lit(as_of)
+    if mode == "incremental":
+        first, _ = lookback_range(as_of, days)
+        start = F.greatest(F.lit(first), created)
+        windows = F.array(F.struct(start.alias("window_start"), end.alias("window_end")))
+    elif mode == "full":
+        start = created
+        windows = slices(F.least(created, end), end, max_days)
+    else:
+        raise ValueError(f"unknown mode: {mode}")
+    none = F.array().cast("array<struct<window_start:date,window_end:date>>")
+    return F.when(start <= end, windows).otherwise(none)
 
 
 def metric_windows(
-    entities: DataFrame, mode: str, as_of: date, days: int = LOOKBACK_DAYS
+    entities: DataFrame,
+    mode: str,
+    as_of: date,
+    days: int = LOOKBACK_DAYS,
+    max_days: int = MAX_DAYS,
 ) -> DataFrame:
-    """Windows of each entity for an incremental or full run."""
-    if mode == "incremental":
-        return lookback_windows(entities, as_of, days)
-    return backfill_windows(entities, as_of)
+    """One row per entity and window; entities without a window have none."""
+    windows = windows_of(F.col("created_date"), mode, as_of, days, max_days)
+    return entities.select("*", F.inline(windows))
 
 
-def batch_windows(
+def lookback_windows(entities: DataFrame, as_of: date, days: int = LOOKBACK_DAYS) -> DataFrame:
+    """The lookback per entity, not before it was created; none if created after ``as_of``."""
+    return metric_windows(entities, "incremental", as_of, days)
+
+
+def backfill_windows(entities: DataFrame, as_of: date, max_days: int = MAX_DAYS) -> DataFrame:
+    """Slices from creation to ``as_of`` per entity; none if created later."""
+    return metric_windows(entities, "full", as_of, max_days=max_days)
+
+
+def batch_ranges(
     members: DataFrame, mode: str, as_of: date, days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    """Windows shared by the members of a batch.
+    """One row per batch with its members, earliest creation and array of shared windows.
 
     Incremental runs take the plain lookback, whatever the creation dates (also for a single
     entity); full runs start at the batch's earliest creation.
@@ -84,7 +99,13 @@ def batch_windows(
     batches = members.groupBy("batch").agg(
         F.min("created_date").alias("created_date"), F.count(F.lit(1)).alias("members")
     )
-    if mode == "incremental":
-        start, end = lookback_range(as_of, days)
-        return batches.withColumns({"window_start": F.lit(start), "window_end": F.lit(end)})
-    return backfill_windows(batches, as_of)
+    floor = F.lit(date(1970, 1, 1)) if mode == "incremental" else F.col("created_date")
+    return batches.withColumn("windows", windows_of(floor, mode, as_of, days))
+
+
+def batch_windows(
+    members: DataFrame, mode: str, as_of: date, days: int = LOOKBACK_DAYS
+) -> DataFrame:
+    """One row per batch and shared window."""
+    batches = batch_ranges(members, mode, as_of, days)
+    return batches.select("batch", "created_date", "members", F.inline("windows"))

@@ -48,10 +48,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), "tidemark", f"{name}-{uuid.uuid4().hex}")
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """Store a reduced result that several branches read, so the facts are scanned once.
+def pinned(df: DataFrame, name: str = "pinned") -> DataFrame:
+    """Write a reduced result that several branches read, so the facts are scanned once.
 
-    Reliable checkpoint: the rows outlive lost executors.
+    A Parquet table on shared storage: it outlives lost executors, branches read only the
+    columns they need, and its size on disk tells Spark whether it may be broadcast.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that is no longer read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

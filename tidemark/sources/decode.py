@@ -75,7 +75,9 @@ def decode_rows(rows: DataFrame, spec: TableSpec, text: str = "value") -> DataFr
     """
     checked = _checked_text(spec)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
-    parsed = rows.withColumn("_row", F.from_json(text, _wire_schema(spec), options))
+    # One-element explode: filters on the result stay above it, so each text is parsed once.
+    once = F.explode(F.array(F.from_json(text, _wire_schema(spec), options)))
+    parsed = rows.withColumn("_row", once)
     others = [name for name in rows.columns if name != text]
     return parsed.select(
         *[_column(spec, field, checked) for field in spec.fields],

@@ -13,6 +13,7 @@ only unreferenced folders.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterable
 
@@ -151,6 +152,27 @@ class SnapshotStore:
         whole = with_period(rows, spec)
         self.write_periods(spec, whole, self.version(spec), keep_others=False)
 
+    def expire(self, spec: TableSpec, keep: int = 2, older_than_hours: float = 24.0) -> list[str]:
+        """Delete data folders that none of the ``keep`` newest snapshots uses.
+
+        Young folders stay: a running write may be about to publish them.
+        """
+        newest = self.version(spec)
+        used = set()
+        for version in range(max(1, newest - keep + 1), newest + 1):
+            used.update(self._snapshot(spec, version)["periods"].values())
+        data = self._path(spec.name, "data")
+        if not self._fs().exists(data):
+            return []
+        oldest_kept = (time.time() - older_than_hours * 3600) * 1000
+        gone = []
+        for status in self._fs().listStatus(data):
+            token = status.getPath().getName().removeprefix("write=")
+            if token not in used and status.getModificationTime() < oldest_kept:
+                self._fs().delete(status.getPath(), True)
+                gone.append(token)
+        return gone
+
     def _written_periods(self, folder: str) -> list[int]:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         names = [status.getPath().getName() for status in self._fs().listStatus(path)]

@@ -1,5 +1,5 @@
 """Continuous ingest of dropped export files."""
 
-from tidemark.streaming.ingest import late_split, stream_exports
+from tidemark.streaming.ingest import late_split, on_time, stream_exports
 
-__all__ = ["late_split", "stream_exports"]
+__all__ = ["late_split", "on_time", "stream_exports"]

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.upsert import upsert
 from tidemark.plans.windows import LOOKBACK_DAYS, lookback_range
 from tidemark.schemas import TableSpec
+from tidemark.session import discard, scratch_dir
 from tidemark.sources.decode import decode_rows
 from tidemark.sources.snapshots import SnapshotStore
 
@@ -43,8 +44,9 @@ def stream_exports(
     """Upsert all files dropped below ``path`` since the last run, then stop.
 
     Rows replace stored rows, so nothing is summed in state and a replayed micro-batch gives
-    the same table. Faulty and late rows are set aside per micro-batch below
-    ``<root>/<table>/aside``; a replay overwrites them.
+    the same table. Each micro-batch is parsed once into a staged table. Faulty and late rows
+    stay below ``<root>/<table>/aside/<checkpoint name>``, a folder per micro-batch that a replay
+    overwrites.
     """
     lines = (
         spark.readStream.format("text")
@@ -58,19 +60,22 @@ def stream_exports(
         )
         .where(F.trim("value") != "")
     )
+    name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         now = clock()
         numbered = batch.withColumn("line", F.monotonically_increasing_id())
-        decoded = decode_rows(numbered, spec)
-        aside = f"{store.root}/{spec.name}/aside/batch={batch_id}"
-        good = F.size("faults") == 0
         fresh = on_time(F.col(spec.day), now.date(), days) if spec.day else F.lit(True)
-        reason = F.when(~good, "faulty").when(~fresh, "late")
-        judged = decoded.withColumn("reason", reason)
-        judged.where(F.col("reason").isNotNull()).write.mode("overwrite").parquet(aside)
+        reason = F.when(F.size("faults") > 0, "faulty").when(~fresh, "late")
+        staging = scratch_dir(spark, "micro-batch")
+        decode_rows(numbered, spec).withColumn("reason", reason).write.parquet(staging)
+        judged = spark.read.parquet(staging)
+        aside = judged.where(F.col("reason").isNotNull())
+        folder = f"{store.root}/{spec.name}/aside/{name}/batch={batch_id}"
+        aside.write.mode("overwrite").parquet(folder)
         accepted = judged.where(F.col("reason").isNull()).drop("faults", "reason")
         upsert(store, spec, accepted, now, order=("landed", "file", "block", "line"))
+        discard(spark, staging)
 
     writer = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
