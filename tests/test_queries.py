@@ -42,3 +42,13 @@ def test_query_matches_its_sql(spark, sql, name):
 
 def test_entry(spark):
     assert contract.entry(spark).limit(1).count() == 1
+
+
+def test_one_campaign_reaches_the_scans(spark):
+    df = contract.queries()["attributed_share_playlist"](spark, str(SF)).where("campaign_id = 3")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    filtered = [line for line in scans if "EqualTo(l_suppkey,3)" in line]
+    assert len(filtered) == 2 and len(scans) == 3
+    assert df.count() > 0
+    assert not [line for line in scans if "l_tax" in line]

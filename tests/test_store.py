@@ -279,3 +279,111 @@ def test_stream_ingest_and_replay(spark, store, tmp_path):
     before = sorted(map(str, store.read(SPEC).collect()))
     run("two")
     assert sorted(map(str, store.read(SPEC).collect())) == before
+
+
+def export(folder, kind, *parts, lines):
+    target = folder / kind
+    for part in parts:
+        target = target / part
+    target.mkdir(parents=True)
+    return land(target, "rows.jsonl", *lines)
+
+
+def link_item(name, created="2026-08-01T10:00:00Z"):
+    return {
+        "linkId": name, "organizationId": "o", "name": name, "url": "u", "status": "active",
+        "createdAt": created,
+    }
+
+
+def link_line(spec, name, **changes):
+    values = {column: "x" for column in spec.key}
+    return {**values, spec.day: "2026-08-27", "link_id": name, "streams": 1, **changes}
+
+
+def test_link_run_end_to_end(spark, store, tmp_path):
+    from test_ingest import write_pages
+
+    specs = link_specs()
+    names = ["a", "b", "c", "d"]
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    future = link_item("later", "2026-08-29T00:00:00Z")
+    write_pages(landing / "entities", {1: [link_item(n) for n in names[:2]],
+                                       2: [link_item(n) for n in names[2:]], 3: [future]}, 5)
+    window = "window=2026-08-19"
+    breakdown, engaged, cohort = specs["breakdown"], specs["engagement"], specs["retention"]
+    export(landing, "breakdown", "batch=0", window, lines=[link_line(breakdown, n) for n in "ab"])
+    export(landing, "breakdown", "batch=1", window,
+           lines=[link_line(breakdown, "c"), {"provider": "x"}])
+    export(landing, "retention", "batch=0", window, lines=[link_line(cohort, "a", cohort_date="?")])
+    for batch_id, name in (("0", "a"), ("1", "c"), ("1", "d")):
+        export(landing, "engagement", f"batch={batch_id}", f"entity={name}", window,
+               lines=[link_line(engaged, name)])
+    failed = {"kind": "engagement", "batch": "0", "entity_id": "b", "window_start": "2026-08-19",
+              "status": 500, "message": "gone"}
+    land(landing / "errors", "e.jsonl", failed)
+
+    args = (store, "links", specs, str(landing), "full", NOW.date(), NOW)
+    report = jobs.sync_landing(*args)
+    assert not report.finished
+    found = {r["entity_id"]: r["completed"] for r in report.outcome.collect()}
+    assert found == {"a": True, "b": False, "later": True}
+    assert store.read(specs["entities"]).count() == 5
+    assert sorted(r["link_id"] for r in store.read(breakdown).collect()) == ["a", "b"]
+    assert [r["link_id"] for r in store.read(engaged).collect()] == ["a"]
+    assert store.read(cohort).count() == 0
+    progress = jobs.completed_ids(store, "links", "full", NOW.date())
+    assert sorted(r["entity_id"] for r in progress.collect()) == ["a", "later"]
+
+    (landing / "errors" / "e.jsonl").write_text("")
+    (landing / "breakdown" / "batch=1" / window / "rows.jsonl").write_text(
+        json.dumps(link_line(breakdown, "c")) + "\n"
+    )
+    export(landing, "engagement", "batch=0", "entity=b", window, lines=[link_line(engaged, "b")])
+    again = jobs.sync_landing(*args)
+    assert again.finished
+    last = store.read(LAST_SYNC).first()
+    assert (last["sync_key"], last["entities"], last["soft_error_count"]) == ("last_sync_links", 5, 1)
+    assert (last["breakdown_rows"], last["engagement_rows"]) == (3, 4)
+    assert jobs.completed_ids(store, "links", "full", NOW.date()).count() == 0
+
+
+def test_campaign_run_end_to_end(spark, store, tmp_path):
+    from test_ingest import campaign, write_pages
+
+    specs = campaign_specs()
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    write_pages(landing / "entities", {1: [campaign(1), campaign(2)]}, 2)
+    for start, day in (("2026-01-15", "2026-02-01"), ("2026-04-15", "2026-05-01")):
+        for name in ("c1", "c2"):
+            lines = [breakdown_line(campaign_id=name, report_date=day)]
+            if (name, start) == ("c2", "2026-04-15"):
+                lines.append({"provider": "demo"})
+            export(landing, "breakdown", f"entity={name}", f"window={start}", lines=lines)
+    report = jobs.sync_landing(
+        store, "campaigns", specs, str(landing), "full", date(2026, 6, 1), NOW
+    )
+    assert not report.finished
+    assert {r["entity_id"]: r["completed"] for r in report.outcome.collect()} == {
+        "c1": True,
+        "c2": False,
+    }
+    loaded = store.read(specs["breakdown"]).select("campaign_id", "report_date").collect()
+    assert sorted((r[0], str(r[1])) for r in loaded) == [
+        ("c1", "2026-02-01"),
+        ("c1", "2026-05-01"),
+        ("c2", "2026-02-01"),
+    ]
+
+
+def test_statement_table_is_replaced_whole(spark, store, tmp_path):
+    from samples import write_statement
+    from tidemark.schemas import STATEMENT
+
+    path = write_statement(tmp_path / "s.csv")
+    for _ in range(2):
+        jobs.load_statement_table(store, path, NOW)
+        rows = store.read(STATEMENT)
+        assert (rows.count(), rows.agg(F.sum("streams")).first()[0]) == (14, 32330)

@@ -302,10 +302,7 @@ WHERE CAST(l_shipdate AS DATE) >= DATE '2001-07-27' - INTERVAL 30 DAY GROUP BY A
 
 def date_spine(spark: SparkSession, sf: str) -> DataFrame:
     spend = windows.spend_window(views.lines(spark, sf))
-    days = F.explode(F.sequence("first_day", "last_day")).alias("report_date")
-    spine = spend.select("campaign_id", days).withColumn(
-        "country_code", F.explode(F.array(F.lit("US"), F.lit("DE")))
-    )
+    spine = windows.date_spine(spend, ("US", "DE"))
     month = month_of(F.col("report_date")).alias("month")
     return spine.groupBy("campaign_id", "country_code", month).agg(
         F.count(F.lit(1)).alias("days")

@@ -244,3 +244,11 @@ def promoted_vs_other(engagement: DataFrame, country_daily: DataFrame) -> DataFr
         F.sum("streams").alias("campaign_streams"),
     )
     return rows.orderBy(CAMPAIGN, "bucket", F.desc("campaign_streams"), "isrc")
+
+
+REPORT_ORDER = (CAMPAIGN, "bucket", "position_band", "period", "isrc", "month")
+
+
+def as_report(rows: DataFrame) -> DataFrame:
+    """Sort an analysis the way it is read: by campaign, group, recording and month."""
+    return rows.orderBy(*[name for name in REPORT_ORDER if name in rows.columns])

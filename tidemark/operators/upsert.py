@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.schemas import TableSpec
@@ -16,20 +16,16 @@ LINE_ORDER = ("file", "block", "line")
 BROADCAST_KEYS = 500_000
 
 
-def latest_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def latest_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per key in the given order; the other columns break ties.
 
     A maximum, not a ranking window: copies of one key shrink to one row in every task before
     the shuffle, so a key repeated over a third of the batch is no hot spot.
     """
-    payload = [name for name in rows.columns if name not in key]
-    rank = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranked = F.struct(
-        *[column.alias(f"_order{i}") for i, column in enumerate(rank)],
-        *[F.col(name) for name in payload],
-    )
+    payload = [name for name in rows.columns if name not in (*key, *order)]
+    ranked = F.struct(*order, *payload)
     last = rows.groupBy(*key).agg(F.max(ranked).alias("_last"))
-    return last.select(*[F.col("_last")[c].alias(c) if c in payload else c for c in rows.columns])
+    return last.select(*[c if c in key else F.col("_last")[c].alias(c) for c in rows.columns])
 
 
 def merge_rows(

@@ -45,6 +45,13 @@ def total_spend(country_daily: DataFrame, by: str = CAMPAIGN) -> DataFrame:
     return country_daily.groupBy(by).agg(F.sum(money(F.col("spend_total"))).alias("spend_usd"))
 
 
+def date_spine(windows: DataFrame, countries: Sequence[str], by: str = CAMPAIGN) -> DataFrame:
+    """One row per day of each window and country, for reports that must not skip days."""
+    days = windows.select(by, F.explode(F.sequence("first_day", "last_day")).alias("report_date"))
+    every = F.explode(F.array(*[F.lit(country) for country in countries]))
+    return days.withColumn("country_code", every)
+
+
 def within_window(
     daily: DataFrame, windows: DataFrame, spread_by: Sequence[str], by: str = CAMPAIGN
 ) -> DataFrame:

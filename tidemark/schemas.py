@@ -185,6 +185,18 @@ STATEMENT_FIELDS = _struct(
     "revenue double, currency string"
 )
 
+# Several lines may share a recording, month and country: this table is only replaced whole.
+STATEMENT = TableSpec(
+    "distributor_monthly",
+    ("isrc", "month", "country_code"),
+    _struct(
+        "isrc string, month date, country_code string, streams bigint, revenue double, "
+        "currency string"
+    ),
+    ("isrc", "month"),
+    day="month",
+)
+
 PROGRESS = TableSpec(
     "sync_progress",
     ("run_key", "entity_id"),
