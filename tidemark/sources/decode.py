@@ -29,39 +29,47 @@ def _wire_schema(spec: TableSpec) -> T.StructType:
     return T.StructType([*fields, T.StructField(BAD, T.StringType())])
 
 
-def _text(value: Column) -> Column:
-    return F.when(
-        F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")
-    )
+def _variants(spec: TableSpec) -> list[T.StructField]:
+    checked = _checked_text(spec)
+    return [f for f in spec.fields if f.name in checked or f.dataType == T.DateType()]
 
 
-def _absent(value: Column) -> Column:
-    return value.isNull() | F.is_variant_null(value)
+def _with_texts(parsed: DataFrame, spec: TableSpec) -> DataFrame:
+    """Adds JSON type and text of every checked field, each read once per row."""
+    added = {}
+    for field in _variants(spec):
+        value = F.col("_row")[spec.source_name(field.name)]
+        kind = F.schema_of_variant(value)
+        text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
+        added[f"_kind_{field.name}"] = kind
+        added[f"_text_{field.name}"] = text
+    return parsed.withColumns(added)
 
 
 def _column(spec: TableSpec, field: T.StructField, checked: set[str]) -> Column:
-    wire = F.col("_row")[spec.source_name(field.name)]
     if field.name in checked:
-        wire = _text(wire)
-    elif field.dataType == T.DateType():
-        wire = iso_date(_text(wire))
-    return wire.alias(field.name)
+        return F.col(f"_text_{field.name}").alias(field.name)
+    if field.dataType == T.DateType():
+        return iso_date(F.col(f"_text_{field.name}")).alias(field.name)
+    return F.col("_row")[spec.source_name(field.name)].alias(field.name)
 
 
 def _faults(spec: TableSpec, checked: set[str]) -> Column:
     """Array of messages, empty for a good row."""
     found = []
     for field in spec.fields:
-        name, wire = field.name, F.col("_row")[spec.source_name(field.name)]
-        is_variant = name in checked or field.dataType == T.DateType()
-        absent = _absent(wire) if is_variant else wire.isNull()
+        name = field.name
+        if name in checked or field.dataType == T.DateType():
+            kind, text = F.col(f"_kind_{name}"), F.col(f"_text_{name}")
+            absent = F.coalesce(kind, F.lit("VOID")) == "VOID"
+        else:
+            absent = F.col("_row")[spec.source_name(name)].isNull()
         if name in spec.required:
             found.append(F.when(absent, f"{name}: missing"))
         if field.dataType == T.DateType():
-            bad_day = ~absent & iso_date(_text(wire)).isNull()
-            found.append(F.when(bad_day, f"{name}: not a date"))
+            found.append(F.when(~absent & iso_date(text).isNull(), f"{name}: not a date"))
         elif name in checked:
-            found.append(F.when(~absent & _text(wire).isNull(), f"{name}: not text"))
+            found.append(F.when(~absent & text.isNull(), f"{name}: not text"))
     undecodable = F.col("_row").isNull() | F.col("_row")[BAD].isNotNull()
     alone = F.array(F.lit("undecodable"))
     return F.when(undecodable, alone).otherwise(F.array_compact(F.array(*found)))
@@ -77,7 +85,7 @@ def decode_rows(rows: DataFrame, spec: TableSpec, text: str = "value") -> DataFr
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
     # One-element explode: filters on the result stay above it, so each text is parsed once.
     once = F.explode(F.array(F.from_json(text, _wire_schema(spec), options)))
-    parsed = rows.withColumn("_row", once)
+    parsed = _with_texts(rows.withColumn("_row", once), spec)
     others = [name for name in rows.columns if name != text]
     return parsed.select(
         *[_column(spec, field, checked) for field in spec.fields],
