@@ -74,6 +74,8 @@ def test_untouched_periods_keep_their_files(spark, store):
     days = store.read_days(SPEC, date(2026, 4, 1), date(2026, 4, 30))
     assert [str(r["report_date"]) for r in days.collect()] == ["2026-04-01"]
     assert all("period=202604" in name for name in days.inputFiles())
+    assert store.read_days(SPEC, start=date(2026, 4, 1)).count() == 1
+    assert store.read_days(SPEC, end=date(2026, 3, 31)).count() == 1
 
 
 def test_partition_by_day(spark, store):
@@ -83,6 +85,15 @@ def test_partition_by_day(spark, store):
     assert set(store._snapshot(daily, store.version(daily))["periods"]) == {"20260401", "20260402"}
 
 
+def test_a_table_keeps_its_grain(spark, store):
+    upsert(store, SPEC, batch(spark, breakdown_line()), NOW)
+    with pytest.raises(ValueError, match="stored by month"):
+        upsert(store, SPEC.partitioned_by("day"), batch(spark, breakdown_line()), NOW)
+    store.replace(SPEC.partitioned_by("day"), store.read(SPEC))
+    assert upsert(store, SPEC.partitioned_by("day"), batch(spark, breakdown_line()), NOW) == 1
+    assert store.read(SPEC).count() == 1
+
+
 ROW = st.tuples(st.integers(0, 3), st.integers(0, 2), st.integers(0, 100))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import TableSpec
@@ -16,16 +16,20 @@ LINE_ORDER = ("file", "block", "line")
 BROADCAST_KEYS = 500_000
 
 
-def latest_by_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_by_key(
+    rows: DataFrame, key: Sequence[str], order: Sequence[str], copies: str | None = None
+) -> DataFrame:
     """The last row per key in the given order; the other columns break ties.
 
     A maximum, not a ranking window: copies of one key shrink to one row in every task before
-    the shuffle, so a key repeated over a third of the batch is no hot spot.
+    the shuffle, so a key repeated over a third of the batch is no hot spot. ``copies`` names a
+    column for the number of rows a key had.
     """
     payload = [name for name in rows.columns if name not in (*key, *order)]
-    ranked = F.struct(*order, *payload)
-    last = rows.groupBy(*key).agg(F.max(ranked).alias("_last"))
-    return last.select(*[c if c in key else F.col("_last")[c].alias(c) for c in rows.columns])
+    counted = [] if copies is None else [F.count(F.lit(1)).alias(copies)]
+    last = rows.groupBy(*key).agg(F.max(F.struct(*order, *payload)).alias("_last"), *counted)
+    kept = [c if c in key else F.col("_last")[c].alias(c) for c in rows.columns]
+    return last.select(*kept, *([] if copies is None else [copies]))
 
 
 def merge_rows(
@@ -56,22 +60,24 @@ def upsert(
     be the same rows each time. Only the periods it touches are read and rewritten.
     """
     spark = store.spark
-    given = Observation()
     stamped = batch.withColumn("synced_at", F.lit(synced_at).cast("timestamp"))
-    counted = stamped.observe(given, F.count(F.lit(1)).alias("rows"))
-    last = latest_by_key(counted, spec.key, [c for c in order if c in batch.columns])
+    last = latest_by_key(stamped, spec.key, [c for c in order if c in batch.columns], "_copies")
 
     columns = store.columns(spec)
     staging = scratch_dir(spark, f"staged-{spec.name}")
-    staged_rows = evolve(with_period(last, spec), columns, keep=("period",))
+    staged_rows = evolve(with_period(last, spec), columns, keep=("period", "_copies"))
     staged_rows.write.parquet(staging)
-    rows = given.get["rows"]
-    if rows:
-        staged = spark.read.schema(staged_rows.schema).parquet(staging)
-        touched = staged.groupBy("period").count().collect()
+    staged = spark.read.schema(staged_rows.schema).parquet(staging)
+    touched = (
+        staged.groupBy("period")
+        .agg(F.count(F.lit(1)).alias("keys"), F.sum("_copies").alias("given"))
+        .collect()
+    )
+    if touched:
         base = store.version(spec)
         target = store.read(spec, [row["period"] for row in touched], with_period=True)
-        merged = merge_rows(target, staged, spec.key, sum(row["count"] for row in touched))
+        fresh = staged.drop("_copies")
+        merged = merge_rows(target, fresh, spec.key, sum(row["keys"] for row in touched))
         store.write_periods(spec, merged, base)
     discard(spark, staging)
-    return rows
+    return sum(row["given"] for row in touched)

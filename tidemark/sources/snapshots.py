@@ -7,7 +7,7 @@ Layout of a table below the store's root::
 
 A write puts its rows in a folder of its own and then publishes one snapshot file; readers
 follow the newest snapshot, so they see all of a write or nothing of it. A failed job leaves
-only unreferenced folders.
+only unreferenced folders. The file system must rename a file atomically.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import json
 import time
 import uuid
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import period_number
 from tidemark.schemas import TableSpec
+from tidemark.sources.exports import between_days
 
 WHOLE = 0
 
@@ -55,7 +57,7 @@ class SnapshotStore:
 
     def _snapshot(self, spec: TableSpec, version: int) -> dict:
         if version == 0:
-            return {"columns": None, "periods": {}}
+            return {"columns": None, "grain": None, "periods": {}}
         stream = self._fs().open(self._path(spec.name, "snapshots", version))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -114,12 +116,16 @@ class SnapshotStore:
         table = reader.option("basePath", f"{self.root}/{spec.name}/data").parquet(*paths)
         return table.select(*names)
 
-    def read_days(self, spec: TableSpec, start, end) -> DataFrame:
+    def read_days(
+        self, spec: TableSpec, start: date | None = None, end: date | None = None
+    ) -> DataFrame:
         """Rows of an inclusive day range, listing only the folders that can hold them."""
-        low, high = (_number(day, spec.grain) for day in (start, end))
-        known = self._snapshot(spec, self.version(spec))["periods"]
-        rows = self.read(spec, [int(p) for p in known if low <= int(p) <= high])
-        return rows.where(F.col(spec.day).between(F.lit(start), F.lit(end)))
+        known = [int(p) for p in self._snapshot(spec, self.version(spec))["periods"]]
+        if start is not None:
+            known = [p for p in known if p >= _number(start, spec.grain)]
+        if end is not None:
+            known = [p for p in known if p <= _number(end, spec.grain)]
+        return between_days(self.read(spec, known), spec, start, end)
 
     def write_periods(
         self, spec: TableSpec, rows: DataFrame, base: int, keep_others: bool = True
@@ -131,6 +137,9 @@ class SnapshotStore:
         filter on an entity skips row groups.
         """
         columns = self.columns(spec)
+        earlier = self._snapshot(spec, base) if keep_others else {"grain": None, "periods": {}}
+        if earlier["periods"] and earlier["grain"] != spec.grain:
+            raise ValueError(f"{spec.name} is stored by {earlier['grain']}, not by {spec.grain}")
         token = uuid.uuid4().hex
         target = f"{self.root}/{spec.name}/data/write={token}"
         entity_first = sorted(spec.key, key=lambda name: not name.endswith("_id"))
@@ -142,9 +151,9 @@ class SnapshotStore:
             .parquet(target)
         )
         written = self._written_periods(target)
-        periods = dict(self._snapshot(spec, base)["periods"]) if keep_others else {}
-        periods.update({str(period): token for period in written})
-        self._publish(spec, base + 1, {"columns": columns.jsonValue(), "periods": periods})
+        periods = {**earlier["periods"], **{str(period): token for period in written}}
+        snapshot = {"columns": columns.jsonValue(), "grain": spec.grain, "periods": periods}
+        self._publish(spec, base + 1, snapshot)
         return written
 
     def replace(self, spec: TableSpec, rows: DataFrame) -> None:
@@ -179,7 +188,7 @@ class SnapshotStore:
         return sorted(int(n.split("=")[1]) for n in names if n.startswith("period="))
 
 
-def _number(day, grain: str) -> int:
+def _number(day: date, grain: str) -> int:
     number = day.year * 100 + day.month
     return number * 100 + day.day if grain == "day" else number
 
