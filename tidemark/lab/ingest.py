@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import jobs
-from tidemark.functions import own_offset_date
+from tidemark.functions import money, own_offset_date
 from tidemark.lab import analyses, sql, views
 from tidemark.operators import attribution, quality, retention
 from tidemark.operators.upsert import latest_by_key, upsert
 from tidemark.plans.requests import numbered
-from tidemark.schemas import TableSpec, campaign_specs, link_specs
+from tidemark.schemas import STATEMENT, TableSpec, campaign_specs, link_specs
 from tidemark.session import pinned, scratch_dir
 from tidemark.sources import (
     SnapshotStore,
@@ -36,7 +36,9 @@ from tidemark.sources.pages import created_days
 from tidemark.streaming import on_time, stream_exports
 
 CAMPAIGNS = campaign_specs()
+LINKS = link_specs()
 BREAKDOWN, ENGAGEMENT = CAMPAIGNS["breakdown"], CAMPAIGNS["engagement"]
+RETENTION = LINKS["retention"]
 RANGE = date(1997, 3, 10), date(1997, 6, 7)
 PAGE_SIZE = 25
 SYNCED = datetime(2001, 7, 27, 6, 0)
@@ -298,18 +300,43 @@ SELECT order_key || '-' || line_number AS account_id, report_date,
 FROM lines"""
 
 
-def land_pages(spark: SparkSession, sf: str, lost_page: int | None = None) -> str:
-    """Suppliers as campaign listing pages of 25 items."""
-    suppliers = views.table(spark, sf, "supplier")
-    total = suppliers.count()
-    placed = numbered(suppliers, "s_suppkey")
+def land_listing(
+    rows: DataFrame, order: str, item: Column, page_size: int, lost_page: int | None = None
+) -> str:
+    """Rows as listing pages, one file each, in the given order."""
+    spark = rows.sparkSession
+    total = rows.count()
+    placed = numbered(rows.select(F.col(order), item.alias("item")), order)
+    page = (F.floor(F.col("position") / page_size) + 1).cast("int").alias("page")
+    grouped = placed.groupBy(page).agg(
+        F.array_sort(F.collect_list(F.struct("position", "item"))).alias("items")
+    )
+    if lost_page is not None:
+        grouped = grouped.where(F.col("page") != lost_page)
+    pagination = F.struct(
+        "page",
+        F.lit(page_size).alias("pageSize"),
+        F.lit(total).alias("totalCount"),
+        F.lit(-(-total // page_size)).alias("totalPages"),
+    )
+    data = F.struct(F.col("items")["item"].alias("items"), pagination.alias("pagination"))
+    path = scratch_dir(spark, "pages")
+    envelope = grouped.select(F.to_json(F.struct(data.alias("data"))).alias("value"), "page")
+    envelope.hint("rebalance", "page").write.partitionBy("page").text(path)
+    return path
+
+
+def land_pages(
+    spark: SparkSession, sf: str, lost_page: int | None = None, status: str = "active"
+) -> str:
+    """Suppliers as campaign listing pages of 25 items; ``status`` is that of unpaused ones."""
     key = F.col("s_suppkey")
     day = F.date_format(F.date_add(F.lit(date(1997, 1, 1)), (key % 365).cast("int")), "yyyy-MM-dd")
     offset = F.when(key % 2 == 1, "-05:00").otherwise("Z")
     item = F.struct(
         key.cast("string").alias("campaignId"),
         F.concat(F.lit("org-"), F.col("s_nationkey")).alias("organizationId"),
-        F.when(F.col("s_acctbal") < 0, "paused").otherwise("active").alias("status"),
+        F.when(F.col("s_acctbal") < 0, "paused").otherwise(status).alias("status"),
         F.lit("meta").alias("socialPlatform"),
         F.col("s_acctbal").alias("dailyBudget"),
         (F.col("s_acctbal") * 2).alias("totalBudget"),
@@ -320,23 +347,8 @@ def land_pages(spark: SparkSession, sf: str, lost_page: int | None = None) -> st
         F.when(key % 3 != 0, "maximum_growth").alias("strategyType"),
         F.col("s_name").alias("internalName"),
     )
-    page = (F.floor(F.col("position") / PAGE_SIZE) + 1).cast("int").alias("page")
-    grouped = placed.groupBy(page).agg(
-        F.array_sort(F.collect_list(F.struct("position", item.alias("item")))).alias("items")
-    )
-    if lost_page is not None:
-        grouped = grouped.where(F.col("page") != lost_page)
-    pagination = F.struct(
-        "page",
-        F.lit(PAGE_SIZE).alias("pageSize"),
-        F.lit(total).alias("totalCount"),
-        F.lit(-(-total // PAGE_SIZE)).alias("totalPages"),
-    )
-    data = F.struct(F.col("items")["item"].alias("items"), pagination.alias("pagination"))
-    path = scratch_dir(spark, "pages")
-    envelope = grouped.select(F.to_json(F.struct(data.alias("data"))).alias("value"), "page")
-    envelope.write.partitionBy("page").text(path)
-    return path
+    suppliers = views.table(spark, sf, "supplier")
+    return land_listing(suppliers, "s_suppkey", item, PAGE_SIZE, lost_page)
 
 
 _ITEMS = """
@@ -415,7 +427,8 @@ def entity_lookup(spark: SparkSession, sf: str) -> DataFrame:
 ENTITY_LOOKUP = f"{_ITEMS} SELECT campaign_id, status, daily_budget FROM items WHERE s_suppkey = 7"
 
 
-def statement_monthly(spark: SparkSession, sf: str) -> DataFrame:
+def land_statement(spark: SparkSession, sf: str) -> str:
+    """All statement lines as CSV with a header."""
     lines = views.statement_lines(spark, sf, "country", "currency").select(
         F.col("isrc").cast("string").alias("isrc"),
         "store",
@@ -427,29 +440,180 @@ def statement_monthly(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = scratch_dir(spark, "statement")
     lines.write.option("header", True).csv(path)
-    return attribution.statement_monthly(load_statement(read_statement(spark, path)))
+    return path
+
+
+def statement_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    lines = read_statement(spark, land_statement(spark, sf))
+    return attribution.statement_monthly(load_statement(lines))
 
 
+def statement_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored statement after replacing it, by country and currency."""
+    store = SnapshotStore(spark, scratch_dir(spark, "statements"))
+    jobs.load_statement_table(store, land_statement(spark, sf), SYNCED)
+    return store.read(STATEMENT).groupBy("month", "country_code", "currency").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("streams").alias("streams"),
+        F.sum(money(F.col("revenue"))).cast("double").alias("revenue"),
+    )
+
+
+STATEMENT_TABLE = f"""{sql.with_views(sql.LINES, sql.STATEMENT)}
+SELECT month, country_code, currency, COUNT(*) AS n_rows,
+  CAST(SUM(streams) AS BIGINT) AS streams,
+  CAST(SUM(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE) AS revenue
+FROM statement GROUP BY ALL"""
+
 STATEMENT_MONTHLY = f"""{sql.with_views(sql.LINES, sql.STATEMENT, sql.DISTRIBUTOR)}
 SELECT CAST(isrc AS VARCHAR) AS isrc, month, distributor_streams FROM distributor"""
 
 
 def retention_wide(spark: SparkSession, sf: str) -> DataFrame:
-    """Computed cohorts, landed as retention exports and read back into the wide contract."""
+    """Computed cohorts, landed as retention exports and upserted into the wide table."""
     cohorts = retention.cohort_retention(views.activity(spark, sf), views.COHORT_AS_OF)
-    spec = link_specs()["retention"]
     fields = F.struct(
         F.lit("demo").alias("provider"),
         F.lit("acct").alias("account_id"),
         F.lit("link-1").alias("link_id"),
         F.lit("US").alias("country_code"),
-        F.lit(spec.version).alias("schema_version"),
+        F.lit(RETENTION.version).alias("schema_version"),
         *[F.col(name) for name in cohorts.columns],
     )
     month = _month_number(F.col("cohort_date")).alias("ship_month")
     path = land(cohorts.select(F.to_json(fields).alias("value"), month), "retention")
-    good, _ = split_valid(read_export(spark, path, spec))
-    return good.select(*cohorts.columns)
+    return loaded(spark, RETENTION, path).select(*cohorts.columns)
+
+
+def loaded(spark: SparkSession, spec: TableSpec, *paths: str) -> DataFrame:
+    """The table after loading landed exports one after the other."""
+    store = SnapshotStore(spark, scratch_dir(spark, f"stored-{spec.name}"))
+    for path in paths:
+        jobs.load_export(store, spec, path, SYNCED)
+    return store.read(spec)
+
+
+def campaign_listing_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A listing upserted twice; the second shows another status."""
+    store = SnapshotStore(spark, scratch_dir(spark, "campaigns"))
+    for status in ("active", "ended"):
+        path = land_pages(spark, sf, status=status)
+        jobs.load_entities(store, CAMPAIGNS["entities"], path, SYNCED)
+    return store.read(CAMPAIGNS["entities"]).groupBy("status").agg(
+        F.count(F.lit(1)).alias("campaigns"), F.sum("generation").alias("generations")
+    )
+
+
+CAMPAIGN_LISTING_LOAD = f"""{_ITEMS}
+SELECT CASE WHEN status = 'active' THEN 'ended' ELSE status END AS status,
+  COUNT(*) AS campaigns, CAST(SUM(generation) AS BIGINT) AS generations
+FROM items GROUP BY 1"""
+
+
+def link_listing_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as link listing pages of 100 items, loaded and read back."""
+    key = F.col("p_partkey")
+    day = F.date_format(F.date_add(F.lit(date(1997, 1, 1)), (key % 365).cast("int")), "yyyy-MM-dd")
+    item = F.struct(
+        key.cast("string").alias("linkId"),
+        F.col("p_brand").alias("organizationId"),
+        F.col("p_name").alias("name"),
+        F.concat(F.lit("https://link.example/"), key).alias("url"),
+        F.when(F.col("p_size") > 25, "track").alias("targetType"),
+        F.col("p_type").alias("status"),
+        F.concat(day, F.lit("T10:00:00.000Z")).alias("createdAt"),
+    )
+    path = land_listing(views.table(spark, sf, "part"), "p_partkey", item, 100)
+    store = SnapshotStore(spark, scratch_dir(spark, "links"))
+    jobs.load_entities(store, LINKS["entities"], path, SYNCED)
+    return created_days(store.read(LINKS["entities"])).select(
+        "link_id", "organization_id", "name", "url", "target_type", "spotify_url", "status",
+        "created_date",
+    )
+
+
+LINK_LISTING_LOAD = """
+SELECT CAST(p_partkey AS VARCHAR) AS link_id, p_brand AS organization_id, p_name AS name,
+  'https://link.example/' || p_partkey AS url, CASE WHEN p_size > 25 THEN 'track' END AS target_type,
+  CAST(NULL AS VARCHAR) AS spotify_url, p_type AS status,
+  DATE '1997-01-01' + CAST(p_partkey % 365 AS INTEGER) AS created_date
+FROM part"""
+
+
+def _link_fields(*more: Column) -> Column:
+    return F.struct(
+        F.lit("demo").alias("provider"),
+        F.concat_ws("-", "order_key", "line_number").alias("account_id"),
+        F.col("report_date").cast("string").alias("report_date"),
+        F.col("engaged_spotify_track_id").cast("string").alias("link_id"),
+        F.lit("1.0").alias("schema_version"),
+        "streams",
+        *more,
+    )
+
+
+def link_breakdown_load(spark: SparkSession, sf: str) -> DataFrame:
+    rows = views.lines(spark, sf, "country")
+    fields = _link_fields(
+        F.col("country_code"),
+        F.col("line_number").alias("views"),
+        F.round(F.col("line_number") / 8, 4).alias("ctr_lp"),
+    )
+    month = _month_number(F.col("report_date")).alias("ship_month")
+    path = land(rows.select(F.to_json(fields).alias("value"), month), "link-breakdown")
+    return loaded(spark, LINKS["breakdown"], path).groupBy("link_id").agg(
+        F.count_distinct("account_id", "report_date", "country_code").alias("n_keys"),
+        F.count("views").alias("with_views"),
+        F.max("ctr_lp").alias("best_ctr"),
+    )
+
+
+LINK_BREAKDOWN_LOAD = f"""{_ROWS},
+keys AS (
+  SELECT track_id, order_key, line_number, report_date, country_code FROM lines GROUP BY ALL
+)
+SELECT CAST(track_id AS VARCHAR) AS link_id, COUNT(*) AS n_keys, COUNT(*) AS with_views,
+  MAX(line_number) / 8.0 AS best_ctr
+FROM keys GROUP BY track_id"""
+
+
+def _engagement_load(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
+    rows = views.lines(spark, sf, "country", "part")
+    fields = _link_fields(
+        F.col("campaign_id").cast("string").alias("campaign_id"),
+        F.col("country_code"),
+        F.col("engagement_context"),
+        F.col("engaged_spotify_track_id").cast("string").alias("engaged_spotify_track_id"),
+        F.col("engaged_track_isrc").cast("string").alias("engaged_track_isrc"),
+        F.col("engaged_track_name"),
+        F.col("playlist_position"),
+    )
+    month = _month_number(F.col("report_date")).alias("ship_month")
+    path = land(rows.select(F.to_json(fields).alias("value"), month), spec.name)
+    return loaded(spark, spec, path).groupBy("engagement_context", "engaged_track_isrc").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("playlist_position").alias("placed"),
+        F.max("engaged_track_name").alias("track_name"),
+    )
+
+
+def campaign_engagement_load(spark: SparkSession, sf: str) -> DataFrame:
+    return _engagement_load(spark, sf, ENGAGEMENT)
+
+
+def link_engagement_load(spark: SparkSession, sf: str) -> DataFrame:
+    return _engagement_load(spark, sf, LINKS["engagement"])
+
+
+_ENGAGEMENT_KEYS = """
+SELECT engagement_context, CAST(isrc AS VARCHAR) AS engaged_track_isrc, COUNT(*) AS n_rows,
+  COUNT(playlist_position) AS placed, MAX(track_name) AS track_name
+FROM (SELECT DISTINCT order_key, line_number, report_date, campaign_id, engagement_context,
+    country_code, track_id, isrc, playlist_position, track_name FROM lines)
+GROUP BY ALL"""
+
+CAMPAIGN_ENGAGEMENT_LOAD = f"{_ROWS} {_ENGAGEMENT_KEYS}"
+LINK_ENGAGEMENT_LOAD = f"{_ROWS} {_ENGAGEMENT_KEYS.replace('campaign_id, ', '')}"
 
 
 def raw_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -627,7 +791,13 @@ QUERIES = {
     "project_campaigns": (project_campaigns, PROJECT_CAMPAIGNS),
     "project_country_daily": (project_country_daily, PROJECT_COUNTRY_DAILY),
     "project_engagement_daily": (project_engagement_daily, PROJECT_ENGAGEMENT_DAILY),
+    "campaign_listing_load": (campaign_listing_load, CAMPAIGN_LISTING_LOAD),
+    "campaign_engagement_load": (campaign_engagement_load, CAMPAIGN_ENGAGEMENT_LOAD),
+    "link_listing_load": (link_listing_load, LINK_LISTING_LOAD),
+    "link_breakdown_load": (link_breakdown_load, LINK_BREAKDOWN_LOAD),
+    "link_engagement_load": (link_engagement_load, LINK_ENGAGEMENT_LOAD),
     "statement_monthly": (statement_monthly, STATEMENT_MONTHLY),
+    "statement_table": (statement_table, STATEMENT_TABLE),
     "retention_wide": (retention_wide, analyses.COHORT_RETENTION),
     "raw_json_roundtrip": (raw_json_roundtrip, RAW_JSON_ROUNDTRIP),
     "created_date_own_offset": (created_date_own_offset, CREATED_DATE_OWN_OFFSET),
