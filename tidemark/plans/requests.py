@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.windows import LOOKBACK_DAYS, batch_ranges, windows_of
+from tidemark.plans.windows import LOOKBACK_DAYS, batch_windows, metric_windows
 from tidemark.session import pinned
 
 BATCH_SIZE = 50
@@ -46,18 +46,15 @@ def id_batches(rows: DataFrame, *order: str | Column, size: int = BATCH_SIZE) ->
     return numbered(rows, *order).withColumn("batch", batch).drop("position")
 
 
-def _requests(windows: Column, kinds: list[str]) -> list[Column]:
-    """Window, kind and status columns: a request per kind, or one skipped row without windows."""
-    return [
-        windows["window_start"].alias("window_start"),
-        windows["window_end"].alias("window_end"),
-        F.explode(
-            F.when(windows.isNull(), F.array(F.lit(None).cast("string"))).otherwise(
-                F.array(*[F.lit(kind) for kind in kinds])
-            )
-        ).alias("kind"),
-        F.when(windows.isNull(), SKIPPED).otherwise(PLANNED).alias("status"),
-    ]
+def _requests(windows: DataFrame, kinds: list[str], *names: str) -> DataFrame:
+    """A request per window and kind, or one skipped row where there is no window."""
+    idle = F.col("window_start").isNull()
+    none = F.array(F.lit(None).cast("string"))
+    each = F.explode(F.when(idle, none).otherwise(F.array(*[F.lit(kind) for kind in kinds])))
+    status = F.when(idle, SKIPPED).otherwise(PLANNED)
+    return windows.select(
+        *names, "window_start", "window_end", each.alias("kind"), status.alias("status")
+    )
 
 
 def plan_campaign_requests(
@@ -71,9 +68,9 @@ def plan_campaign_requests(
 
     One pass over the entities: a campaign without a window keeps one row that says so.
     """
-    windows = F.explode_outer(windows_of(F.col("created_date"), mode, as_of, days))
-    spread = campaigns.select(by, windows.alias("_window"))
-    return spread.select(by, *_requests(F.col("_window"), ["breakdown", "engagement"]))
+    dated = campaigns.select(by, "created_date")
+    windows = metric_windows(dated, mode, as_of, days, keep_idle=True)
+    return _requests(windows, ["breakdown", "engagement"], by)
 
 
 def plan_link_requests(
@@ -83,12 +80,12 @@ def plan_link_requests(
 
     ``members`` has (``by``, created_date, batch). Batch requests have a null member.
     """
-    batches = batch_ranges(members, mode, as_of, days)
-    spread = batches.select("batch", F.explode_outer("windows").alias("_window"))
-    shared = spread.select("batch", *_requests(F.col("_window"), ["breakdown", "retention"]))
+    windows = batch_windows(members, mode, as_of, days, keep_idle=True)
+    shared = _requests(windows, ["breakdown", "retention"], "batch")
     shared = shared.withColumn(by, F.lit(None).cast(members.schema[by].dataType))
+    ranges = windows.where(F.col("window_start").isNotNull())
     single = members.select(by, "batch").join(
-        batches.select("batch", F.inline("windows")), "batch"
+        ranges.select("batch", "window_start", "window_end"), "batch"
     )
     single = single.withColumns({"kind": F.lit("engagement"), "status": F.lit(PLANNED)})
     return shared.unionByName(single)

@@ -10,6 +10,7 @@ from tidemark.functions import iso_date
 from tidemark.schemas import TableSpec
 
 BAD = "_bad"
+SEPARATOR = "\n"
 
 
 def _checked_text(spec: TableSpec) -> set[str]:
@@ -70,9 +71,11 @@ def _faults(spec: TableSpec, checked: set[str]) -> Column:
             found.append(F.when(~absent & iso_date(text).isNull(), f"{name}: not a date"))
         elif name in checked:
             found.append(F.when(~absent & text.isNull(), f"{name}: not text"))
+    # Joined and split again: functions over arrays would take the projection out of codegen.
     undecodable = F.col("_row").isNull() | F.col("_row")[BAD].isNotNull()
-    alone = F.array(F.lit("undecodable"))
-    return F.when(undecodable, alone).otherwise(F.array_compact(F.array(*found)))
+    joined = F.when(undecodable, "undecodable").otherwise(F.concat_ws(SEPARATOR, *found))
+    none = F.array().cast("array<string>")
+    return F.when(joined == "", none).otherwise(F.split(joined, SEPARATOR))
 
 
 def decode_rows(rows: DataFrame, spec: TableSpec, text: str = "value") -> DataFrame:
