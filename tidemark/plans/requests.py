@@ -11,7 +11,6 @@ from tidemark.plans.windows import LOOKBACK_DAYS, batch_windows, metric_windows
 from tidemark.session import pinned
 
 BATCH_SIZE = 50
-RANGES = 64
 PLANNED, SKIPPED = "planned", "skipped"
 
 
@@ -20,13 +19,14 @@ def pending_entities(entities: DataFrame, completed: DataFrame, by: str) -> Data
     return entities.join(completed.select(by), by, "left_anti")
 
 
-def numbered(rows: DataFrame, *order: str | Column, ranges: int = RANGES) -> DataFrame:
+def numbered(rows: DataFrame, *order: str | Column, ranges: int | None = None) -> DataFrame:
     """Adds ``position``, the 0-based place in a total order, without one global sort task.
 
     Rows are spread by ranges of the order and stored, each range is numbered on its own, and
-    the sizes of the lower ranges are added. That list has one row per range, so its size does
-    not depend on the data.
+    the sizes of the lower ranges are added. There are as many ranges as the session has shuffle
+    partitions, so the list of sizes depends on the cluster and not on the data.
     """
+    ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
     stored = pinned(ranged, "ranged")
     sizes = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
