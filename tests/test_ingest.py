@@ -66,6 +66,14 @@ def test_good_row_is_typed_and_kept_as_text(spark):
     assert json.loads(row["raw_json"])["surprise"] == {"a": [1]}
 
 
+def test_counts_may_be_written_as_floats_or_text(spark):
+    rows = decode(spark, *[breakdown_line(streams=n) for n in (7, 7.0, "12", None, 1e3)])
+    found = rows.select("streams", "faults").collect()
+    assert [r["streams"] for r in found] == [7, 7, 12, None, 1000]
+    assert all(r["faults"] == [] for r in found)
+    assert rows.schema["streams"].dataType.typeName() == "long"
+
+
 def test_faulty_rows(spark):
     found = faults(
         spark,

@@ -25,7 +25,7 @@ def sql():
 
 def canonical(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted((tuple(r[i] for i in order) for r in rows), key=str)
+    return sorted(tuple(repr(r[i]) for i in order) for r in rows)
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))

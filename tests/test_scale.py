@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +153,49 @@ def test_retention_against_brute_force(spark):
     found = {r["cohort_date"]: tuple(r)[1:] for r in wide.collect()}
     assert found == brute_retention(events, as_of)
     assert retention_long(wide, "cohort_date").count() == 7 * len(found)
+
+
+def test_stored_tables_are_read_narrow_and_filtered(spark, store):
+    import samples
+    from tidemark.operators.upsert import upsert
+    from tidemark.schemas import campaign_specs
+    from tidemark.sources.snapshots import evolve
+
+    specs = campaign_specs()
+    rows = samples.engagement(spark, samples.PLAYLIST, "playlist").withColumns(
+        {name: F.lit("x") for name in ("provider", "account_id", "raw_json")}
+    )
+    spend = samples.country_daily(spark).withColumns(
+        {name: F.lit("x") for name in ("provider", "account_id", "raw_json")}
+    )
+    for role, batch in (("engagement", rows), ("breakdown", spend)):
+        upsert(store, specs[role], evolve(batch, specs[role].stored), datetime(2026, 9, 20))
+    statement = spark.createDataFrame(
+        [("ISRC_A", date(2026, 8, 1), 6400)], "isrc string, month date, streams bigint"
+    )
+    share = attribution.playlist_share(
+        store.read(specs["engagement"]), store.read(specs["breakdown"]), statement
+    ).where("campaign_id = 'cmp-1'")
+    assert [r["campaign_streams"] for r in share.collect()] == [880]
+    plan = share._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 2
+    assert not [line for line in scans if "raw_json" in line or "provider" in line]
+    assert all("EqualTo(campaign_id,cmp-1)" in line for line in scans)
+    assert "EqualTo(engagement_context,playlist)" in "".join(scans)
+    assert "GreaterThan(spend_total,0.0)" in "".join(scans)
+
+
+def test_counting_rows_of_a_batch_with_a_hot_key(spark, store):
+    from tidemark.operators.upsert import upsert
+    from tidemark.schemas import PROGRESS
+
+    rows = spark.range(30_000).select(
+        F.lit("run").alias("run_key"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("entity_id"),
+        F.col("id").alias("error_count"),
+    )
+    assert upsert(store, PROGRESS, rows, datetime(2026, 9, 20), order=("error_count",)) == 30_000
+    stored = store.read(PROGRESS)
+    assert stored.count() == 20_001
+    assert stored.where("entity_id = 'hot'").first()["error_count"] == 29_997

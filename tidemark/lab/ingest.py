@@ -410,7 +410,9 @@ def page_completeness(spark: SparkSession, sf: str) -> DataFrame:
 
 
 PAGE_COMPLETENESS = f"""{_ITEMS},
-sums AS (SELECT COUNT(*) AS items, MAX(page) AS pages, COUNT(*) FILTER (page = 1) AS lost FROM items)
+sums AS (
+  SELECT COUNT(*) AS items, MAX(page) AS pages, COUNT(*) FILTER (page = 1) AS lost FROM items
+)
 SELECT 'whole' AS listing, CAST(pages AS BIGINT) AS pages_found, pages AS pages_expected,
   items AS items_found, items AS items_expected, CAST(0 AS BIGINT) AS unreadable, true AS complete
 FROM sums

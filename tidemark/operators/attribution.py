@@ -145,7 +145,8 @@ def noise_cut(rows: DataFrame, windows: DataFrame, min_share: float = 0.05) -> D
     inside = within_window(
         daily_streams(rows, "bucket"), windows, spread_by=("isrc", "report_date")
     )
-    in_bucket = {name: F.when(F.col("bucket") == name, F.col("streams")) for name in (PROMOTED, OTHER)}
+    streams = F.col("streams")
+    in_bucket = {name: F.when(F.col("bucket") == name, streams) for name in (PROMOTED, OTHER)}
     per_track = pinned(
         inside.groupBy(CAMPAIGN, "isrc").agg(
             F.sum(in_bucket[PROMOTED]).alias("promoted"),

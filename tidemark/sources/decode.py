@@ -19,13 +19,19 @@ def _checked_text(spec: TableSpec) -> set[str]:
     return {f.name for f in spec.fields if f.name in wanted and f.dataType == T.StringType()}
 
 
+WHOLE = T.DecimalType(18, 0)
+
+
 def _wire_schema(spec: TableSpec) -> T.StructType:
+    """What the parser reads: counts as decimals, so that 7.0 is the count 7 and no error."""
     checked = _checked_text(spec)
     fields = []
     for field in spec.fields:
         kind = field.dataType
         if field.name in checked or kind == T.DateType():
             kind = T.VariantType()
+        elif kind in (T.LongType(), T.IntegerType()):
+            kind = WHOLE
         fields.append(T.StructField(spec.source_name(field.name), kind))
     return T.StructType([*fields, T.StructField(BAD, T.StringType())])
 
@@ -52,7 +58,7 @@ def _column(spec: TableSpec, field: T.StructField, checked: set[str]) -> Column:
         return F.col(f"_text_{field.name}").alias(field.name)
     if field.dataType == T.DateType():
         return iso_date(F.col(f"_text_{field.name}")).alias(field.name)
-    return F.col("_row")[spec.source_name(field.name)].alias(field.name)
+    return F.col("_row")[spec.source_name(field.name)].cast(field.dataType).alias(field.name)
 
 
 def _faults(spec: TableSpec, checked: set[str]) -> Column:
