@@ -155,7 +155,8 @@ def test_retention_against_brute_force(spark):
     assert retention_long(wide, "cohort_date").count() == 7 * len(found)
 
 
-def test_stored_tables_are_read_narrow_and_filtered(spark, store):
+def test_stored_tables_are_read_narrow_and_filtered(spark, store, conf):
+    conf(spark__sql__maxMetadataStringLength="2000")
     import samples
     from tidemark.operators.upsert import upsert
     from tidemark.schemas import campaign_specs
