@@ -26,6 +26,10 @@ from tidemark.operators.windows import CAMPAIGN, spend_profile, spend_window, wi
 from tidemark.session import pinned
 
 
+# Labels of the periods around a campaign.
+BEFORE, DURING, AFTER = "1_before", "2_during", "3_after"
+
+
 def statement_monthly(statement: DataFrame) -> DataFrame:
     """Statement streams per recording and month, all countries."""
     return statement.groupBy("isrc", "month").agg(F.sum("streams").alias("distributor_streams"))
@@ -118,9 +122,9 @@ def period_compare(statement: DataFrame, tracks: DataFrame, windows: DataFrame)
     by_month = monthly.groupBy(CAMPAIGN, "month").agg(F.sum("distributor_streams").alias("streams"))
     placed = spread_join(by_month, windows, CAMPAIGN, spread_by=("month",), how="left")
     period = (
-        F.when(F.col("month") < month_of(F.col("first_day")), "1_before")
-        .when(F.col("month") <= month_of(F.col("last_day")), "2_during")
-        .otherwise("3_after")
+        F.when(F.col("month") < month_of(F.col("first_day")), BEFORE)
+        .when(F.col("month") <= month_of(F.col("last_day")), DURING)
+        .otherwise(AFTER)
     )
     sums = placed.groupBy(CAMPAIGN, period.alias("period")).agg(
         F.count("month").alias("months"), F.sum("streams").alias("distributor_streams")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import month_of
 from tidemark.operators.windows import CAMPAIGN, within_window
 
+# Labels of the two sides of a track campaign.
 PROMOTED = "promoted"
 OTHER = "other_releases"
 

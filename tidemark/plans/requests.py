@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.windows import LOOKBACK_DAYS, batch_windows, metric_windows
 from tidemark.session import pinned
 
+# Fixed value: most ids in one request.
 BATCH_SIZE = 50
 PLANNED, SKIPPED = "planned", "skipped"
 

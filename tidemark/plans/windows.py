@@ -7,6 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Longest window of a request, and the lookback of an incremental run.
 MAX_DAYS = 90
 LOOKBACK_DAYS = 10
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
+# Versions the exports declare, and the days a retention row covers.
 METRICS_VERSION = "1.0"
 RETENTION_VERSION = "1.1"
 RETENTION_DAYS = 7
@@ -65,6 +66,7 @@ class TableSpec:
         return replace(self, grain=grain)
 
 
+# The identifying and descriptive columns all exports share.
 def _head(day: str, noun: str) -> str:
     return f"provider string, account_id string, {day} date, {noun}_id string"
 
@@ -77,6 +79,7 @@ def _about(day: str, noun: str) -> str:
     )
 
 
+# Measure columns and types of the landed exports.
 ENGAGED = (
     "engaged_track_isrc string, engaged_track_name string, playlist_position int, "
     "new_listeners bigint, returning_listeners bigint, listeners bigint, "
@@ -180,6 +183,7 @@ def link_specs(noun: str = "link") -> dict[str, TableSpec]:
     }
 
 
+# Columns of a statement file.
 STATEMENT_FIELDS = _struct(
     "isrc string, store string, sale_month string, country_code string, streams bigint, "
     "revenue double, currency string"

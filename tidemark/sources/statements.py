@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import statement_month
 from tidemark.schemas import STATEMENT_FIELDS
 
+# Fixed value: the statement's name of the store the analyses use.
 STORE = "Spotify"
 
 
