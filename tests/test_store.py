@@ -308,7 +308,7 @@ def link_item(name, created="2026-08-01T10:00:00Z"):
 
 
 def link_line(spec, name, **changes):
-    values = {column: "x" for column in spec.key}
+    values = {column: "x" for column in (*spec.key, "schema_version")}
     return {**values, spec.day: "2026-08-27", "link_id": name, "streams": 1, **changes}
 
 
@@ -340,6 +340,7 @@ def test_link_run_end_to_end(spark, store, tmp_path):
     assert not report.finished
     found = {r["entity_id"]: r["completed"] for r in report.outcome.collect()}
     assert found == {"a": True, "b": False, "later": True}
+    assert tuple(report.entities.first()) == (5, 0, 1)
     assert store.read(specs["entities"]).count() == 5
     assert sorted(r["link_id"] for r in store.read(breakdown).collect()) == ["a", "b"]
     assert [r["link_id"] for r in store.read(engaged).collect()] == ["a"]
@@ -354,6 +355,9 @@ def test_link_run_end_to_end(spark, store, tmp_path):
     export(landing, "engagement", "batch=0", "entity=b", window, lines=[link_line(engaged, "b")])
     again = jobs.sync_landing(*args)
     assert again.finished
+    assert tuple(again.entities.first()) == (5, 2, 0)
+    drift = {kind: [tuple(r) for r in rows.collect()] for kind, rows in again.drift.items()}
+    assert drift == {"breakdown": [("x", 3)], "engagement": [("x", 4)], "retention": [("x", 1)]}
     last = store.read(LAST_SYNC).first()
     assert (last["sync_key"], last["entities"], last["soft_error_count"]) == ("last_sync_links", 5, 1)
     assert (last["breakdown_rows"], last["engagement_rows"]) == (3, 4)

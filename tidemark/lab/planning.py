@@ -204,6 +204,21 @@ FROM results GROUP BY run_day, run_slot"""
 RUN_STATS = f"{_RESULTS} {_STATS}"
 
 
+def entity_stats(spark: SparkSession, sf: str) -> DataFrame:
+    orders = views.table(spark, sf, "orders")
+    done = orders.where(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("entity_id")
+    )
+    return outcomes.entity_stats(views.entities(spark, sf), done, "incremental", views.AS_OF)
+
+
+ENTITY_STATS = """
+SELECT COUNT(*) AS entities_synced, COUNT(*) FILTER (o_orderstatus = 'F') AS entities_resumed,
+  COUNT(*) FILTER (o_orderstatus <> 'F' AND CAST(o_orderdate AS DATE) > DATE '2001-07-27')
+    AS entities_skipped
+FROM orders"""
+
+
 def finished_runs(spark: SparkSession, sf: str) -> DataFrame:
     return outcomes.finished_runs(run_stats(spark, sf))
 
@@ -224,5 +239,6 @@ QUERIES = {
     "run_outcome": (run_outcome, RUN_OUTCOME),
     "progress_rows": (progress_rows, PROGRESS_ROWS),
     "run_stats": (run_stats, RUN_STATS),
+    "entity_stats": (entity_stats, ENTITY_STATS),
     "finished_runs": (finished_runs, FINISHED_RUNS),
 }

@@ -12,6 +12,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.windows import LOOKBACK_DAYS, window_starts
+
 # Text a provider answers with when a metric is not part of the plan. Fixed value.
 PLAN_CODE = "premium_plan_required"
 
@@ -119,6 +121,26 @@ def run_stats(results: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def entity_stats(
+    entities: DataFrame,
+    completed_before: DataFrame,
+    mode: str,
+    as_of: date,
+    days: int = LOOKBACK_DAYS,
+    by: str = "entity_id",
+) -> DataFrame:
+    """One row: entities listed, resumed (done before) and skipped (no window yet)."""
+    done = completed_before.select(by).distinct().withColumn("_done", F.lit(True))
+    marked = entities.select(by, "created_date").join(done, by, "left")
+    resumed = F.col("_done").isNotNull()
+    idle = F.size(window_starts(F.col("created_date"), mode, as_of, days)) == 0
+    return marked.agg(
+        F.count(F.lit(1)).alias("entities_synced"),
+        F.count_if(resumed).alias("entities_resumed"),
+        F.count_if(~resumed & idle).alias("entities_skipped"),
+    )
+
+
 def finished_runs(stats: DataFrame) -> DataFrame:
     """Runs without hard errors: only these get a last-sync record and lose their progress."""
     return stats.where(F.col("hard_errors") == 0)
