@@ -132,6 +132,8 @@ def test_merge_is_the_same_with_and_without_broadcast(spark):
     small = merge_rows(target, new, ["id"], batch_rows=100)
     large = merge_rows(target, new, ["id"], batch_rows=10**9)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
     assert small.count() == 150
 
 

@@ -42,8 +42,9 @@ def merge_rows(
     shuffled by the full key, which is unique on both.
     """
     keys = batch.select(*key)
-    if batch_rows is not None and batch_rows <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
+    few = batch_rows is not None and batch_rows <= BROADCAST_KEYS
+    # An estimate from file sizes would take the keys of a wide, mostly empty table for small.
+    keys = F.broadcast(keys) if few else keys.hint("merge")
     return target.join(keys, list(key), "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
