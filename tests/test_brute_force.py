@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import samples
-from tidemark.operators import attribution
+from tidemark.operators import attribution, spread
 
 START = date(2026, 7, 20)
 SPEND = "campaign_id string, report_date date, country_code string, spend_total double"
@@ -38,9 +38,11 @@ def divide(top, bottom):
     return None if top is None or not bottom else float(top) / float(bottom)
 
 
-@pytest.fixture(scope="module", params=[1, 2])
+@pytest.fixture(scope="module", params=[(1, 500_000), (2, 500_000), (2, -1)], ids=str)
 def data(request, spark):
-    rng = random.Random(request.param)
+    """Random rows; the second number is the lookup size up to which joins broadcast."""
+    seed, spread.BROADCAST_ROWS = request.param
+    rng = random.Random(seed)
     campaigns = [f"c{n}" for n in range(6)]
     codes = [None, "A", "B", "C", "D", "E"]
     targets = {
@@ -87,7 +89,8 @@ def data(request, spark):
         spark.createDataFrame(spend, SPEND),
         spark.createDataFrame(statement, STATEMENT),
     )
-    return (engagement, spend, statement), frames
+    yield (engagement, spend, statement), frames
+    spread.BROADCAST_ROWS = 500_000
 
 
 def window(spend, campaign):

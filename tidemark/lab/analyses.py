@@ -37,13 +37,17 @@ SELECT campaign_id, CAST(spend_usd AS DOUBLE) AS spend_usd FROM spend"""
 
 
 def range_join_spend_window(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.lines(spark, sf)
-    daily = rows.groupBy("campaign_id", "report_date", "engagement_context").agg(
-        F.sum("streams").alias("streams"), F.count(F.lit(1)).alias("engagements")
+    rows = views.lines(spark, sf).withColumn("engagements", F.lit(1))
+    grain = ("report_date", "engagement_context")
+
+    def daily(raw: DataFrame) -> DataFrame:
+        sums = [F.sum(name).alias(name) for name in ("streams", "engagements")]
+        return raw.groupBy("campaign_id", *grain).agg(*sums)
+
+    inside = windows.within_window(rows, windows.spend_window(rows), daily, grain)
+    return inside.groupBy("campaign_id", *grain, "first_day", "last_day").agg(
+        F.sum("streams").alias("streams"), F.sum("engagements").alias("engagements")
     )
-    spend = windows.spend_window(rows)
-    spread = ("report_date", "engagement_context")
-    return windows.within_window(daily, spend, spread_by=spread)
 
 
 RANGE_JOIN = f"""{sql.with_views(sql.LINES, sql.WINDOWS)}

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import month_of
-from tidemark.operators.spread import spread_join
+from tidemark.operators.spread import counted, spread_join
 
 SPEND_FROM, SPEND_BEFORE = date(1997, 3, 10), date(1999, 2, 21)
 AS_OF = date(2001, 7, 27)
@@ -123,9 +123,8 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def targeted(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Engagement rows with their campaign's target columns."""
     rows = lines(spark, sf_dir, *extra)
-    return spread_join(
-        rows, targets(spark, sf_dir), "campaign_id", spread_by=("engaged_spotify_track_id",)
-    )
+    lookup = counted(targets(spark, sf_dir))
+    return spread_join(rows, lookup, "campaign_id", spread_by=("engaged_spotify_track_id",))
 
 
 def statement_lines(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:

@@ -14,14 +14,14 @@ from tidemark.functions import money, month_of, ratio, round_half_away
 from tidemark.operators.engagement import (
     OTHER,
     PROMOTED,
-    daily_streams,
     engagement_monthly,
     in_context,
     own_tracks,
     split_promoted,
+    streams_inside,
     track_days,
 )
-from tidemark.operators.spread import spread_join
+from tidemark.operators.spread import Lookup, counted, spread_join
 from tidemark.operators.windows import CAMPAIGN, spend_profile, spend_window, within_window
 from tidemark.session import pinned
 
@@ -101,17 +101,18 @@ def position_bands(
     engagement: DataFrame, country_daily: DataFrame, edges: tuple[int, ...] = (10, 25)
 ) -> DataFrame:
     """Track-days and streams per track-day by playlist slot, inside the spend window."""
-    days = track_days(in_context(engagement, "playlist"))
-    inside = within_window(days, spend_window(country_daily), spread_by=("isrc", "report_date"))
+    rows = in_context(engagement, "playlist")
+    spread = ("isrc", "report_date")
+    inside = within_window(rows, spend_window(country_daily), track_days, spread)
     band = band_of(F.col("playlist_position"), edges).alias("position_band")
-    return inside.groupBy(CAMPAIGN, band).agg(
+    return track_days(inside).groupBy(CAMPAIGN, band).agg(
         F.count(F.lit(1)).alias("track_days"),
         F.sum("streams").alias("streams"),
         round_half_away(F.avg("streams"), 1).alias("streams_per_track_day"),
     )
 
 
-def period_compare(statement: DataFrame, tracks: DataFrame, windows: DataFrame) -> DataFrame:
+def period_compare(statement: DataFrame, tracks: DataFrame, windows: Lookup) -> DataFrame:
     """Statement streams per month before, during and after the spend months.
 
     ``tracks`` lists (campaign, recording). Streams are summed per campaign and month first, so
@@ -136,7 +137,7 @@ def period_compare(statement: DataFrame, tracks: DataFrame, windows: DataFrame)
 def playlist_periods(engagement: DataFrame, country_daily: DataFrame, statement: DataFrame):
     """Before, during and after for the recordings on the campaign's playlist."""
     tracks = own_tracks(in_context(engagement, "playlist"))
-    return period_compare(statement, tracks, spend_window(country_daily))
+    return period_compare(statement, tracks, counted(spend_window(country_daily)))
 
 
 def noise_cut(rows: DataFrame, windows: DataFrame, min_share: float = 0.05) -> DataFrame:
@@ -146,9 +147,7 @@ def noise_cut(rows: DataFrame, windows: DataFrame, min_share: float = 0.05) -> D
     read them; they carry the window so that later steps need not read the spend again.
     ``rows`` come from ``split_promoted``. A campaign without promoted streams keeps nothing.
     """
-    inside = within_window(
-        daily_streams(rows, "bucket"), windows, spread_by=("isrc", "report_date")
-    )
+    inside = streams_inside(rows, windows, "bucket")
     streams = F.col("streams")
     in_bucket = {name: F.when(F.col("bucket") == name, streams) for name in (PROMOTED, OTHER)}
     per_track = pinned(
@@ -168,7 +167,8 @@ def noise_cut(rows: DataFrame, windows: DataFrame, min_share: float = 0.05) -> D
     others = per_track.where(F.col("other").isNotNull()).select(
         CAMPAIGN, "isrc", F.col("other").alias("other_streams")
     )
-    judged = spread_join(others, promoted, CAMPAIGN, spread_by=("isrc",))
+    totals = counted(promoted, store=False)
+    judged = spread_join(others, totals, CAMPAIGN, spread_by=("isrc",))
     threshold = F.lit(min_share).cast("decimal(9,6)") * F.col("promoted_streams")
     return judged.where(F.col("other_streams") >= threshold)
 
@@ -184,7 +184,8 @@ def spillover_periods(
     windows = moved.groupBy(CAMPAIGN).agg(
         F.max("first_day").alias("first_day"), F.max("last_day").alias("last_day")
     )
-    return period_compare(statement, moved.select(CAMPAIGN, "isrc"), windows)
+    lookup = counted(windows, store=False)
+    return period_compare(statement, moved.select(CAMPAIGN, "isrc"), lookup)
 
 
 def recoup(
@@ -237,9 +238,8 @@ def promoted_vs_other(engagement: DataFrame, country_daily: DataFrame) -> DataFr
 
     The track name stays a grouping key until the rows are few: only then one name is chosen.
     """
-    daily = daily_streams(split_promoted(engagement), "bucket", "engaged_track_name")
-    inside = within_window(
-        daily, spend_window(country_daily), spread_by=("isrc", "report_date")
+    inside = streams_inside(
+        split_promoted(engagement), spend_window(country_daily), "bucket", "engaged_track_name"
     )
     named = inside.groupBy(CAMPAIGN, "bucket", "isrc", "engaged_track_name").agg(
         F.sum("streams").alias("streams")

@@ -26,16 +26,21 @@ def daily_streams(rows: DataFrame, *keys: str, measures: dict[str, Column] | Non
     return rows.groupBy(*grain).agg(F.sum("streams").alias("streams"), *extra)
 
 
+def streams_inside(rows: DataFrame, windows: DataFrame, *keys: str) -> DataFrame:
+    """Engagement inside the spend window with additive streams, as rows or summed to days."""
+    spread = ("isrc", "report_date")
+    return within_window(rows, windows, lambda raw: daily_streams(raw, *keys), spread)
+
+
 def engagement_monthly(
     rows: DataFrame, windows: DataFrame, *keys: str, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """Campaign streams per recording and month inside the spend window.
 
-    Countries are summed away before the window join; ``carry`` keeps window columns (they
-    have one value per campaign) so that they need no second join.
+    ``carry`` keeps window columns (they have one value per campaign) so that they need no
+    second join.
     """
-    daily = daily_streams(rows, *keys)
-    inside = within_window(daily, windows, spread_by=("isrc", "report_date"))
+    inside = streams_inside(rows, windows, *keys)
     month = month_of(F.col("report_date")).alias("month")
     kept = [F.max(name).alias(name) for name in carry]
     grouped = inside.groupBy(CAMPAIGN, *keys, "isrc", month)

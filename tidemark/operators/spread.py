@@ -3,16 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import pinned
+
 SALTS = 16
+# Lookup rows are a key and a few numbers or days, so this many are some 50 MB.
+BROADCAST_ROWS = 500_000
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """One row per key, counted: ``small`` lookups may be broadcast."""
+
+    rows: DataFrame
+    small: bool
+
+
+def counted(rows: DataFrame, store: bool = True) -> Lookup:
+    """Count a lookup before it is joined.
+
+    It is written to the shared folder, so that counting and joining do not compute it twice;
+    ``store=False`` is for lookups that are cheap to compute again.
+    """
+    kept = pinned(rows, "lookup") if store else rows
+    return Lookup(kept, kept.count() <= BROADCAST_ROWS)
 
 
 def spread_join(
     facts: DataFrame,
-    lookup: DataFrame,
+    lookup: Lookup,
     on: str,
     spread_by: Sequence[str],
     how: str = "inner",
@@ -20,13 +43,14 @@ def spread_join(
 ) -> DataFrame:
     """Join facts to a lookup with one row per ``on``.
 
-    The join has no hint. Where the measured lookup fits the broadcast threshold, Spark sends
-    it to the tasks and the facts stay in place; beyond that both sides are shuffled by
-    (key, salt), so a key holding a third of the facts is worked on by ``salts`` tasks. The
-    salt leaves the row set and the result as they are. Reduce the facts before the call: then
-    Spark knows the lookup's size before it would have to move them.
+    A small lookup is broadcast and the facts stay where they are. A larger one is shuffled with
+    the facts by (key, salt), so a key holding a third of the facts is worked on by ``salts``
+    tasks. The salt leaves the row set and the result as they are.
     """
+    if lookup.small:
+        return facts.join(F.broadcast(lookup.rows), on, how)
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = facts.withColumn("_salt", salt)
-    return salted.join(lookup.withColumn("_salt", copies), [on, "_salt"], how).drop("_salt")
+    spread = lookup.rows.withColumn("_salt", copies).hint("merge")
+    return salted.join(spread, [on, "_salt"], how).drop("_salt")

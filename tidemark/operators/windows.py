@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import money, month_of
-from tidemark.operators.spread import spread_join
+from tidemark.operators.spread import counted, spread_join
 
 CAMPAIGN = "campaign_id"
 
@@ -53,12 +53,19 @@ def date_spine(windows: DataFrame, countries: Sequence[str], by: str = CAMPAIGN)
 
 
 def within_window(
-    daily: DataFrame, windows: DataFrame, spread_by: Sequence[str], by: str = CAMPAIGN
+    rows: DataFrame,
+    windows: DataFrame,
+    daily: Callable[[DataFrame], DataFrame],
+    spread_by: Sequence[str],
+    by: str = CAMPAIGN,
 ) -> DataFrame:
-    """Daily rows whose day lies in their campaign's window, with the window's columns.
+    """Rows whose day lies in their campaign's window, with the window's columns.
 
-    An equi-join on the campaign with the range as a filter. Give it rows already reduced to
-    the day, so that country rows never travel.
+    An equi-join on the campaign with the range as a filter. Few windows are broadcast and filter
+    the rows where they are read. Otherwise ``daily`` sums the rows to days first, so that
+    country rows never travel, and the result has daily rows; callers aggregate either alike.
     """
-    joined = spread_join(daily, windows, by, spread_by)
+    lookup = counted(windows)
+    reduced = rows if lookup.small else daily(rows)
+    joined = spread_join(reduced, lookup, by, spread_by)
     return joined.where(F.col("report_date").between(F.col("first_day"), F.col("last_day")))
