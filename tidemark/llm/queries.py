@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import mixing, simhash, sql
 from tidemark.llm.common import table
 
 
@@ -13,6 +14,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, target and words taken of every document in the mix."""
+    taken = mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
+    return taken.select(F.col("row_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op9_mix": (op9_mix, sql.MIX),
 }
