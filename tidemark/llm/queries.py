@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, simhash, sql
+from tidemark.llm import mixing, packing, simhash, sql
 from tidemark.llm.common import table
 
 
@@ -20,7 +20,13 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("row_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of at most 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
     "op9_mix": (op9_mix, sql.MIX),
+    "op10_pack": (op10_pack, None),
 }
