@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, simhash, sql
+from tidemark.llm import mixing, packing, simhash, sql, url_rules
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest fitting rule and verdict of every page."""
+    rules = url_rules.rule_table(spark, url_rules.RULES)
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, target and words taken of every document in the mix."""
     taken = mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
@@ -27,6 +33,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op6_url_rules": (op6_url_rules, sql.URL_RULES),
     "op9_mix": (op9_mix, sql.MIX),
     "op10_pack": (op10_pack, None),
 }

@@ -37,3 +37,23 @@ SELECT doc_id, size, source_size, target,
         + greatest(0, least(start + size + source_size, round(target)) - start - source_size))::BIGINT AS taken
 FROM streams
 """
+
+URL_RULES = r"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+split AS (
+  SELECT page_id, url,
+         coalesce(translate(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+fits AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, rule_verdict,
+         row_number() OVER (PARTITION BY page_id
+                            ORDER BY length(rule_host || rule_path) DESC NULLS LAST,
+                                     length(rule_host) DESC) AS place
+  FROM split LEFT JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM fits WHERE place = 1
+"""
