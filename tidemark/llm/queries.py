@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, simhash, sql, url_rules
-from tidemark.llm.common import table
+from tidemark.llm import language, mixing, packing, simhash, sql, url_rules
+from tidemark.llm.common import is_split, split_of, table
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    counts = language.fit(docs, split_of("doc_id", 4) != 2)
+    told = docs.select(
+        "doc_id", is_split("doc_id", 4, 2).alias("held_out"), language.predict(F.col("text"), counts).alias("told")
+    )
+    return told.select("doc_id", "held_out", "told.lang_pred", "told.score")
+
+
 def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, longest fitting rule and verdict of every page."""
     rules = url_rules.rule_table(spark, url_rules.RULES)
@@ -33,6 +43,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op5_language": (op5_language, None),
     "op6_url_rules": (op6_url_rules, sql.URL_RULES),
     "op9_mix": (op9_mix, sql.MIX),
     "op10_pack": (op10_pack, None),
