@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, packing, simhash, sql, url_rules
+from tidemark.llm import language, mixing, packing, simhash, sql, toxicity, url_rules, warc
 from tidemark.llm.common import is_split, split_of, table
 
 
@@ -30,6 +30,24 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")), keep_payload=False)
+    return records.select(
+        F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), split_of("doc_id", 5) != 0)
+    scored = docs.select(
+        "doc_id", is_split("doc_id", 5, 0).alias("held_out"), toxicity.score(F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size, target and words taken of every document in the mix."""
     taken = mixing.taken_words(mixing.mix(table(spark, sf_dir, "documents")))
@@ -45,6 +63,8 @@ QUERIES = {
     "op1_simhash": (op1_simhash, None),
     "op5_language": (op5_language, None),
     "op6_url_rules": (op6_url_rules, sql.URL_RULES),
+    "op7_warc": (op7_warc, sql.WARC),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_mix": (op9_mix, sql.MIX),
     "op10_pack": (op10_pack, None),
 }

@@ -57,3 +57,16 @@ fits AS (
     ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
 SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM fits WHERE place = 1
 """
+
+WARC = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(encode(coalesce(html, ''))) AS payload_digest
+  FROM pages),
+firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
