@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, packing, simhash, sql, toxicity, url_rules, warc
+from tidemark.llm import html_text, language, mixing, packing, simhash, sql, toxicity, url_rules, warc
 from tidemark.llm.common import is_split, split_of, table
 
 
@@ -14,6 +14,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = table(spark, sf_dir, "pages").select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents")
@@ -61,6 +67,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op4_html_text": (op4_html_text, None),
     "op5_language": (op5_language, None),
     "op6_url_rules": (op6_url_rules, sql.URL_RULES),
     "op7_warc": (op7_warc, sql.WARC),
