@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, language, mixing, packing, simhash, sql, toxicity, url_rules, warc
+from tidemark.llm import ann, embedding_dedup, html_text, language, mixing, packing, simhash, sql, toxicity, url_rules, warc
 from tidemark.llm.common import is_split, split_of, table
 
 
@@ -14,6 +14,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = table(spark, sf_dir, "pages").select("page_id", "url", html_text.extract(F.col("html")).alias("text"))
@@ -67,6 +77,8 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
+    "op2_embedding_dedup": (op2_embedding_dedup, None),
+    "op3_ann": (op3_ann, None),
     "op4_html_text": (op4_html_text, None),
     "op5_language": (op5_language, None),
     "op6_url_rules": (op6_url_rules, sql.URL_RULES),
