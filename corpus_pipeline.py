@@ -4,21 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
-from tidemark.llm.common import table
+from tidemark.llm import language, mixing, packing, simhash, toxicity
+from tidemark.llm.common import split_of, table
 from tidemark.session import pinned
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half stay.
+
+    The model learns from the labels of the given tables, leaving out the held-out fifth. Null and
+    empty texts trigger nothing and stay; without labels every document stays.
+    """
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.clean(docs, toxicity.fit(docs, labels, split_of("doc_id", 5) != 0))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages stay.
+
+    Languages are learned from the documents given, leaving out the held-out quarter. Texts that
+    are null or have no letter go, and texts that no language codes better than chance.
+    """
+    return language.recognised(docs, language.fit(docs, split_of("doc_id", 4) != 2))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+    """The document with the least id of each SimHash group stays.
+
+    Rows that repeat an id are one document if they are in one group; rows without an id stay.
+    """
     return simhash.without_copies(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of its source takes it.
+
+    Sources share half again as many words as there are, so a document comes once, twice or not
+    at all. Documents without words have no place in the mix.
+    """
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document given; repeats are packed as often as they come."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("language", known_language),
     ("near_duplicates", near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
-# SQL has no XXH64 and no trained models.
+# SQL has no trained models, no XXH64 and no tokenizer; the stages are tested one by one.
 ORACLE_SQL = None
 
 
