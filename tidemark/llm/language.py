@@ -157,7 +157,9 @@ def training_sample(
     share = F.least(F.lit(1.0), F.lit(2.0 * limit + 100) / F.col("n"))
     at = (F.col("h").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    few = keyed.join(sizes, "lang").where(at <= share).withColumn("place", rank)
+    # One row per language, far fewer than the sample that is brought to the driver: broadcast, so
+    # that texts are filtered where they are read.
+    few = keyed.join(F.broadcast(sizes), "lang").where(at <= share).withColumn("place", rank)
     return few.where(F.col("place") <= limit).select("lang", "text")
 
 
