@@ -1,0 +1,354 @@
+"""The text operators against brute force and on odd rows."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import language, mixing, packing, simhash, toxicity
+from tidemark.llm.common import running_sum, split_of
+from tidemark.llm.components import components
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that the operators use inside.
+CLASH = ["row", "id", "size", "fingerprint", "target", "_often", "times", "h", "score", "piece", "node", "at"]
+
+
+def documents(spark, rows, clash=False):
+    made = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], DOCS)
+    if clash:
+        for name in CLASH:
+            made = made.withColumn(name, F.lit("clash"))
+    return made
+
+
+def union_find(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def words(rng, n):
+    return " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "Epsilon", "zeta", "eta"]) for _ in range(n))
+
+
+def plain_fingerprint(text):
+    parts = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for space in "\t\n\x0b\x0c\r":
+        parts = parts.replace(space, " ")
+    parts = [p for p in parts.split(" ") if p]
+    if not parts:
+        return 0
+    shingles = [" ".join(parts[i : i + 3]) for i in range(len(parts) - 2)] or [" ".join(parts)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_components_match_union_find(spark):
+    rng = random.Random(5)
+    for links in ([], [(1, 1)], [(i, i + 1) for i in range(40)], [(rng.randrange(80), rng.randrange(80)) for _ in range(60)]):
+        made = spark.createDataFrame([*links, (None, 3), (4, None)], "a long, b long")
+        nodes = {n for a, b in links if a != b for n in (a, b)}
+        found = {r.node: r.root for r in components(made).collect()}
+        assert found == union_find(nodes, [(a, b) for a, b in links if a != b])
+
+
+def test_running_sum_of_a_hot_key(spark):
+    rng = random.Random(1)
+    rows = [("hot" if i % 3 else None, rng.random(), i, rng.randrange(5)) for i in range(900)]
+    made = spark.createDataFrame(rows, "k string, at double, i long, v long")
+    found = {r.i: r.s for r in running_sum(made, ["k"], "at", ["i"], "v", "s", run_rows=50).collect()}
+    sums = defaultdict(int)
+    for key, _, i, value in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        assert found[i] == sums[key]
+        sums[key] += value
+    assert len(found) == 900
+
+
+def test_simhash_matches_brute_force(spark):
+    rng = random.Random(2)
+    base = [words(rng, n) for n in (1, 2, 3, 40, 80, 200)]
+    texts = [*base, *base, None, "", " \t\n", "İ É\x85x", "the\x1cend"]
+    texts += [f"{t} tail{i}" for i, t in enumerate(base * 4)] + [words(rng, 60_000)]
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    found = {r.doc_id: r for r in simhash.near_duplicates(documents(spark, rows, clash=True)).collect()}
+    prints = {i: plain_fingerprint(t) for i, t, _ in rows if i != len(rows) - 1}
+    assert {i: int(found[i].fingerprint, 16) for i in prints} == prints
+    prints[len(rows) - 1] = int(found[len(rows) - 1].fingerprint, 16)
+    links = [(a, b) for a, b in combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert {i: r.component_id for i, r in found.items()} == union_find(prints, links)
+
+
+@pytest.mark.parametrize("crowded", [2, 64])
+def test_crowded_blocks_lose_no_link(spark, crowded):
+    rng = random.Random(3)
+    prints = {rng.getrandbits(64) for _ in range(30)}
+    for start in list(prints)[:3]:
+        for _ in range(120):
+            other = start
+            for _ in range(rng.randrange(7)):
+                other ^= 1 << rng.randrange(64)
+            prints.add(other)
+    signed = {p: p - (1 << 64) if p >> 63 else p for p in prints}
+    made = spark.createDataFrame([(v,) for v in signed.values()], "fingerprint long")
+    pairs = simhash.linked_prints(made, 2, crowded)
+    found = {r.node: r.root for r in components(pairs).collect()}
+    links = [(signed[a], signed[b]) for a, b in combinations(prints, 2) if (a ^ b).bit_count() <= 2]
+    want = union_find(signed.values(), links)
+    assert {n: found.get(n, n) for n in signed.values()} == want
+
+
+def test_simhash_of_odd_rows(spark):
+    empty = documents(spark, [])
+    assert simhash.near_duplicates(empty).collect() == []
+    assert simhash.without_copies(empty).collect() == []
+    rows = [(7, "a b c d", "s"), (7, "a b c d", "s"), (None, "a b c d", "s"), (9, None, "s"), (3, "", "s")]
+    found = sorted((str(r.doc_id), r.component_id) for r in simhash.near_duplicates(documents(spark, rows)).collect())
+    assert found == [("3", 3), ("7", 7), ("7", 7), ("9", 3), ("None", 7)]
+    kept = simhash.without_copies(documents(spark, rows, clash=True))
+    assert kept.columns == documents(spark, rows, clash=True).columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "7", "None"]
+
+
+def test_targets_stop_at_twice_the_source(spark):
+    sizes = {"a": 10, "b": 1000, "c": 1000, "d": 4, None: 300}
+    made = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    found = {r.source: r.target for r in mixing.source_targets(made).collect()}
+    order = ["a", "b", "c", "d", None]
+    weight = dict(zip(order, [5, 2, 1, 5, 2]))
+    target, left, still = {}, 1.5 * sum(sizes.values()), set(order)
+    while True:
+        level = left / sum(weight[s] for s in still)
+        full = {s for s in still if weight[s] * level > 2 * sizes[s]}
+        if not full:
+            break
+        for s in full:
+            target[s] = 2 * sizes[s]
+            left -= target[s]
+        still -= full
+    target |= {s: weight[s] * level for s in still}
+    assert found == pytest.approx(target)
+
+
+def test_mix_reaches_its_targets(spark):
+    rng = random.Random(4)
+    rows = [(i, words(rng, rng.randrange(1, 400)), rng.choice(["x", "x", "x", "y", None])) for i in range(300)]
+    rows += [(500, None, "y"), (501, "", "x"), (502, words(rng, 30_000), "x"), (7, rows[7][1], rows[7][2]), (None, "a b", "y")]
+    mixed = mixing.mix(documents(spark, rows, clash=True), block_words=16)
+    taken = mixing.taken_words(mixed).collect()
+    assert len(taken) == len(rows)
+    by_source = defaultdict(int)
+    for r in taken:
+        assert 0 <= r.taken <= 2 * r["size"]
+        by_source[r.source] += r.taken
+    for r in mixed.sources.collect():
+        assert abs(by_source[r.source] - r.target) <= 0.5
+    again = mixing.taken_words(mixing.mix(documents(spark, rows).repartition(5), block_words=16))
+    assert Counter((r.row_id, r.taken) for r in again.collect()) == Counter((r.row_id, r.taken) for r in taken)
+    # Every stretch of the schedule holds the sources by weight.
+    order = [r.source_ix for r in mixed.schedule.orderBy("position").collect()]
+    share = Counter(order)
+    for stop in range(64, len(order), 64):
+        for source, n in share.items():
+            assert abs(order[:stop].count(source) - stop * n / len(order)) < 8
+    # The blocks of a source are its stream, each cut once.
+    spans = mixed.spans.collect()
+    filled = defaultdict(int)
+    for s in spans:
+        filled[s.source_ix, s.slot] += s.words
+    assert max(filled.values()) == 16 and sum(1 for v in filled.values() if v < 16) <= len(share)
+
+
+def test_mix_of_odd_rows(spark):
+    assert mixing.taken_words(mixing.mix(documents(spark, []))).collect() == []
+    none = mixing.taken_words(mixing.mix(documents(spark, [(1, None, "a"), (2, " ", None)]))).collect()
+    assert [(r.taken, r.target) for r in none] == [(0, 0.0), (0, 0.0)]
+    docs = documents(spark, [(1, "a b c", "a"), (2, "a b", "b"), (3, None, "b")], clash=True)
+    found = mixing.mixed_documents(docs)
+    assert found.columns == docs.columns
+    assert {r.doc_id for r in found.collect()} <= {1, 2}
+
+
+def optimum(items, capacity):
+    best = len(items)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(items):
+            best = len(bins)
+            return
+        for k in {b: k for k, b in enumerate(bins) if b + items[i] <= capacity}.values():
+            place(i + 1, [*bins[:k], bins[k] + items[i], *bins[k + 1 :]])
+        place(i + 1, [*bins, items[i]])
+
+    items = sorted(items, reverse=True)
+    place(0, [])
+    return best
+
+
+def test_reduction_keeps_a_best_packing():
+    rng = random.Random(6)
+    for _ in range(250):
+        capacity = rng.choice([10, 15, 24])
+        items = [rng.randint(1, capacity) for _ in range(rng.randint(1, 9))]
+        fixed, rest = packing.reduce_by_dominance(dict(Counter(items)), capacity)
+        left = [length for length, n in rest.items() for _ in range(n)]
+        assert sum(p.count for p in fixed) + (optimum(left, capacity) if left else 0) == optimum(items, capacity)
+
+
+def test_plans_place_every_item_once():
+    rng = random.Random(7)
+    for _ in range(80):
+        capacity = rng.choice([20, 4096])
+        counts = Counter(rng.choice([rng.randint(1, capacity), rng.randint(1, 9)]) for _ in range(rng.choice([0, 3, 900])))
+        places, sequences = packing.plan(dict(counts), capacity), defaultdict(list)
+        for length, first, upto, each, sequence, offset in places.itertuples(index=False):
+            for x in range(first, upto):
+                sequences[sequence + (x - first) // each].append((offset + (x - first) % each * length, length))
+        placed = Counter(length for items in sequences.values() for _, length in items)
+        assert placed == counts
+        for items in sequences.values():
+            end = 0
+            for offset, length in sorted(items):
+                assert offset == end
+                end += length
+            assert end <= capacity
+
+
+def test_word_ids_are_those_of_the_tokenizer():
+    ids = packing.WordIds(packing.tokenizer_path())
+    for text in (
+        "a\x1cb", "Don't  stop\t'S 'S!'s", "ΑΣ ΣΑΣ", "İstanbul ǅ", "<|endoftext|>x<|startoftext|>", "é ́a",
+        "½ ²3 ª×÷ÀÖØÞ", "  x\x85y", "😀👍🏽", "l’été 12ab3", "'LL 'll'Ve", "١٢٣ Ⅷ", "\x00 \x7f\xada", "ﬁ ſ K", "",
+    ):
+        want = ids.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids(text), "<u4").tolist() == want, text
+
+
+def test_packing_round_trip(spark):
+    rng = random.Random(8)
+    rows = [(i, words(rng, rng.randrange(0, 300)), "s") for i in range(60)]
+    rows += [(100, None, "s"), (101, "", "s"), (102, words(rng, 9000), "s"), (3, rows[3][1], "s"), (None, "one two", "s")]
+    rows += [(200 + i, "same words", "s") for i in range(50)]
+    found = packing.pack(documents(spark, rows, clash=True)).collect()
+    ids = packing.WordIds(packing.tokenizer_path())
+    want = Counter()
+    for i, text, _ in rows:
+        data = ids(text or "") + b"\x01\0\0\0"
+        for piece, at in enumerate(range(0, len(data), 4 * 4096)):
+            part = data[at : at + 4 * 4096]
+            want[i, piece, at // 4, len(part) // 4, zlib.crc32(part)] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == want
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for items in sequences.values():
+        end = 0
+        for offset, length in sorted(items):
+            assert offset == end
+            end += length
+        assert end <= 4096
+    total = sum(r.length for r in found)
+    assert len(sequences) <= -(-total // 4096) + 1
+    assert packing.pack(documents(spark, [])).collect() == []
+
+
+TONGUES = {"aa": "the house of and that is with", "bb": "der hund und nicht ist mit von", "cc": "el perro que los una para"}
+
+
+def tongue(rng, lang, n=60):
+    return " ".join(rng.choice(TONGUES[lang].split()) for _ in range(n))
+
+
+def test_code_lengths_are_those_of_partial_matching():
+    import pandas as pd
+
+    counts = language.train(pd.DataFrame({"lang": ["x", "x"], "text": ["abracadabra abra", "cab"]}))
+    scorer = language.Scorer(counts)
+    symbol, order = counts.symbol_of, language.ORDER
+    seen = [Counter() for _ in range(order + 1)]
+    for text in ("abracadabra abra", "cab"):
+        symbols = [0] * order + [int(symbol[b]) for b in text.encode()]
+        for at in range(order, len(symbols)):
+            for k in range(order + 1):
+                seen[k][tuple(symbols[at - k : at + 1])] += 1
+
+    def chance(context, s, k):
+        if k < 0:
+            return 1 / language.SYMBOLS
+        tail = context[len(context) - k :]
+        after = {g[-1]: n for g, n in seen[k].items() if g[:-1] == tail}
+        total = sum(after.values())
+        if not total:
+            return chance(context, s, k - 1)
+        if s in after:
+            return after[s] / (total + len(after))
+        return len(after) / (total + len(after)) * chance(context, s, k - 1)
+
+    text = "abra crab zab"
+    symbols = [0] * order + [int(symbol[b]) for b in text.encode()]
+    bits = sum(-np.log2(chance(tuple(symbols[i - order : i]), symbols[i], order)) for i in range(order, len(symbols)))
+    found, size = scorer.bits(text)
+    assert size == len(text) and abs(found[0] / language.SCALE - bits) < 0.02
+
+
+def test_language_of_held_out_texts(spark):
+    rng = random.Random(9)
+    rows = [(i, tongue(rng, lang), lang, "s", 0) for i, lang in enumerate(list(TONGUES) * 60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    counts = language.fit(docs, split_of("doc_id", 4) != 2)
+    odd = [(900, None, None, None, 0), (901, "", None, None, 0), (902, "12 34 !", None, None, 0), (903, tongue(rng, "bb", 60_000), None, None, 0)]
+    asked = spark.createDataFrame([*rows, *odd, rows[0]], DOCS).withColumn("lang_pred", F.lit("clash"))
+    found = asked.select("doc_id", "lang", language.predict(F.col("text"), counts).alias("t")).select("doc_id", "lang", "t.*")
+    told = {r.doc_id: r for r in found.collect()}
+    assert [told[i].lang_pred for i in (900, 901, 902, 903)] == ["und", "und", "und", "bb"]
+    assert all(told[i].lang_pred == lang for i, _, lang, *_ in rows)
+    assert all(0 <= r.score <= 1 for r in told.values())
+    kept = language.recognised(asked, counts)
+    assert kept.columns == asked.columns
+    assert kept.count() == len(rows) + 2
+    none = language.fit(docs.where("false"), F.lit(True))
+    assert docs.limit(3).select(language.predict(F.col("text"), none)["lang_pred"].alias("p")).distinct().collect()[0].p == "und"
+
+
+def test_toxicity_of_held_out_texts(spark):
+    rng = random.Random(10)
+    rude = ["grobian", "flegel", "rabauke"]
+    rows, marks = [], []
+    for i in range(400):
+        text = [rng.choice(["tree", "house", "river", "stone", "cloud"]) for _ in range(40)]
+        if i % 5 == 0:
+            for _ in range(3):
+                text[rng.randrange(40)] = rng.choice(rude) + rng.choice(["", "ei", ",", "!"])
+        rows.append((i, " ".join(text), "en", "s", 0))
+        marks.append((i, 1, int(i % 5 == 0)))
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels.unionByName(labels.limit(3)), split_of("doc_id", 5) != 0)
+    odd = [(900, None, None, None, 0), (901, "", None, None, 0), (902, "grobian " * 30_000, None, None, 0)]
+    asked = spark.createDataFrame([*rows, *odd], DOCS).withColumn("_score", F.lit("clash"))
+    scores = {r.doc_id: r.s for r in asked.select("doc_id", toxicity.score(F.col("text"), model).alias("s")).collect()}
+    held = [i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert all((scores[i] >= 0.5) == (i % 5 == 0) for i in held)
+    assert scores[900] == scores[901] < 0.5 and all(0 <= s <= 1 for s in scores.values())
+    kept = toxicity.clean(asked, model)
+    assert kept.columns == asked.columns and kept.count() == 320 + 2
+    untaught = toxicity.fit(docs, labels.where("false"), F.lit(True))
+    assert toxicity.clean(docs, untaught).count() == 400

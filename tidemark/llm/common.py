@@ -24,6 +24,14 @@ def is_split(row_id: str, parts: int, part: int) -> Column:
     return F.coalesce(split_of(row_id, parts) == F.lit(part), F.lit(False))
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that none of ``taken`` has, whatever their case."""
+    used = {column.lower() for column in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def running_sum(
     rows: DataFrame,
     by: list[str],

@@ -200,6 +200,5 @@ def recognised(docs: DataFrame, counts: Counts | None, text: str = "text") -> Da
     Texts without a letter go, and texts that the best language codes no better than equal
     symbols would: they are in none of the languages. Without a learned language all rows go.
     """
-    told = docs.withColumn("_told", predict(F.col(text), counts))
-    known = (F.col("_told.lang_pred") != UNKNOWN) & (F.col("_told.bits") < float(np.log2(SYMBOLS)))
-    return told.where(known).select(*docs.columns)
+    told = predict(F.col(text), counts)
+    return docs.where((told["lang_pred"] != UNKNOWN) & (told["bits"] < float(np.log2(SYMBOLS))))

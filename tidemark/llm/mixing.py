@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import running_sum
+from tidemark.llm.common import fresh, running_sum
 from tidemark.session import pinned
 
 # A word is a run of anything but 0x20 and 0x09-0x0D.
@@ -205,13 +205,15 @@ def mixed_documents(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     times = taken.where("size > 0").groupBy("row_id", "source", "size").agg(
         F.max(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("times")
     )
-    times = pinned(times.where("times > 0"), "times").select(
-        F.col("row_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "times"
+    by_id, by_source, by_size, often, copy = (
+        fresh(name, docs.columns) for name in ("_id", "_source", "_size", "_often", "_copy")
     )
+    named = {by_id: "row_id", by_source: "source", by_size: "size", often: "times"}
+    times = pinned(times.where("times > 0"), "times").select(*[F.col(c).alias(n) for n, c in named.items()])
     same = (
-        F.col(row_id).eqNullSafe(F.col("_id"))
-        & F.col(source).eqNullSafe(F.col("_source"))
-        & (word_count(F.col(text)) == F.col("_size"))
+        F.col(row_id).eqNullSafe(F.col(by_id))
+        & F.col(source).eqNullSafe(F.col(by_source))
+        & (word_count(F.col(text)) == F.col(by_size))
     )
-    copies = F.explode(F.sequence(F.lit(1), F.col("times")))
-    return docs.join(times, same).select(*docs.columns, copies.alias("_copy")).drop("_copy")
+    copies = F.explode(F.sequence(F.lit(1), F.col(often)))
+    return docs.join(times, same).select(*docs.columns, copies.alias(copy)).drop(copy)

@@ -244,4 +244,4 @@ def score(text: Column, model: Model) -> Column:
 
 def clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows whose score is below one half; columns as in ``docs``."""
-    return docs.withColumn("_score", score(F.col(text), model)).where("_score < 0.5").select(*docs.columns)
+    return docs.where(score(F.col(text), model) < 0.5)
