@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.lab.registry import registered
 
 SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="benchmark tables are not here")
@@ -28,7 +29,7 @@ def canonical(rows, columns):
     return sorted(tuple(repr(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_query_matches_its_sql(spark, sql, name):
     df = contract.queries()[name](spark, str(SF))
     found = canonical([tuple(r) for r in df.collect()], df.columns)
