@@ -322,8 +322,9 @@ def test_link_run_end_to_end(spark, store, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     future = link_item("later", "2026-08-29T00:00:00Z")
+    late = link_item("late", "2026-08-29T00:00:00Z")
     write_pages(landing / "entities", {1: [link_item(n) for n in names[:2]],
-                                       2: [link_item(n) for n in names[2:]], 3: [future]}, 5)
+                                       2: [link_item(n) for n in names[2:]], 3: [future, late]}, 6)
     window = "window=2026-08-19"
     breakdown, engaged, cohort = specs["breakdown"], specs["engagement"], specs["retention"]
     export(landing, "breakdown", "batch=0", window, lines=[link_line(breakdown, n) for n in "ab"])
@@ -337,18 +338,29 @@ def test_link_run_end_to_end(spark, store, tmp_path):
               "status": 500, "message": "gone"}
     land(landing / "errors", "e.jsonl", failed)
 
+    # Nothing was streamed over this link: its export has no rows. The count of another is wrong.
+    export(landing, "engagement", "batch=0", "entity=none", window, lines=[])
+    export(landing, "engagement", "batch=0", "entity=short", window, lines=[link_line(engaged, "a")])
+    land(landing / "counts", "c.jsonl", {"kind": "engagement", "batch": "0", "entity_id": "short",
+                                         "window_start": "2026-08-19", "expected": 2})
+    # A link of the batch that was created after the run's day and failed is no idle link.
+    land(landing / "errors", "f.jsonl", {**failed, "entity_id": "late"})
     args = (store, "links", specs, str(landing), "full", NOW.date(), NOW)
-    report = jobs.sync_landing(*args)
+    report = jobs.sync_landing(*args, waves=3)
     assert not report.finished
-    found = {r["entity_id"]: r["completed"] for r in report.outcome.collect()}
-    assert found == {"a": True, "b": False, "later": True}
-    assert tuple(report.entities.first()) == (5, 0, 1)
-    assert store.read(specs["entities"]).count() == 5
+    rows = [(r["entity_id"], r["completed"]) for r in report.outcome.collect()]
+    found = dict(rows)
+    assert len(rows) == len(found)
+    assert found == {"a": True, "b": False, "none": True, "short": False, "late": False, "later": True}
+    (landing / "errors" / "f.jsonl").write_text("")
+    (landing / "counts" / "c.jsonl").write_text("")
+    assert tuple(report.entities.first()) == (6, 0, 1)
+    assert store.read(specs["entities"]).count() == 6
     assert sorted(r["link_id"] for r in store.read(breakdown).collect()) == ["a", "b"]
     assert [r["link_id"] for r in store.read(engaged).collect()] == ["a"]
     assert store.read(cohort).count() == 0
     progress = jobs.completed_ids(store, "links", "full", NOW.date())
-    assert sorted(r["entity_id"] for r in progress.collect()) == ["a", "later"]
+    assert sorted(r["entity_id"] for r in progress.collect()) == ["a", "later", "none"]
 
     (landing / "errors" / "e.jsonl").write_text("")
     (landing / "breakdown" / "batch=1" / window / "rows.jsonl").write_text(
@@ -357,12 +369,12 @@ def test_link_run_end_to_end(spark, store, tmp_path):
     export(landing, "engagement", "batch=0", "entity=b", window, lines=[link_line(engaged, "b")])
     again = jobs.sync_landing(*args)
     assert again.finished
-    assert tuple(again.entities.first()) == (5, 2, 0)
+    assert tuple(again.entities.first()) == (6, 2, 1)
     drift = {kind: [tuple(r) for r in rows.collect()] for kind, rows in again.drift.items()}
-    assert drift == {"breakdown": [("x", 3)], "engagement": [("x", 4)], "retention": [("x", 1)]}
+    assert drift == {"breakdown": [("x", 3)], "engagement": [("x", 5)], "retention": [("x", 1)]}
     last = store.read(LAST_SYNC).first()
-    assert (last["sync_key"], last["entities"], last["soft_error_count"]) == ("last_sync_links", 5, 1)
-    assert (last["breakdown_rows"], last["engagement_rows"]) == (3, 4)
+    assert (last["sync_key"], last["entities"], last["soft_error_count"]) == ("last_sync_links", 6, 1)
+    assert (last["breakdown_rows"], last["engagement_rows"]) == (3, 5)
     assert jobs.completed_ids(store, "links", "full", NOW.date()).count() == 0
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_TYPE = "decimal(18,6)"
+# Whole part up to 10^20 and 18 places: line amounts far below a cent still count.
+MONEY_TYPE = "decimal(38,18)"
 
 
 def money(amount: Column) -> Column:

@@ -195,7 +195,7 @@ kept AS (
     CAST(promoted_streams AS BIGINT) AS promoted_streams
   FROM split JOIN promoted USING (campaign_id) WHERE bucket = 'other_releases'
   GROUP BY campaign_id, isrc, promoted_streams
-  HAVING SUM(streams) >= CAST(0.05 AS DECIMAL(9,6)) * promoted_streams
+  HAVING SUM(streams) >= 0.05 * promoted_streams
 )"""
 
 
@@ -218,7 +218,7 @@ SPILLOVER_PERIODS = f"""{sql.with_views(*_SPLIT, sql.STATEMENT, sql.DISTRIBUTOR,
 tracks AS (SELECT campaign_id, isrc FROM kept)
 {PERIODS}"""
 
-_WORTH = "CAST(SUM(CAST(campaign_streams * revenue_per_stream AS DECIMAL(38,12))) AS DOUBLE)"
+_WORTH = "SUM(campaign_streams * revenue_per_stream)"
 
 
 def recoup_playlist(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,14 +270,15 @@ ORDER BY report_date DESC, campaign_id, country_code LIMIT 10"""
 def trailing_rollup(spark: SparkSession, sf: str) -> DataFrame:
     facts = views.lines(spark, sf).withColumn("spend", F.col("l_extendedprice"))
     measures = {"spend": "spend", "streams": "streams"}
-    return rollups.trailing_rollup(
+    totals = rollups.trailing_rollup(
         facts, views.campaigns(spark, sf), "campaign_id", measures, views.AS_OF
     )
+    return totals.withColumn("spend", F.round("spend", 2))
 
 
 TRAILING_ROLLUP = f"""{sql.with_views(sql.LINES)}
 SELECT campaign_id, CASE WHEN s_acctbal < 0 THEN 'paused' ELSE 'active' END AS status,
-  CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,6))) AS DOUBLE) AS spend,
+  ROUND(SUM(l_extendedprice), 2) AS spend,
   CAST(SUM(streams) AS BIGINT) AS streams
 FROM lines JOIN supplier ON campaign_id = s_suppkey
 WHERE report_date >= DATE '2001-07-27' - INTERVAL 30 DAY GROUP BY ALL"""

@@ -457,14 +457,14 @@ def statement_table(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(STATEMENT).groupBy("month", "country_code", "currency").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("streams").alias("streams"),
-        F.sum(money(F.col("revenue"))).cast("double").alias("revenue"),
+        F.round(F.sum("revenue"), 6).alias("revenue"),
     )
 
 
 STATEMENT_TABLE = f"""{sql.with_views(sql.LINES, sql.STATEMENT)}
 SELECT month, country_code, currency, COUNT(*) AS n_rows,
   CAST(SUM(streams) AS BIGINT) AS streams,
-  CAST(SUM(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE) AS revenue
+  ROUND(SUM(revenue), 6) AS revenue
 FROM statement GROUP BY ALL"""
 
 STATEMENT_MONTHLY = f"""{sql.with_views(sql.LINES, sql.STATEMENT, sql.DISTRIBUTOR)}

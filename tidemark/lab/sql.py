@@ -51,7 +51,7 @@ distributor AS (
 RATE = """
 rate AS (
   SELECT isrc, month,
-    CAST(SUM(CAST(revenue AS DECIMAL(18,6))) AS DOUBLE) / NULLIF(CAST(SUM(streams) AS DOUBLE), 0)
+    SUM(revenue) / NULLIF(SUM(streams), 0)
       AS revenue_per_stream
   FROM statement WHERE currency = 'USD' GROUP BY isrc, month
 )"""

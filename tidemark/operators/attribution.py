@@ -7,6 +7,8 @@ one campaign filter the inputs or the result. Engagement is reduced to months an
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,8 +171,8 @@ def noise_cut(rows: DataFrame, windows: DataFrame, min_share: float = 0.05) -> D
     )
     totals = counted(promoted, store=False)
     judged = spread_join(others, totals, CAMPAIGN, spread_by=("isrc",))
-    threshold = F.lit(min_share).cast("decimal(9,6)") * F.col("promoted_streams")
-    return judged.where(F.col("other_streams") >= threshold)
+    share = Decimal(str(min_share))
+    return judged.where(F.col("other_streams") >= F.lit(share) * F.col("promoted_streams"))
 
 
 def spillover_periods(

@@ -121,6 +121,18 @@ def run_stats(results: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def no_window(mode: str, as_of: date, days: int = LOOKBACK_DAYS, in_batches: bool = False) -> Column:
+    """Whether an entity with this ``created_date`` asks for no window of its own.
+
+    The windows of a batch are shared: an incremental run asks for the plain lookback of every
+    batch, and a full run from the earliest creation in it, so a member without a window of its
+    own is idle only if its whole batch is, that is if nothing was requested for it.
+    """
+    if in_batches and mode == "incremental":
+        return F.lit(False)
+    return F.size(window_starts(F.col("created_date"), mode, as_of, days)) == 0
+
+
 def entity_stats(
     entities: DataFrame,
     completed_before: DataFrame,
@@ -128,12 +140,21 @@ def entity_stats(
     as_of: date,
     days: int = LOOKBACK_DAYS,
     by: str = "entity_id",
+    requested: DataFrame | None = None,
+    in_batches: bool = False,
 ) -> DataFrame:
-    """One row: entities listed, resumed (done before) and skipped (no window yet)."""
+    """One row: entities listed, resumed (done before) and skipped (no window yet).
+
+    ``requested`` lists entities that had a request after all. ``in_batches`` marks families whose
+    windows belong to a batch: its incremental runs skip nobody.
+    """
     done = completed_before.select(by).distinct().withColumn("_done", F.lit(True))
-    marked = entities.select(by, "created_date").join(done, by, "left")
+    asked = (done.limit(0) if requested is None else requested.select(by).distinct()).select(
+        by, F.lit(True).alias("_asked")
+    )
+    marked = entities.select(by, "created_date").join(done, by, "left").join(asked, by, "left")
     resumed = F.col("_done").isNotNull()
-    idle = F.size(window_starts(F.col("created_date"), mode, as_of, days)) == 0
+    idle = no_window(mode, as_of, days, in_batches) & F.col("_asked").isNull()
     return marked.agg(
         F.count(F.lit(1)).alias("entities_synced"),
         F.count_if(resumed).alias("entities_resumed"),

@@ -65,3 +65,28 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch table that is no longer read."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """The intermediate tables of one job, deleted together."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def pin(self, df: DataFrame, name: str = "pinned") -> DataFrame:
+        """``pinned``, remembered for deletion."""
+        path = scratch_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def discard(self) -> None:
+        while self.paths:
+            discard(self.spark, self.paths.pop())
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.discard()

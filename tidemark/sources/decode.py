@@ -19,7 +19,7 @@ def _checked_text(spec: TableSpec) -> set[str]:
     return {f.name for f in spec.fields if f.name in wanted and f.dataType == T.StringType()}
 
 
-WHOLE = T.DecimalType(18, 0)
+WHOLE = T.DecimalType(38, 0)
 
 
 def _wire_schema(spec: TableSpec) -> T.StructType:
@@ -58,7 +58,7 @@ def _column(spec: TableSpec, field: T.StructField, checked: set[str]) -> Column:
         return F.col(f"_text_{field.name}").alias(field.name)
     if field.dataType == T.DateType():
         return iso_date(F.col(f"_text_{field.name}")).alias(field.name)
-    return F.col("_row")[spec.source_name(field.name)].cast(field.dataType).alias(field.name)
+    return F.col("_row")[spec.source_name(field.name)].try_cast(field.dataType).alias(field.name)
 
 
 def _faults(spec: TableSpec, checked: set[str]) -> Column:
@@ -77,6 +77,9 @@ def _faults(spec: TableSpec, checked: set[str]) -> Column:
             found.append(F.when(~absent & iso_date(text).isNull(), f"{name}: not a date"))
         elif name in checked:
             found.append(F.when(~absent & text.isNull(), f"{name}: not text"))
+        elif field.dataType in (T.LongType(), T.IntegerType()):
+            fits = F.col("_row")[spec.source_name(name)].try_cast(field.dataType).isNotNull()
+            found.append(F.when(~absent & ~fits, f"{name}: out of range"))
     # Joined and split again: functions over arrays would take the projection out of codegen.
     undecodable = F.col("_row").isNull() | F.col("_row")[BAD].isNotNull()
     joined = F.when(undecodable, "undecodable").otherwise(F.concat_ws(SEPARATOR, *found))
@@ -88,7 +91,8 @@ def decode_rows(rows: DataFrame, spec: TableSpec, text: str = "value") -> DataFr
     """Parse one JSON object per row into the table's columns.
 
     The source text stays as ``raw_json``, so fields outside the contract are kept. ``faults``
-    lists undecodable text, missing or mistyped keys and unreadable days; no row is dropped.
+    lists undecodable text, missing or mistyped keys, unreadable days and counts too large for
+    their column; no row is dropped.
     """
     checked = _checked_text(spec)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import statement_month
 from tidemark.schemas import STATEMENT_FIELDS
@@ -13,16 +16,47 @@ STORE = "Spotify"
 
 
 def read_statement(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Statement lines with declared types; inference would read YYYY-MM as a timestamp."""
-    reader = spark.read.schema(STATEMENT_FIELDS).option("header", True).option("mode", "FAILFAST")
-    return reader.csv(path)
+    """Statement lines with declared types, whatever the order of a file's columns.
+
+    Columns are found by the names in each file's header; others are ignored and a missing one is
+    an error, as is a number that cannot be read. Files with the same header are read together.
+    Types are declared: inference would read YYYY-MM as a timestamp.
+    """
+    files = spark.read.text(path).inputFiles()
+    if not files:
+        return spark.createDataFrame([], STATEMENT_FIELDS)
+    first = spark.read.text(files).where(F.col("_metadata.file_block_start") == 0)
+    placed = first.select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("line")
+    )
+    headers = placed.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    by_header: dict[str, list[str]] = {}
+    for row in headers.collect():
+        by_header.setdefault(row["header"], []).append(row["file"])
+    parts = [_read_alike(spark, header, alike) for header, alike in sorted(by_header.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_alike(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
+    """The declared columns of files that share a header."""
+    names = [name.strip().strip('"') for name in header.lstrip("\ufeff").split(",")]
+    absent = [field.name for field in STATEMENT_FIELDS if field.name not in names]
+    if absent:
+        raise ValueError(f"statement without {', '.join(absent)}: {files[:3]}")
+    # The first of two columns with one name counts.
+    texts = [f"{name}_{i}" if name in names[:i] else name for i, name in enumerate(names)]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in texts])
+    lines = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(sorted(files))
+    return lines.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STATEMENT_FIELDS])
 
 
 def load_statement(lines: DataFrame, store: str = STORE) -> DataFrame:
-    """One store's lines with ``month`` as DATE; an unreadable sale month fails the load."""
+    """One store's lines with ``month`` as DATE; an unreadable or empty sale month fails the load."""
     text = F.col("sale_month")
-    unreadable = F.raise_error(F.concat(F.lit("unreadable sale_month: "), text)).cast("date")
-    month = F.coalesce(statement_month(text), F.when(text.isNotNull(), unreadable))
+    unreadable = F.raise_error(
+        F.concat(F.lit("unreadable sale_month: "), F.coalesce(text, F.lit("empty")))
+    ).cast("date")
+    month = F.coalesce(statement_month(text), unreadable)
     return lines.where(F.col("store") == store).select(
         "isrc", month.alias("month"), "country_code", "streams", "revenue", "currency"
     )
