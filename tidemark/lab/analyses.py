@@ -130,12 +130,12 @@ tracks AS (
 
 def revenue_rate(spark: SparkSession, sf: str) -> DataFrame:
     rate = attribution.revenue_rate(views.statement(spark, sf, "currency"))
-    per_stream = round_half_away(F.col("revenue_per_stream"), 6)
+    per_stream = round_half_away(F.col("revenue_per_stream"), 10)
     return rate.withColumn("revenue_per_stream", per_stream)
 
 
 REVENUE_RATE = f"""{sql.with_views(sql.LINES, sql.STATEMENT, sql.RATE)}
-SELECT isrc, month, {sql.rounded("revenue_per_stream", 6)} AS revenue_per_stream FROM rate"""
+SELECT isrc, month, {sql.rounded("revenue_per_stream", 10)} AS revenue_per_stream FROM rate"""
 
 
 def attributed_share_playlist(spark: SparkSession, sf: str) -> DataFrame:
