@@ -168,26 +168,26 @@ def test_stored_tables_are_read_narrow_and_filtered(spark, store, conf):
     from tidemark.sources.snapshots import evolve
 
     specs = campaign_specs()
-    rows = samples.engagement(spark, samples.PLAYLIST, "playlist").withColumns(
+    rows = samples.engagement(spark, samples.ON_PLAYLIST, "playlist").withColumns(
         {name: F.lit("x") for name in ("provider", "account_id", "raw_json")}
     )
-    spend = samples.country_daily(spark).withColumns(
+    spend = samples.spend(spark).withColumns(
         {name: F.lit("x") for name in ("provider", "account_id", "raw_json")}
     )
     for role, batch in (("engagement", rows), ("breakdown", spend)):
         upsert(store, specs[role], evolve(batch, specs[role].stored), datetime(2026, 9, 20))
     statement = spark.createDataFrame(
-        [("ISRC_A", date(2026, 8, 1), 6400)], "isrc string, month date, streams bigint"
+        [("Q1", date(2025, 3, 1), 1500)], "isrc string, month date, streams bigint"
     )
     share = attribution.playlist_share(
         store.read(specs["engagement"]), store.read(specs["breakdown"]), statement
-    ).where("campaign_id = 'cmp-1'")
-    assert [r["campaign_streams"] for r in share.collect()] == [880]
+    ).where("campaign_id = 'north'")
+    assert [r["campaign_streams"] for r in share.collect()] == [180]
     plan = share._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
     assert len(scans) == 2
     assert not [line for line in scans if "raw_json" in line or "provider" in line]
-    assert all("EqualTo(campaign_id,cmp-1)" in line for line in scans)
+    assert all("EqualTo(campaign_id,north)" in line for line in scans)
     assert "EqualTo(engagement_context,playlist)" in "".join(scans)
 
 

@@ -37,8 +37,8 @@ def test_upsert_replaces_the_row_with_its_key(spark, store):
     assert upsert(store, SPEC, batch(spark, {**us, "streams": 999, "followers": None}), NOW) == 1
     rows = stored(store)
     assert len(rows) == 2
-    assert (rows["US"]["streams"], rows["US"]["cpl"], rows["US"]["followers"]) == (999, 0.293, None)
-    assert rows["DE"]["streams"] == 203
+    assert (rows["US"]["streams"], rows["US"]["cpl"], rows["US"]["followers"]) == (999, 0.16, None)
+    assert rows["DE"]["streams"] == 520
     assert rows["US"]["synced_at"] == NOW
 
 
@@ -147,7 +147,7 @@ def test_new_columns_are_nullable_and_old_ones_stay(spark, store):
     upsert(store, SPEC, batch(spark, breakdown_line(country_code="DE")), NOW)
     found = stored(store)
     assert (found["US"]["cpl"], found["US"]["legacy"]) == (None, "kept")
-    assert (found["DE"]["cpl"], found["DE"]["legacy"]) == (0.293, None)
+    assert (found["DE"]["cpl"], found["DE"]["legacy"]) == (0.16, None)
 
 
 def test_ensure_creates_all_tables_once(spark, store):
@@ -282,13 +282,13 @@ def test_stream_ingest_and_replay(spark, store, tmp_path):
     old = breakdown_line(report_date="2026-01-01")
     land(landing, "1.jsonl", fresh, "", old, "broken", {**fresh, "country_code": "DE"})
     run("one")
-    assert {c: r["streams"] for c, r in stored(store).items()} == {"US": 203, "DE": 203}
+    assert {c: r["streams"] for c, r in stored(store).items()} == {"US": 520, "DE": 520}
     aside = spark.read.parquet(f"{store.root}/{SPEC.name}/aside/one")
     assert sorted(r["reason"] for r in aside.select("reason").collect()) == ["faulty", "late"]
 
     land(landing, "2.jsonl", {**fresh, "streams": 999})
     run("one")
-    assert {c: r["streams"] for c, r in stored(store).items()} == {"US": 999, "DE": 203}
+    assert {c: r["streams"] for c, r in stored(store).items()} == {"US": 999, "DE": 520}
     before = sorted(map(str, store.read(SPEC).collect()))
     run("two")
     assert sorted(map(str, store.read(SPEC).collect())) == before
@@ -411,8 +411,15 @@ def test_statement_table_is_replaced_whole(spark, store, tmp_path):
     from samples import write_statement
     from tidemark.schemas import STATEMENT
 
+    from samples import COLUMNS, SOLD
+
     path = write_statement(tmp_path / "s.csv")
+    total = (12, sum(map(sum, SOLD.values())))
     for _ in range(2):
         jobs.load_statement_table(store, path, NOW)
         rows = store.read(STATEMENT)
-        assert (rows.count(), rows.agg(F.sum("streams")).first()[0]) == (14, 32330)
+        assert (rows.count(), rows.agg(F.sum("streams")).first()[0]) == total
+    other = write_statement(tmp_path / "t.csv", tuple(reversed(COLUMNS)))
+    with pytest.raises(jobs.RejectedLoad):
+        jobs.load_statement_table(store, other, NOW, "Nowhere")
+    assert store.read(STATEMENT).count() == 12
