@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from samples import breakdown_line
+from samples import breakdown_line, write_statement
 from tidemark import jobs
 from tidemark.operators.upsert import latest_by_key, merge_rows, upsert
 from tidemark.schemas import LAST_SYNC, PROGRESS, TableSpec, all_specs, campaign_specs, link_specs
@@ -172,9 +173,52 @@ def test_expire_keeps_what_snapshots_use(spark, store):
         upsert(store, SPEC, batch(spark, breakdown_line(streams=streams)), NOW)
     assert store.expire(SPEC) == []
     assert len(store.expire(SPEC, keep=2, older_than_hours=-1)) == 2
+    left = (Path(store.root) / SPEC.name / "snapshots").iterdir()
+    assert sorted(p.name for p in left if p.name.isdigit()) == ["3", "4"]
     assert stored(store)["US"]["streams"] == 4
 
 
+def test_rows_without_a_day_are_refused_before_writing(spark, store):
+    upsert(store, SPEC, batch(spark, breakdown_line()), NOW)
+    with pytest.raises(ValueError, match="without report_date"):
+        upsert(store, SPEC, batch(spark, breakdown_line(report_date=None, streams=1)), NOW)
+    assert stored(store)["US"]["streams"] == 520
+
+
+def test_a_note_is_kept_as_first_written(store):
+    assert store.note("t", "clock", 0, text="monday") == "monday"
+    assert store.note("t", "clock", 0, text="tuesday") == "monday"
+
+
+def test_entities_landed_one_by_one(spark, store, tmp_path):
+    from test_ingest import campaign
+
+    for number in (1, 2):
+        land(tmp_path / "one", f"{number}.json", {"data": campaign(number), "meta": {}})
+    spec = campaign_specs()["entities"]
+    assert jobs.load_entities(store, spec, str(tmp_path / "one"), NOW, single=True) == 2
+    assert sorted(r["campaign_id"] for r in store.read(spec).collect()) == ["c1", "c2"]
+    land(tmp_path / "none", "3.json", {"data": None})
+    with pytest.raises(jobs.RejectedLoad):
+        jobs.load_entities(store, spec, str(tmp_path / "none"), NOW, single=True)
+
+
+def test_jobs_leave_no_scratch_tables(spark, store, tmp_path):
+    from tidemark.session import scratch_root
+
+    folder = Path(scratch_root(spark)) / "tidemark"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    path = land(tmp_path / "in", "a.jsonl", breakdown_line(), {"provider": "x"})
+    with pytest.raises(jobs.RejectedLoad):
+        jobs.load_export(store, SPEC, path, NOW)
+    assert set(folder.iterdir()) == before
+    report = jobs.load_export(store, SPEC, path, NOW, on_invalid="quarantine")
+    assert report.set_aside.count() == 1
+    report.discard()
+    jobs.load_statement_table(store, write_statement(tmp_path / "s.csv"), NOW)
+    assert set(folder.iterdir()) == before
+
+
 def test_evolve_casts_and_fills(spark):
     rows = spark.createDataFrame([("5",)], "a string")
     wanted = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DateType())])
@@ -408,7 +452,6 @@ def test_campaign_run_end_to_end(spark, store, tmp_path):
 
 
 def test_statement_table_is_replaced_whole(spark, store, tmp_path):
-    from samples import write_statement
     from tidemark.schemas import STATEMENT
 
     from samples import COLUMNS, SOLD

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import pinned
 
-SALTS = 16
 # Lookup rows are a key and a few numbers or days, so this many are some 50 MB.
 BROADCAST_ROWS = 500_000
 
@@ -39,16 +38,19 @@ def spread_join(
     on: str,
     spread_by: Sequence[str],
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join facts to a lookup with one row per ``on``.
 
     A small lookup is broadcast and the facts stay where they are. A larger one is shuffled with
     the facts by (key, salt), so a key holding a third of the facts is worked on by ``salts``
-    tasks. The salt leaves the row set and the result as they are.
+    tasks, by default as many as the session has shuffle partitions. The salt leaves the row set
+    and the result as they are.
     """
     if lookup.small:
         return facts.join(F.broadcast(lookup.rows), on, how)
+    if salts is None:
+        salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = facts.withColumn("_salt", salt)

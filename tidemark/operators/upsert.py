@@ -74,6 +74,9 @@ def upsert(
         .agg(F.count(F.lit(1)).alias("keys"), F.sum("_copies").alias("given"))
         .collect()
     )
+    if any(row["period"] is None for row in touched):
+        discard(spark, staging)
+        raise ValueError(f"{spec.name}: rows without {spec.day}")
     if touched:
         base = store.version(spec)
         target = store.read(spec, [row["period"] for row in touched], with_period=True)

@@ -9,7 +9,13 @@ from tidemark.sources.exports import (
     reconcile_counts,
     rejected_exports,
 )
-from tidemark.sources.pages import EntityNotFound, check_pages, find_entity, read_pages
+from tidemark.sources.pages import (
+    EntityNotFound,
+    check_pages,
+    find_entity,
+    read_entity,
+    read_pages,
+)
 from tidemark.sources.snapshots import SnapshotStore
 from tidemark.sources.statements import load_statement, read_statement
 
@@ -22,6 +28,7 @@ __all__ = [
     "find_entity",
     "load_statement",
     "only_ids",
+    "read_entity",
     "read_export",
     "read_lines",
     "read_pages",

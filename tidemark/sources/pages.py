@@ -60,6 +60,22 @@ def read_pages(spark: SparkSession, path: str | list[str], spec: TableSpec) -> D
     return decode_rows(listed, spec)
 
 
+def read_entity(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
+    """Entities landed one by one, each in an envelope of its own: {data: {...}, meta}.
+
+    A file whose ``data`` is missing or null gives one faulty row, as in a listing.
+    """
+    schema = T.StructType([T.StructField("data", T.VariantType())])
+    landed = spark.read.schema(schema).option("multiLine", True).json(path)
+    items = landed.select(
+        F.to_json("data").alias("value"),
+        F.col("_metadata.file_path").alias("file"),
+        F.lit(1).alias("page"),
+        F.lit(0).alias("position"),
+    )
+    return decode_rows(items, spec)
+
+
 def created_days(entities: DataFrame) -> DataFrame:
     """Adds ``created_date``, the day as written in the entity's own time offset."""
     created = F.get_json_object("raw_json", "$.createdAt")

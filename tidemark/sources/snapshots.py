@@ -47,6 +47,23 @@ class SnapshotStore:
     def _fs(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def note(self, *parts: object, text: str) -> str:
+        """The text kept below ``root`` under this name: the given one if there was none yet."""
+        fs, path = self._fs(), self._path(*parts)
+        if not fs.exists(path):
+            aside = self._path(*parts[:-1], f".{uuid.uuid4().hex}")
+            stream = fs.create(aside, False)
+            try:
+                stream.write(bytearray(text.encode()))
+            finally:
+                stream.close()
+            fs.rename(aside, path)
+        stream = fs.open(path)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
     def version(self, spec: TableSpec) -> int:
         """Newest published version, 0 for a table that was never written."""
         folder = self._path(spec.name, "snapshots")
@@ -162,9 +179,10 @@ class SnapshotStore:
         self.write_periods(spec, whole, self.version(spec), keep_others=False)
 
     def expire(self, spec: TableSpec, keep: int = 2, older_than_hours: float = 24.0) -> list[str]:
-        """Delete data folders that none of the ``keep`` newest snapshots uses.
+        """Delete all but the ``keep`` newest snapshots and the data folders only they use.
 
-        Young folders stay: a running write may be about to publish them.
+        Young folders stay: a running write may be about to publish them. Snapshots go first, so
+        that none is left that points to a deleted folder.
         """
         newest = self.version(spec)
         used = set()
@@ -174,6 +192,13 @@ class SnapshotStore:
         if not self._fs().exists(data):
             return []
         oldest_kept = (time.time() - older_than_hours * 3600) * 1000
+        for status in self._fs().listStatus(self._path(spec.name, "snapshots")):
+            name = status.getPath().getName()
+            if name.isdigit() and int(name) <= newest - keep:
+                if status.getModificationTime() < oldest_kept:
+                    self._fs().delete(status.getPath(), False)
+                else:
+                    used.update(self._snapshot(spec, int(name))["periods"].values())
         gone = []
         for status in self._fs().listStatus(data):
             token = status.getPath().getName().removeprefix("write=")

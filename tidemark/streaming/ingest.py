@@ -63,7 +63,9 @@ def stream_exports(
     name = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        now = clock()
+        # The clock is read once per batch: a replay after midnight must keep the same rows.
+        told = store.note(spec.name, "clock", name, batch_id, text=clock().isoformat())
+        now = datetime.fromisoformat(told)
         numbered = batch.withColumn("line", F.monotonically_increasing_id())
         fresh = on_time(F.col(spec.day), now.date(), days) if spec.day else F.lit(True)
         reason = F.when(F.size("faults") > 0, "faulty").when(~fresh, "late")
