@@ -33,7 +33,7 @@ from tidemark.sources import (
 )
 from tidemark.sources.decode import decode_rows, split_valid
 from tidemark.sources.pages import created_days
-from tidemark.streaming import on_time, stream_exports
+from tidemark.streaming import late_split, stream_exports
 
 CAMPAIGNS = campaign_specs()
 LINKS = link_specs()
@@ -187,6 +187,106 @@ SELECT CASE WHEN line_number = 6 THEN 'country_code: missing'
 FROM lines GROUP BY fault"""
 
 
+def _checked_specs() -> list[TableSpec]:
+    return [*CAMPAIGNS.values(), *LINKS.values()]
+
+
+def key_validation_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Line n of an order lacks the nth required field, for every table of both families."""
+    lines = views.lines(spark, sf).select("line_number", _month_number(F.col("report_date")).alias("ship_month"))
+    found = None
+    for spec in _checked_specs():
+        kinds = {f.name: f.dataType.typeName() for f in spec.fields}
+        some = {"string": "x", "date": "2001-07-01", "timestamp": "2001-07-01T00:00:00Z"}
+        fields = [
+            F.when(F.col("line_number") != n + 1, F.lit(some.get(kinds[name], 5))).alias(spec.source_name(name))
+            for n, name in enumerate(spec.required)
+        ]
+        version = [F.lit(spec.version).alias("schema_version")] if spec.version else []
+        text = F.to_json(F.struct(*fields, *version)).alias("value")
+        decoded = decode_rows(read_lines(spark, land(lines.select(text, "ship_month"), spec.name)), spec)
+        fault = F.explode(F.when(F.size("faults") == 0, F.array(F.lit("ok"))).otherwise(F.col("faults")))
+        counted = decoded.select(F.lit(spec.name).alias("table_name"), fault.alias("fault"))
+        found = counted if found is None else found.unionByName(counted)
+    return found.groupBy("table_name", "fault").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+KEY_VALIDATION_TABLES = "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{spec.name}' AS table_name, CASE l_linenumber "
+    + " ".join(f"WHEN {n + 1} THEN '{name}: missing'" for n, name in enumerate(spec.required))
+    + " ELSE 'ok' END AS fault, COUNT(*) AS n_rows FROM lineitem GROUP BY ALL"
+    for spec in _checked_specs()
+) + ")"
+
+
+WINDOW = "2001-07-20"
+
+
+def _landed_run(spark: SparkSession, sf: str, family: str) -> DataFrame:
+    """Outcome of a full run over suppliers as links (batches by nation) or as campaigns.
+
+    By the last digit of the key: 1 is created after the run's day and asks for nothing, 3 has a
+    bad row, 5 an export without rows, 7 fewer rows than declared, 9 a failed request. The
+    breakdown of every sixth nation's batch has a bad row.
+    """
+    landing = scratch_dir(spark, f"landing-{family}")
+    links = family == "links"
+    specs = LINKS if links else CAMPAIGNS
+    kind = "engagement" if links else "breakdown"
+    key, digit = F.col("s_suppkey"), F.col("s_suppkey") % 10
+    rows = views.table(spark, sf, "supplier")
+    created = F.when(digit == 1, "2001-08-01T00:00:00Z").otherwise("2001-07-20T00:00:00Z")
+    known = {
+        spec_name: F.lit(5) if field.dataType.typeName() in ("double", "integer") else F.lit("x")
+        for field in specs["entities"].fields
+        if field.name in specs["entities"].required
+        for spec_name in [specs["entities"].source_name(field.name)]
+    }
+    named = {n: v for n, v in known.items() if n not in ("createdAt", "updatedAt")}
+    noun = specs["entities"].key[0]
+    named[specs["entities"].source_name(noun)] = key.cast("string")
+    times = {n: created for n in known if n in ("createdAt", "updatedAt")}
+    item = F.struct(*[v.alias(n) for n, v in {**named, **times}.items()])
+    land_listing(rows, "s_suppkey", item, PAGE_SIZE, path=f"{landing}/entities")
+
+    def line(spec: TableSpec, bad: Column) -> Column:
+        fields = {n: F.lit("x") for n in spec.required} | {spec.day: F.lit(WINDOW), noun: key.cast("string")}
+        fields["country_code"] = F.when(~bad, "DE")
+        return F.to_json(F.struct(*[v.alias(n) for n, v in fields.items()], F.lit("1.0").alias("schema_version")))
+
+    batch = F.col("s_nationkey") if links else key
+    asked = rows.where(~digit.isin(1, 9)).withColumns({"batch": batch, "entity": key, "window": F.lit(WINDOW)})
+    if links:
+        whole = line(specs["breakdown"], F.col("s_nationkey") % 6 == 5).alias("value")
+        asked.select(whole, "batch", "window").write.partitionBy("batch", "window").text(f"{landing}/breakdown")
+    own = F.when(digit != 5, line(specs[kind], digit == 3)).otherwise("").alias("value")
+    asked.select(own, "batch", "entity", "window").write.partitionBy("batch", "entity", "window").text(f"{landing}/{kind}")
+    request = [
+        F.lit(kind).alias("kind"),
+        batch.cast("string").alias("batch"),
+        key.cast("string").alias("entity_id"),
+        F.lit(WINDOW).alias("window_start"),
+    ]
+    declared = F.when(digit == 5, 0).when(digit == 7, 2).otherwise(1).alias("expected")
+    asked.select(*request, declared).write.json(f"{landing}/counts")
+    rows.where(digit == 9).select(*request, F.lit(500).alias("status")).write.json(f"{landing}/errors")
+    store = SnapshotStore(spark, scratch_dir(spark, "landed"))
+    report = jobs.sync_landing(store, family, specs, landing, "full", views.AS_OF, SYNCED, waves=2)
+    return report.outcome.select(F.lit(family).alias("family"), "entity_id", "completed")
+
+
+def landing_run(spark: SparkSession, sf: str) -> DataFrame:
+    return _landed_run(spark, sf, "links").unionByName(_landed_run(spark, sf, "campaigns"))
+
+
+LANDING_RUN = """
+SELECT 'links' AS family, CAST(s_suppkey AS VARCHAR) AS entity_id,
+  s_suppkey % 10 NOT IN (3, 7, 9) AS completed
+FROM supplier WHERE s_nationkey % 6 <> 5 OR s_suppkey % 10 = 1
+UNION ALL
+SELECT 'campaigns', CAST(s_suppkey AS VARCHAR), s_suppkey % 10 NOT IN (3, 7, 9) FROM supplier"""
+
+
 def reject_bad_batches(spark: SparkSession, sf: str) -> DataFrame:
     lost = (F.col("line_number") == 6) & (F.col("ship_month") % 3 == 0)
     country = F.when(~lost, F.col("fields")["country_code"])
@@ -301,7 +401,12 @@ FROM lines"""
 
 
 def land_listing(
-    rows: DataFrame, order: str, item: Column, page_size: int, lost_page: int | None = None
+    rows: DataFrame,
+    order: str,
+    item: Column,
+    page_size: int,
+    lost_page: int | None = None,
+    path: str | None = None,
 ) -> str:
     """Rows as listing pages, one file each, in the given order."""
     spark = rows.sparkSession
@@ -320,7 +425,7 @@ def land_listing(
         F.lit(-(-total // page_size)).alias("totalPages"),
     )
     data = F.struct(F.col("items")["item"].alias("items"), pagination.alias("pagination"))
-    path = scratch_dir(spark, "pages")
+    path = path or scratch_dir(spark, "pages")
     envelope = grouped.select(F.to_json(F.struct(data.alias("data"))).alias("value"), "page")
     envelope.hint("rebalance", "page").write.partitionBy("page").text(path)
     return path
@@ -619,13 +724,16 @@ LINK_ENGAGEMENT_LOAD = f"{_ROWS} {_ENGAGEMENT_KEYS.replace('campaign_id, ', '')}
 
 
 def raw_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    events = views.table(spark, sf, "events")
+    """A field outside the contract, read back from the text the decoder keeps."""
+    known = {name: F.lit("x") for name in BREAKDOWN.required} | {BREAKDOWN.day: F.lit("2001-07-01")}
+    line = F.struct(*[value.alias(name) for name, value in known.items()], F.lit("1.0").alias("schema_version"))
+    text = F.concat(F.regexp_replace(F.to_json(line), r"\}$", ', "extra": '), "props", F.lit("}"))
     path = scratch_dir(spark, "props")
-    events.select("props").write.text(path)
-    raw = read_lines(spark, path)
-    by_path = F.get_json_object("value", "$.k").cast("bigint").alias("k")
-    by_variant = F.try_variant_get(F.try_parse_json("value"), "$.k", "bigint")
-    return raw.groupBy(by_path).agg(
+    views.table(spark, sf, "events").select(text.alias("value")).write.text(path)
+    decoded, _ = split_valid(decode_rows(read_lines(spark, path), BREAKDOWN))
+    by_path = F.get_json_object("raw_json", "$.extra.k").cast("bigint").alias("k")
+    by_variant = F.try_variant_get(F.try_parse_json("raw_json"), "$.extra.k", "bigint")
+    return decoded.groupBy(by_path).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(by_variant).alias("k_sum")
     )
 
@@ -742,12 +850,12 @@ FROM keys GROUP BY ALL"""
 
 
 def late_rows(spark: SparkSession, sf: str) -> DataFrame:
-    day = F.col("report_date")
-    part = F.when(on_time(day, views.AS_OF), "fresh").otherwise("late").alias("part")
-    return views.lines(spark, sf).groupBy(part).agg(
+    fresh, late = late_split(views.lines(spark, sf), "report_date", views.AS_OF)
+    parts = fresh.withColumn("part", F.lit("fresh")).unionByName(late.withColumn("part", F.lit("late")))
+    return parts.groupBy("part").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min(day).alias("first_day"),
-        F.max(day).alias("last_day"),
+        F.min("report_date").alias("first_day"),
+        F.max("report_date").alias("last_day"),
     )
 
 
@@ -787,6 +895,8 @@ QUERIES = {
     "ndjson_decode": (ndjson_decode, NDJSON_DECODE),
     "row_count_reconcile": (row_count_reconcile, ROW_COUNT_RECONCILE),
     "key_validation": (key_validation, KEY_VALIDATION),
+    "key_validation_tables": (key_validation_tables, KEY_VALIDATION_TABLES),
+    "landing_run": (landing_run, LANDING_RUN),
     "reject_bad_batches": (reject_bad_batches, REJECT_BAD_BATCHES),
     "schema_version_report": (schema_version_report, SCHEMA_VERSION_REPORT),
     "dq_identities": (dq_identities, DQ_IDENTITIES),
