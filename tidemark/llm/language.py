@@ -12,8 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Longest context in bytes; symbols told apart (a power of two); fixed point of a code length.
-ORDER, SYMBOLS, SCALE = 3, 64, 1024
+# Longest context in bytes; symbols told apart; fixed point of a code length.
+ORDER, SYMBOLS, SCALE = 3, 48, 1024
 # The training sample: so many documents of each language, the least by a hash of the text.
 DOCS_PER_LANGUAGE = 400
 UNKNOWN = "und"
@@ -82,25 +82,33 @@ def code_lengths(counts: Counts) -> np.ndarray:
     lengths are worked out once, and whole numbers make their sums exact in any order.
     """
     table = np.empty((len(counts.languages), SYMBOLS ** (ORDER + 1)), dtype=np.int16)
+    block = SYMBOLS**ORDER
     for place, (values, times) in enumerate(counts.grams):
-        chance = np.full(1, 1.0 / SYMBOLS, dtype=np.float32)
-        for order in range(ORDER + 1):
+        chance = np.full((1, SYMBOLS), 1.0 / SYMBOLS, dtype=np.float32)
+        for order in range(ORDER):
             size = SYMBOLS ** (order + 1)
-            found = np.bincount(values % size, weights=times, minlength=size).astype(np.float32)
-            found = found.reshape(-1, SYMBOLS)
-            total = found.sum(axis=1, keepdims=True)
-            kinds = (found > 0).sum(axis=1, keepdims=True, dtype=np.float32)
-            shorter = np.broadcast_to(chance, (SYMBOLS,)) if order == 0 else chance.reshape(-1, SYMBOLS)
             # Contexts that differ in their first byte share the shorter one.
-            repeats = 1 if order == 0 else found.shape[0] // shorter.shape[0]
-            below = np.tile(shorter, (repeats, 1)) if order else shorter[None, :]
-            whole = np.maximum(total + kinds, 1)
-            escaped = np.where(total > 0, kinds / whole, 1.0) * below
-            chance = np.where(found > 0, found / whole, escaped).ravel().astype(np.float32)
-        table[place] = np.minimum(np.rint(-np.log2(chance) * SCALE), np.iinfo(np.int16).max)
+            shorter = np.tile(chance, (max(1, size // SYMBOLS // len(chance)), 1))
+            chance = _chances(np.bincount(values % size, weights=times, minlength=size), shorter)
+        # The longest contexts by their first byte, so that little memory is needed at a time.
+        for first in range(SYMBOLS):
+            mine = values // block == first
+            found = np.bincount(values[mine] % block, weights=times[mine], minlength=block)
+            bits = -np.log2(_chances(found, chance)).ravel() * SCALE
+            table[place, first * block : (first + 1) * block] = np.minimum(np.rint(bits), np.iinfo(np.int16).max)
     return table
 
 
+def _chances(found: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Chance of every symbol after every context, given how often it came and the shorter context."""
+    found = found.astype(np.float32).reshape(-1, SYMBOLS)
+    total = found.sum(axis=1, keepdims=True)
+    kinds = (found > 0).sum(axis=1, keepdims=True, dtype=np.float32)
+    whole = np.maximum(total + kinds, 1)
+    escape = np.where(total > 0, kinds / whole, 1.0).astype(np.float32)
+    return np.where(found > 0, found / whole, escape * shorter)
+
+
 class Scorer:
     """Languages of texts under frozen code lengths."""
 

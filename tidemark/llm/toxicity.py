@@ -22,7 +22,8 @@ TRUST = 0.99
 ROUNDS, REFITS = 30, 4
 # Numbers of listed words told apart by the classifier.
 STEPS = 4
-REMEMBERED = 400_000
+# Words whose entries a Python worker remembers; beyond that it starts anew.
+REMEMBERED = 100_000
 
 _EDGE = re.compile(r"^\W+|\W+$")
 
