@@ -121,8 +121,9 @@ def judge(
     shares = points.groupBy("domain").agg(F.ceil(F.count(F.lit(1)) / F.lit(sweep_rows)).alias("shares"))
     shares = pinned(shares, "shares")
     share = F.pmod(F.xxhash64("row"), F.col("shares"))
+    no_stack = F.lit(None).cast(starts.schema["stack"].dataType).alias("stack")
     swept = points.join(shares, "domain").select(
-        "domain", share.alias("share"), "path", F.lit(1).alias("point"), "row", F.lit(None).cast(starts.schema["stack"].dataType).alias("stack")
+        "domain", share.alias("share"), "path", F.lit(1).alias("point"), "row", no_stack
     )
     opened = starts.join(shares, "domain").select(
         "domain",
