@@ -204,3 +204,20 @@ def test_counting_rows_of_a_batch_with_a_hot_key(spark, store):
     stored = store.read(PROGRESS)
     assert stored.count() == 20_001
     assert stored.where("entity_id = 'hot'").first()["error_count"] == 29_997
+
+
+def test_rows_in_a_window_do_not_depend_on_how_many_windows(spark, monkeypatch):
+    import samples
+    from tidemark.operators import windows
+
+    rows = samples.engagement(spark, samples.ON_PLAYLIST, "playlist")
+    found = []
+    for limit in (500_000, -1):
+        monkeypatch.setattr(spread, "BROADCAST_ROWS", limit)
+        found.append(
+            windows.within_window(rows, windows.spend_window(samples.spend(spark)), ("report_date",))
+        )
+    few, many = found
+    assert few.columns == many.columns == [*rows.columns, "first_day", "last_day"]
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+    assert few.count() == 25 * 3 * len(samples.ON_PLAYLIST)

@@ -40,11 +40,7 @@ def range_join_spend_window(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.lines(spark, sf).withColumn("engagements", F.lit(1))
     grain = ("report_date", "engagement_context")
 
-    def daily(raw: DataFrame) -> DataFrame:
-        sums = [F.sum(name).alias(name) for name in ("streams", "engagements")]
-        return raw.groupBy("campaign_id", *grain).agg(*sums)
-
-    inside = windows.within_window(rows, windows.spend_window(rows), daily, grain)
+    inside = windows.within_window(rows, windows.spend_window(rows), grain)
     return inside.groupBy("campaign_id", *grain, "first_day", "last_day").agg(
         F.sum("streams").alias("streams"), F.sum("engagements").alias("engagements")
     )

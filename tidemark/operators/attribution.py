@@ -24,7 +24,7 @@ from tidemark.operators.engagement import (
     track_days,
 )
 from tidemark.operators.spread import Lookup, counted, spread_join
-from tidemark.operators.windows import CAMPAIGN, spend_profile, spend_window, within_window
+from tidemark.operators.windows import CAMPAIGN, spend_profile, spend_window, sums_within_window
 from tidemark.session import pinned
 
 
@@ -105,7 +105,7 @@ def position_bands(
     """Track-days and streams per track-day by playlist slot, inside the spend window."""
     rows = in_context(engagement, "playlist")
     spread = ("isrc", "report_date")
-    inside = within_window(rows, spend_window(country_daily), track_days, spread)
+    inside = sums_within_window(rows, spend_window(country_daily), track_days, spread)
     band = band_of(F.col("playlist_position"), edges).alias("position_band")
     return track_days(inside).groupBy(CAMPAIGN, band).agg(
         F.count(F.lit(1)).alias("track_days"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import month_of
-from tidemark.operators.windows import CAMPAIGN, within_window
+from tidemark.operators.windows import CAMPAIGN, sums_within_window
 
 # Labels of the two sides of a track campaign.
 PROMOTED = "promoted"
@@ -27,9 +27,9 @@ def daily_streams(rows: DataFrame, *keys: str, measures: dict[str, Column] | Non
 
 
 def streams_inside(rows: DataFrame, windows: DataFrame, *keys: str) -> DataFrame:
-    """Engagement inside the spend window with additive streams, as rows or summed to days."""
+    """Engagement inside the spend window for sums of streams: rows, or sums of days."""
     spread = ("isrc", "report_date")
-    return within_window(rows, windows, lambda raw: daily_streams(raw, *keys), spread)
+    return sums_within_window(rows, windows, lambda raw: daily_streams(raw, *keys), spread)
 
 
 def engagement_monthly(

@@ -53,19 +53,35 @@ def date_spine(windows: DataFrame, countries: Sequence[str], by: str = CAMPAIGN)
 
 
 def within_window(
+    rows: DataFrame, windows: DataFrame, spread_by: Sequence[str], by: str = CAMPAIGN
+) -> DataFrame:
+    """Rows whose day lies in their campaign's window, with the window's columns.
+
+    An equi-join on the campaign with the range as a filter: few windows are broadcast, many are
+    shuffled with the rows. Rows and columns are the same either way.
+    """
+    return _between(spread_join(rows, counted(windows), by, spread_by))
+
+
+def sums_within_window(
     rows: DataFrame,
     windows: DataFrame,
     daily: Callable[[DataFrame], DataFrame],
     spread_by: Sequence[str],
     by: str = CAMPAIGN,
 ) -> DataFrame:
-    """Rows whose day lies in their campaign's window, with the window's columns.
+    """``within_window`` for callers that go on to sum by day or coarser.
 
-    An equi-join on the campaign with the range as a filter. Few windows are broadcast and filter
-    the rows where they are read. Otherwise ``daily`` sums the rows to days first, so that
-    country rows never travel, and the result has daily rows; callers aggregate either alike.
+    Few windows are broadcast and filter the rows where they are read. Otherwise ``daily`` sums
+    the rows to days before they are shuffled. What is handed on is therefore rows or daily sums,
+    with the columns of ``daily`` and the window's; a sum over either is the same.
     """
     lookup = counted(windows)
-    reduced = rows if lookup.small else daily(rows)
-    joined = spread_join(reduced, lookup, by, spread_by)
+    if not lookup.small:
+        return _between(spread_join(daily(rows), lookup, by, spread_by))
+    names = [*daily(rows).columns, *[c for c in lookup.rows.columns if c != by]]
+    return _between(spread_join(rows, lookup, by, spread_by)).select(*names)
+
+
+def _between(joined: DataFrame) -> DataFrame:
     return joined.where(F.col("report_date").between(F.col("first_day"), F.col("last_day")))
