@@ -216,4 +216,5 @@ def mixed_documents(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
         & (word_count(F.col(text)) == F.col(by_size))
     )
     copies = F.explode(F.sequence(F.lit(1), F.col(often)))
-    return docs.join(times, same).select(*docs.columns, copies.alias(copy)).drop(copy)
+    # Whole documents meet a list nearly as long as the table: shuffled alike at every size.
+    return docs.join(times.hint("merge"), same).select(*docs.columns, copies.alias(copy)).drop(copy)

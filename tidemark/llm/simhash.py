@@ -186,6 +186,10 @@ def without_copies(docs: DataFrame, text: str = "text", row_id: str = "doc_id")
     first = found.where(F.col(row_id) == F.col("component_id")).groupBy(row_id).agg(F.count(F.lit(1)).alias("_rows"))
     first = pinned(first, "kept")
     unnamed = docs.where(F.col(row_id).isNull())
-    single = docs.join(first.where("_rows = 1").select(row_id), row_id, "left_semi")
-    repeated = docs.join(first.where("_rows > 1").select(row_id), row_id, "left_semi")
-    return single.unionByName(repeated.dropDuplicates([row_id])).unionByName(unnamed).select(*docs.columns)
+    # Whole documents meet a list of ids as long as the table: shuffled alike at every size.
+    kept = docs.join(first.select(row_id).hint("merge"), row_id, "left_semi")
+    again = first.where("_rows > 1").select(row_id)
+    if not again.isEmpty():
+        repeated = kept.join(again, row_id, "left_semi").dropDuplicates([row_id])
+        kept = kept.join(again, row_id, "left_anti").unionByName(repeated)
+    return kept.unionByName(unnamed).select(*docs.columns)
