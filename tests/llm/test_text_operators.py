@@ -329,6 +329,31 @@ def test_language_of_held_out_texts(spark):
     assert docs.limit(3).select(language.predict(F.col("text"), none)["lang_pred"].alias("p")).distinct().collect()[0].p == "und"
 
 
+def test_every_byte_has_a_symbol():
+    import pandas as pd
+
+    latin = "".join(map(chr, range(33, 127))) + " the house and the garden"
+    texts = [latin * 3, "der hund und die katze 1234", "Жёлтый дом стоит у реки и молчит"]
+    counts = language.train(pd.DataFrame({"lang": ["aa", "bb", "cc"], "text": texts}))
+    assert sorted(counts.symbol_of.tolist()) == list(range(256)) and counts.symbol_of[0x20] == 0
+    scorer = language.Scorer(counts)
+    assert scorer("дом стоит у реки")[0] == "cc"
+    assert scorer("katze 1234")[2] < scorer("katze    4")[2]
+
+
+def test_texts_in_an_unseen_script_go(spark):
+    rng = random.Random(12)
+    # More than 48 different bytes, the rare ones in runs.
+    common, rare = " ".join("abcdefghijklmnopqrstuvwxyz0123456789-.,;:!?'()/"), "#$%&*+<=>@[]^_`{|}~"
+    rows = [(i, f"{tongue(rng, lang)} {common} {common} {rare}", lang, "s", 0) for i, lang in enumerate(list(TONGUES) * 20)]
+    docs = spark.createDataFrame(rows, DOCS)
+    counts = language.fit(docs, F.lit(True))
+    foreign = ["Привет, это обычный русский текст о погоде", "Αυτό είναι ένα κείμενο στα ελληνικά", "这是一段用于测试的中文文本", "これは日本語の文章です", "هذا نص عربي عادي"]
+    strange = spark.createDataFrame([(900 + i, text, None, "s", 0) for i, text in enumerate(foreign)], DOCS)
+    assert language.recognised(strange, counts).collect() == []
+    assert language.recognised(docs.unionByName(strange), counts).count() == docs.count()
+
+
 def test_toxicity_of_held_out_texts(spark):
     rng = random.Random(10)
     rude = ["grobian", "flegel", "rabauke"]

@@ -12,8 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Longest context in bytes; symbols told apart; fixed point of a code length.
-ORDER, SYMBOLS, SCALE = 3, 48, 1024
+# Longest context in bytes; symbols told apart (all byte values); fixed point of a code length.
+ORDER, SYMBOLS, SCALE = 3, 256, 1024
 # The training sample: so many documents of each language, the least by a hash of the text.
 DOCS_PER_LANGUAGE = 400
 UNKNOWN = "und"
@@ -27,7 +27,8 @@ _LETTER = re.compile(r"[^\W\d_]")
 class Counts:
     """What training leaves: the languages, the symbol of each byte, and per language the counts.
 
-    ``grams[l]`` holds the seen strings of ORDER + 1 symbols as numbers, and how often each came.
+    Every byte has a symbol of its own. ``grams[l]`` holds the seen strings of ORDER + 1 symbols as
+    numbers, and how often each came.
     """
 
     languages: tuple[str, ...]
@@ -54,14 +55,9 @@ def train(sample: pd.DataFrame) -> Counts | None:
         return None
     languages = tuple(sorted(sample["lang"].unique()))
     texts = {lang: [_bytes(t) for t in sample.loc[sample["lang"] == lang, "text"]] for lang in languages}
-    seen = np.zeros(256)
-    for parts in texts.values():
-        counts = sum((np.bincount(p, minlength=256) for p in parts), np.zeros(256))
-        seen += counts / max(1, counts.sum())
-    # Symbol 0 is the blank and every byte that is not among the most frequent ones.
-    order = [b for b in np.argsort(-seen, kind="stable") if seen[b] and b != 0x20][: SYMBOLS - 1]
-    symbol_of = np.zeros(256, dtype=np.uint8)
-    symbol_of[order] = np.arange(1, len(order) + 1)
+    # Symbol 0 is the blank, as texts start after blanks; the zero byte takes the place it leaves.
+    symbol_of = np.arange(SYMBOLS, dtype=np.uint8)
+    symbol_of[[0x00, 0x20]] = 0x20, 0x00
     grams = []
     for lang in languages:
         values, counts = np.unique(
@@ -72,41 +68,60 @@ def train(sample: pd.DataFrame) -> Counts | None:
     return Counts(languages, symbol_of, tuple(grams))
 
 
-def code_lengths(counts: Counts) -> np.ndarray:
-    """Code length of every symbol after every context, per language, in 1/SCALE bits.
+@dataclass(frozen=True)
+class Level:
+    """Code lengths of one context length, a row per language, in 1/SCALE bits.
+
+    ``grams`` are the strings of a context and its symbol that any language has seen, in order, and
+    ``contexts`` the contexts among them; ``escapes`` is what a symbol pays that never followed one.
+    """
+
+    mask: np.uint32
+    grams: np.ndarray
+    lengths: np.ndarray
+    contexts: np.ndarray
+    escapes: np.ndarray
+
+
+def code_lengths(counts: Counts) -> list[Level]:
+    """Code lengths of all seen symbols after all seen contexts, the shortest contexts first.
 
     The context tree of a language holds contexts of 0 to ORDER bytes. A symbol that followed the
     longest context costs its share there; any other pays the escape, as likely as the distinct
     symbols seen after the context, and is looked up after the context without its first byte.
-    The last resort is one of SYMBOLS equal symbols. The statistics are frozen, so all code
-    lengths are worked out once, and whole numbers make their sums exact in any order.
+    The last resort is one of SYMBOLS equal symbols. The statistics are frozen, so the lengths of
+    all strings that any language has seen are worked out once, escapes included, and whole
+    numbers make their sums exact in any order. Memory grows with the strings seen.
     """
-    table = np.empty((len(counts.languages), SYMBOLS ** (ORDER + 1)), dtype=np.int16)
-    block = SYMBOLS**ORDER
-    for place, (values, times) in enumerate(counts.grams):
-        chance = np.full((1, SYMBOLS), 1.0 / SYMBOLS, dtype=np.float32)
-        for order in range(ORDER):
-            size = SYMBOLS ** (order + 1)
-            # Contexts that differ in their first byte share the shorter one.
-            shorter = np.tile(chance, (max(1, size // SYMBOLS // len(chance)), 1))
-            chance = _chances(np.bincount(values % size, weights=times, minlength=size), shorter)
-        # The longest contexts by their first byte, so that little memory is needed at a time.
-        for first in range(SYMBOLS):
-            mine = values // block == first
-            found = np.bincount(values[mine] % block, weights=times[mine], minlength=block)
-            bits = -np.log2(_chances(found, chance)).ravel() * SCALE
-            table[place, first * block : (first + 1) * block] = np.minimum(np.rint(bits), np.iinfo(np.int16).max)
-    return table
-
-
-def _chances(found: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Chance of every symbol after every context, given how often it came and the shorter context."""
-    found = found.astype(np.float32).reshape(-1, SYMBOLS)
-    total = found.sum(axis=1, keepdims=True)
-    kinds = (found > 0).sum(axis=1, keepdims=True, dtype=np.float32)
-    whole = np.maximum(total + kinds, 1)
-    escape = np.where(total > 0, kinds / whole, 1.0).astype(np.float32)
-    return np.where(found > 0, found / whole, escape * shorter)
+    levels: list[Level] = []
+    shorter, chances = np.zeros(1, dtype=np.uint32), np.full((1, len(counts.languages)), 1.0 / SYMBOLS)
+    for order in range(ORDER + 1):
+        mask = np.uint32(SYMBOLS ** (order + 1) - 1)
+        each = [np.unique(values & mask, return_inverse=True) for values, _ in counts.grams]
+        grams = np.unique(np.concatenate([values for values, _ in each]))
+        found = np.zeros((len(grams), len(each)))
+        for place, ((values, where), (_, times)) in enumerate(zip(each, counts.grams)):
+            found[np.searchsorted(grams, values), place] = np.bincount(where, weights=times, minlength=len(values))
+        contexts, first, after = np.unique(grams // np.uint32(SYMBOLS), return_index=True, return_inverse=True)
+        total = np.add.reduceat(found, first)
+        kinds = np.add.reduceat((found > 0).astype(np.float64), first)
+        whole = np.maximum(total + kinds, 1)
+        escape = np.where(total > 0, kinds / whole, 1.0)
+        below = np.searchsorted(shorter, grams & np.uint32(SYMBOLS**order - 1))
+        chances = np.where(found > 0, found / whole[after], escape[after] * chances[below])
+        levels.append(Level(mask, grams, _fixed(chances), contexts, _fixed(escape)))
+        shorter = grams
+    return levels
+
+
+def _fixed(chances: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(np.rint(-np.log2(chances) * SCALE).astype(np.int32).T)
+
+
+def _places(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value stands in the sorted known ones, and whether it does."""
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return at, known[at] == values
 
 
 class Scorer:
@@ -114,7 +129,7 @@ class Scorer:
 
     def __init__(self, counts: Counts):
         self.counts = counts
-        self.table = code_lengths(counts)
+        self.levels = code_lengths(counts) if any(len(values) for values, _ in counts.grams) else []
 
     def bits(self, text: str) -> tuple[np.ndarray, int]:
         """Exact code length of a whole text per language in 1/SCALE bits, and its bytes."""
@@ -123,7 +138,15 @@ class Scorer:
         for at in range(0, len(symbols), SLICE):
             early = max(0, at - ORDER)
             grams = _grams(symbols[early : at + SLICE])[at - early :]
-            total += [lengths.take(grams).sum(dtype=np.int64) for lengths in self.table]
+            for level in reversed(self.levels):
+                at, seen = _places(grams & level.mask, level.grams)
+                total += [lengths.take(at[seen]).sum(dtype=np.int64) for lengths in level.lengths]
+                grams = grams[~seen]
+                if not len(grams):
+                    break
+                at, seen = _places((grams & level.mask) // np.uint32(SYMBOLS), level.contexts)
+                total += [escapes.take(at[seen]).sum(dtype=np.int64) for escapes in level.escapes]
+            total += len(grams) * round(SCALE * np.log2(SYMBOLS))
         return total, len(symbols)
 
     def __call__(self, text: str | None) -> tuple[str, float, float]:
@@ -205,8 +228,8 @@ def predict(text: Column, counts: Counts | None) -> Column:
 def recognised(docs: DataFrame, counts: Counts | None, text: str = "text") -> DataFrame:
     """The rows whose text is in one of the learned languages; columns as in ``docs``.
 
-    Texts without a letter go, and texts that the best language codes no better than equal
-    symbols would: they are in none of the languages. Without a learned language all rows go.
+    Texts without a letter go, and texts that the best language codes no better than equal bytes
+    would: they are in none of the languages. Without a learned language all rows go.
     """
     told = predict(F.col(text), counts)
     return docs.where((told["lang_pred"] != UNKNOWN) & (told["bits"] < float(np.log2(SYMBOLS))))
