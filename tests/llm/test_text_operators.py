@@ -354,6 +354,12 @@ def test_texts_in_an_unseen_script_go(spark):
     assert language.recognised(docs.unionByName(strange), counts).count() == docs.count()
 
 
+def test_shouting_is_judged_by_the_whole_text():
+    shouting = toxicity.PATTERNS["shouting"]
+    late, early = "a quiet start " * 300 + "THEN LOUD " * 3000, "LOUD TITLE " * 400 + "then a quiet rest " * 3000
+    assert shouting(late, set()) and not shouting(early, set())
+
+
 def test_toxicity_of_held_out_texts(spark):
     rng = random.Random(10)
     rude = ["grobian", "flegel", "rabauke"]

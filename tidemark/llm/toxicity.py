@@ -29,7 +29,7 @@ _EDGE = re.compile(r"^\W+|\W+$")
 
 # Pattern voters: what a text looks like as a whole. The patterns and their bounds.
 PATTERNS = {
-    "shouting": lambda text, words: len(text) > 20 and sum(map(str.isupper, text[:4000])) * 2 > len(text[:4000]),
+    "shouting": lambda text, words: len(text) > 20 and sum(map(str.isupper, text)) * 2 > len(text),
     "exclaims": lambda text, words: text.count("!") * 8 > len(words),
     "masked words": lambda text, words: text.count("*") * 20 > len(words),
     "addressed": lambda text, words: "you" in words or "your" in words,
