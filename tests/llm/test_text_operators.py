@@ -360,6 +360,15 @@ def test_shouting_is_judged_by_the_whole_text():
     assert shouting(late, set()) and not shouting(early, set())
 
 
+def test_a_repeated_id_gives_one_training_row(spark):
+    docs = documents(spark, [(1, f"text {i}", "s") for i in range(50)] + [(2, "other", "s"), (3, None, "s"), (3, None, "s")])
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = toxicity.training_sample(docs, labels, F.lit(True)).collect()
+    again = toxicity.training_sample(docs.repartition(7), labels, F.lit(True)).collect()
+    assert sorted((r.toxic, r.weight) for r in rows) == [(0, 1.0), (0, 1.0), (1, 1.0)]
+    assert {r.text for r in rows} == {r.text for r in again} and {None, "other"} < {r.text for r in rows}
+
+
 def test_toxicity_of_held_out_texts(spark):
     rng = random.Random(10)
     rude = ["grobian", "flegel", "rabauke"]

@@ -203,7 +203,10 @@ def train(sample: pd.DataFrame) -> Model:
 def training_sample(
     docs: DataFrame, labels: DataFrame, train_rows: Column, toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS
 ) -> DataFrame:
-    """(text, toxic, weight) of labelled documents; weight undoes the unequal sampling."""
+    """(text, toxic, weight) of labelled documents; weight undoes the unequal sampling.
+
+    An id gives one row, however many documents repeat it: the one whose text has the least hash.
+    """
     usable = labels.where(train_rows & F.col("toxic").isNotNull())
     marked = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -213,7 +216,9 @@ def training_sample(
         weight = max(1.0, sizes.get(label, 0) / limit)
         parts.append(rows.select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.lit(weight).alias("weight")))
     chosen = parts[0].unionByName(parts[1])
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "weight")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text"))).alias("least")
+    return rows.groupBy("doc_id", "toxic", "weight").agg(least).select("least.text", "toxic", "weight")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: Column) -> Model:
