@@ -126,6 +126,18 @@ def test_simhash_of_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "7", "None"]
 
 
+def test_an_id_is_a_copy_within_its_group_alone(spark):
+    rng = random.Random(13)
+    one, two, three = (words(rng, 60) for _ in range(3))
+    # Id 5 has three unrelated texts and a copy; 3 has a copy of the second text, 7 one of the third.
+    rows = [(5, one, "a"), (5, two, "b"), (5, three, "c"), (5, one, "d"), (3, two, "e"), (7, three, "f"), (None, one, "g")]
+    docs = documents(spark, rows, clash=True).withColumn("_print", F.lit("clash"))
+    kept = simhash.without_copies(docs)
+    assert kept.columns == docs.columns
+    found = sorted(("ad" if r.source in "ad" else r.source, r.doc_id, r.text) for r in kept.collect())
+    assert found == [("ad", 5, one), ("c", 5, three), ("e", 3, two), ("g", None, one)]
+
+
 def test_targets_stop_at_twice_the_source(spark):
     sizes = {"a": 10, "b": 1000, "c": 1000, "d": 4, None: 300}
     made = spark.createDataFrame(list(sizes.items()), "source string, size long")

@@ -162,6 +162,16 @@ def near_duplicates(
     row. A row without an id takes part by its text; component_id is the least id among its links,
     null if none has one. Other columns are ignored. An empty table gives an empty result.
     """
+    grouped = _grouped(docs, text, row_id, size, max_bits, seed)
+    return grouped.select(
+        F.col("id").alias(row_id), as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
+    )
+
+
+def _grouped(
+    docs: DataFrame, text: str, row_id: str, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED
+) -> DataFrame:
+    """(id, fingerprint, root, component_id) of every row; root is the least fingerprint of its group."""
     rows = docs.select(F.col(row_id).alias("id"), fingerprint(F.col(text), size, seed).alias("fingerprint"))
     rows = pinned(rows, "prints")
     prints = pinned(rows.groupBy("fingerprint").agg(F.min("id").alias("first_id")), "distinct")
@@ -170,26 +180,32 @@ def near_duplicates(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root"), "first_id"
     )
     firsts = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = grouped.join(firsts, "root").select("fingerprint", "component_id")
-    return rows.join(named, "fingerprint").select(
-        F.col("id").alias(row_id), as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
-    )
+    named = grouped.join(firsts, "root").select("fingerprint", "root", "component_id")
+    return rows.join(named, "fingerprint").select("id", "fingerprint", "root", "component_id")
 
 
 def without_copies(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """One row of each near-duplicate group, the one with the least id; columns as in ``docs``.
 
     Rows without an id are kept, as nothing names them a copy. Rows that repeat an id count as
-    copies of each other if they are in one group.
+    copies of each other if they are in one group; the one of the least fingerprint stays, and of
+    equal fingerprints the one of the least text. An id may be the least of several groups.
     """
-    found = pinned(near_duplicates(docs.select(row_id, text), text, row_id), "groups")
-    first = found.where(F.col(row_id) == F.col("component_id")).groupBy(row_id).agg(F.count(F.lit(1)).alias("_rows"))
-    first = pinned(first, "kept")
+    found = pinned(_grouped(docs.select(row_id, text), text, row_id), "groups")
+    printed = "_print"
+    while printed in docs.columns:
+        printed += "_"
+    least = found.where(F.col("id") == F.col("component_id")).groupBy("id", "root")
+    first = least.agg(F.min("fingerprint").alias(printed), F.count(F.lit(1)).alias("rows"))
+    first = pinned(first.select(F.col("id").alias(row_id), printed, "rows"), "kept")
     unnamed = docs.where(F.col(row_id).isNull())
     # Whole documents meet a list of ids as long as the table: shuffled alike at every size.
-    kept = docs.join(first.select(row_id).hint("merge"), row_id, "left_semi")
-    again = first.where("_rows > 1").select(row_id)
+    key = [row_id, printed]
+    marked = docs.where(F.col(row_id).isNotNull()).withColumn(printed, fingerprint(F.col(text)))
+    kept = marked.join(first.select(*key).hint("merge"), key, "left_semi")
+    again = first.where("rows > 1").select(*key)
     if not again.isEmpty():
-        repeated = kept.join(again, row_id, "left_semi").dropDuplicates([row_id])
-        kept = kept.join(again, row_id, "left_anti").unionByName(repeated)
-    return kept.unionByName(unnamed).select(*docs.columns)
+        whole = F.min_by(F.struct(*docs.columns), F.struct(text)).alias("whole")
+        repeated = kept.join(again, key, "left_semi").groupBy(*key).agg(whole).select("whole.*")
+        kept = kept.join(again, key, "left_anti").select(*docs.columns).unionByName(repeated)
+    return kept.select(*docs.columns).unionByName(unnamed)
