@@ -225,6 +225,25 @@ def test_codes_are_balanced():
     assert tables.keys(unit).shape == (2000, tables.count)
 
 
+@pytest.mark.parametrize("common", [0.0, 0.3, 0.6])
+def test_pairs_at_the_threshold_meet_whatever_the_mean(common):
+    rng = np.random.default_rng(6)
+
+    def drawn(count):
+        loose = rng.standard_normal((count, 64))
+        loose *= np.sqrt(1 - common) / np.linalg.norm(loose, axis=1, keepdims=True)
+        loose[:, 0] += np.sqrt(common)
+        return loose / np.linalg.norm(loose, axis=1, keepdims=True)
+
+    tables = embedding_dedup.learn_tables(drawn(2000), 51_200)
+    one = drawn(4000)
+    away = rng.standard_normal(one.shape)
+    away -= (away * one).sum(axis=1, keepdims=True) * one
+    other = 0.9 * one + np.sqrt(0.19) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    assert (tables.keys(one) == tables.keys(other)).any(axis=1).mean() >= 0.98
+    assert tables.bits >= 6
+
+
 @pytest.mark.parametrize("lengths", [False, True])
 def test_nearest_match_brute_force(spark, monkeypatch, lengths):
     monkeypatch.setattr(ann, "SHARD_ROWS", 300)

@@ -17,11 +17,13 @@ from tidemark.session import pinned
 COSINE = 0.9
 # Vectors the rotations are learned from, steps of learning, and bits of one code at most.
 SAMPLE, STEPS, CODE_BITS = 4096, 30, 64
-# Rows a bucket of a table should hold, the least bits of a key, and the chance to miss a link
+# Rows a bucket of a table should hold, the bits a key may always have, and the chance to miss a link
 # at the threshold itself; links above it are missed far less often.
 BUCKET, LEAST_BITS, MISS = 200, 8, 0.01
 # Rows compared with each other in one piece.
 BLOCK = 512
+# Pairs at the threshold that the number of tables is tried on, at least.
+TRIALS = 4096
 
 
 @dataclass(frozen=True)
@@ -33,7 +35,9 @@ class Tables:
     count: int
 
     def keys(self, unit: np.ndarray) -> np.ndarray:
-        """The key of every unit vector in every table."""
+        """The key of every unit vector in every table; without bits there is one table of one key."""
+        if not self.bits:
+            return np.zeros((len(unit), 1), dtype=np.int64)
         parts = []
         for centre, projection in self.codes:
             signs = (unit - centre) @ projection > 0
@@ -61,22 +65,70 @@ def iterative_quantisation(unit: np.ndarray, bits: int, seed: int, steps: int =
     return centre, directions @ rotation
 
 
+def partners(unit: np.ndarray, cosine: float, seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors and others at the given cosine to them: away from them in a random direction,
+    and in that of another vector of the sample."""
+    rng = np.random.default_rng(seed)
+    ones = np.tile(unit, (-(-TRIALS // len(unit)), 1))
+    loose = rng.standard_normal(ones.shape)
+    found = []
+    for way in (loose, ones[rng.permutation(len(ones))] - unit.mean(axis=0)):
+        away = way - (way * ones).sum(axis=1, keepdims=True) * ones
+        length = np.linalg.norm(away, axis=1, keepdims=True)
+        fine = length[:, 0] > 1e-6
+        if fine.any():
+            found.append((ones[fine], cosine * ones[fine] + math.sqrt(1 - cosine**2) * away[fine] / length[fine]))
+    return found
+
+
+def _met(code: tuple[np.ndarray, np.ndarray], bits: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """For each kind of pair: which pairs meet in which table of a code."""
+    every = Tables((code,), bits, code[1].shape[1] // bits)
+    return [every.keys(one) == every.keys(other) for one, other in pairs]
+
+
 def learn_tables(vectors: np.ndarray, rows: int, cosine: float = COSINE) -> Tables:
     """Tables for ``rows`` vectors, learned from a sample.
 
+    How often two vectors at the threshold meet in a table depends on where the vectors lie, most
+    of all on a direction they have in common, so it is tried: the vectors of the sample get
+    partners at the threshold, and tables are added, from as many codes as have that many separate
+    keys, until no more than MISS / 2 of the partners of either kind are missed: half of MISS is
+    left for vectors that were not in the sample.
+
     A key has as many bits as keep buckets near BUCKET rows, so work grows little faster than the
-    rows. Two vectors at the threshold differ in a bit with chance angle / pi; there are as many
-    tables as it takes to meet in one of them with chance 1 - MISS, and as many codes, from
-    different starts, as have that many separate keys.
+    rows. It has fewer where so many tables would be needed that larger buckets are less work, and
+    none, so that all vectors are compared, where no keys of any length find the partners.
     """
     size = vectors.shape[1]
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    bits = min(size, max(LEAST_BITS, round(math.log2(max(2, rows / BUCKET)))))
-    agree = (1 - math.acos(cosine) / math.pi) ** bits
-    count = math.ceil(math.log(MISS) / math.log(1 - agree))
+    most = min(size, max(LEAST_BITS, round(math.log2(max(2, rows / BUCKET)))))
     width = min(size, CODE_BITS)
-    codes = math.ceil(count / (width // bits))
-    return Tables(tuple(iterative_quantisation(unit, width, seed) for seed in range(codes)), bits, count)
+    pairs = partners(unit, cosine)
+    codes = [iterative_quantisation(unit, width, 0)]
+
+    def tables_of(bits: int) -> int:
+        agree = min((float(m.mean()) for m in _met(codes[0], bits, pairs)), default=1.0)
+        return 1 if agree >= 1 else math.ceil(math.log(MISS) / math.log1p(-agree)) if agree > 0 else rows
+
+    wanted = {bits: tables_of(bits) for bits in range(1, most + 1)}
+    order = sorted(wanted, key=lambda bits: (wanted[bits] * (BUCKET + rows / 2**bits), -bits))
+    for bits in range(order[0], 0, -1):
+        if wanted[bits] * (BUCKET + rows / 2**bits) > 2 * (BUCKET + rows):
+            continue
+        missed = [np.ones(len(one), dtype=bool) for one, _ in pairs]
+        count = 0
+        # Tables of one sample are alike to some degree: allow for twice as many as independent ones.
+        for place in range(2 * math.ceil(wanted[bits] / (width // bits)) + 1):
+            if place == len(codes):
+                codes.append(iterative_quantisation(unit, width, place))
+            met = _met(codes[place], bits, pairs)
+            for table in range(width // bits):
+                count += 1
+                missed = [m & ~found[:, table] for m, found in zip(missed, met)]
+                if all(m.mean() <= MISS / 2 for m in missed):
+                    return Tables(tuple(codes[: place + 1]), bits, count)
+    return Tables((codes[0],), 0, 1)
 
 
 def _unit(column: pa.ChunkedArray, size: int) -> np.ndarray:
