@@ -130,6 +130,20 @@ def test_main_text_of_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+RUSSIAN = "Это обычный русский текст о погоде и природе, который написан для проверки того, что статья остаётся целой."
+CHINESE = "这是一段用于测试的中文文本,它没有任何拉丁字母,但是它仍然是网页的正文,所以应该被保留下来。"
+FINNISH = "Tämä on suomenkielinen kirjoitus, joka kertoo säästä sekä luonnosta, ja sen pitää säilyä kokonaan tallessa."
+CODE = "for (int row = 0; row < rows.length; row++) { total += rows[row].price * rows[row].count; }"
+NAMES = "Anna Berg, Carl Dietz, Emma Falk, Georg Hahn, Ida Jung, Karl Lenz, Maria Noll, Otto Pohl, Rosa Stein"
+MENU = "<div><a href=1>one</a> <a href=2>two</a></div>"
+
+
+@pytest.mark.parametrize("lines", [[RUSSIAN], [CHINESE], [FINNISH], [RUSSIAN, FINNISH], [STORY, CODE, NAMES, STORY], [STORY, RUSSIAN]])
+def test_long_blocks_without_known_words_stay(lines):
+    paragraphs = "".join(f"<p>{line.replace('<', '&lt;')}</p>" for line in lines)
+    assert html_text.main_text(f"<body>{MENU}<div>{paragraphs}</div>{MENU}</body>") == "\n".join(lines)
+
+
 def test_second_pass_takes_the_nearest_label():
     labels = ["near", "bad", "near", "near", "good", "near", "near", "bad", "near"]
     kept = html_text.second_pass(labels, [False] * 9)

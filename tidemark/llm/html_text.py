@@ -77,6 +77,10 @@ _TOKEN = re.compile(
 )
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"\w+")
+# Letters, those of scripts other than the Latin one, and those that stand for syllables or words.
+_LETTERS = re.compile(r"[^\W\d_]")
+_OTHER = re.compile(r"[\u0370-\u1dff\u2c80-\ua71f\ua800-\uab2f\uab70-\ufaff\ufb13-\ufdff\ufe70-\ufefe\uff66-\uffdc\U00010000-\U0003ffff]")
+_WIDE = re.compile(r"[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 @dataclass(frozen=True)
@@ -226,8 +230,28 @@ def _implied_end(stack: list[_Open], name: str) -> int:
     return 0
 
 
-def first_pass(block: Block, rules: Rules) -> str:
-    """``good``, ``bad`` or ``near`` for a block by itself."""
+def stop_share(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(word in STOP_WORDS for word in words) / len(words) if words else 0.0
+
+
+def told_by_words(found: list[Block], rules: Rules) -> bool:
+    """Whether any longer block of a page is in a language whose stop words are known."""
+    return any(not b.dropped and len(b.text) >= rules.short and stop_share(b.text) >= rules.stop_low for b in found)
+
+
+def _foreign(text: str) -> bool:
+    """Whether most letters are of scripts that no known stop word is written in."""
+    return not text.isascii() and 2 * len(_OTHER.findall(text)) > len(_LETTERS.findall(text))
+
+
+def first_pass(block: Block, rules: Rules, worded: bool = True) -> str:
+    """``good``, ``bad`` or ``near`` for a block by itself.
+
+    Few stop words alone make no block bad: tables, lists of names and code have few. Such a block
+    goes with its neighbours. Where stop words say nothing, on a page without any (``worded`` is
+    false) or in another script, length and links decide.
+    """
     size = len(block.text)
     density = block.linked / size
     if block.dropped or density > (0.8 if block.inside else rules.links):
@@ -236,13 +260,13 @@ def first_pass(block: Block, rules: Rules) -> str:
         return "good"  # the page itself names this its article
     if block.text[0] == "©" or block.text.lower().startswith("copyright "):
         return "bad"
-    words = _WORD.findall(block.text.lower())
-    stops = sum(word in STOP_WORDS for word in words) / len(words) if words else 0.0
+    if not worded or _foreign(block.text):
+        # A letter for a syllable or word counts as three.
+        return "good" if size + 2 * len(_WIDE.findall(block.text)) >= rules.short else "near"
     if size < rules.short:
         return "near"
-    if stops >= rules.stop_high or (size >= rules.long and stops >= rules.stop_low):
-        return "good"
-    return "near" if stops >= rules.stop_low else "bad"
+    stops = stop_share(block.text)
+    return "good" if stops >= rules.stop_high or (size >= rules.long and stops >= rules.stop_low) else "near"
 
 
 def second_pass(labels: list[str], headings: list[bool]) -> list[bool]:
@@ -283,7 +307,8 @@ def main_text(html: str | None, rules: Rules = Rules()) -> str:
     if sizes["form"] > sizes[""]:  # a form round the whole page
         for block in found:
             block.dropped = block.dropped.removeprefix("form")
-    labels = [first_pass(b, rules) for b in found]
+    worded = told_by_words(found, rules)
+    labels = [first_pass(b, rules, worded) for b in found]
     named = sum(len(b.text) for b in found if b.inside and not b.dropped)
     other = sum(len(b.text) for b, label in zip(found, labels) if not b.inside and label == "good")
     if named and named >= other:
