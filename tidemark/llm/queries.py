@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, embedding_dedup, html_text, language, mixing, packing, simhash, sql, toxicity, url_rules, warc
+from tidemark.llm import (
+    alignment,
+    ann,
+    embedding_dedup,
+    html_text,
+    language,
+    mixing,
+    packing,
+    simhash,
+    sql,
+    token_counts,
+    toxicity,
+    url_rules,
+    warc,
+)
 from tidemark.llm.common import is_split, split_of, table
 
 
@@ -75,6 +89,16 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it exceeds 1024 tokens."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op13_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tokenizers' tokens of every document, aligned, with corpus-wide counts of the links."""
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash": (op1_simhash, None),
     "op2_embedding_dedup": (op2_embedding_dedup, None),
@@ -86,4 +110,6 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_mix": (op9_mix, sql.MIX),
     "op10_pack": (op10_pack, None),
+    "op12_token_counts": (op12_token_counts, None),
+    "op13_align_tokens": (op13_align_tokens, None),
 }
