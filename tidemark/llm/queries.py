@@ -14,6 +14,7 @@ from tidemark.llm import (
     mixing,
     packing,
     simhash,
+    spelling,
     sql,
     token_counts,
     toxicity,
@@ -89,6 +90,11 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, root and near words of every longer word of the documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it exceeds 1024 tokens."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_mix": (op9_mix, sql.MIX),
     "op10_pack": (op10_pack, None),
+    "op11_spelling_variants": (op11_spelling_variants, None),
     "op12_token_counts": (op12_token_counts, None),
     "op13_align_tokens": (op13_align_tokens, None),
 }
