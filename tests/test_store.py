@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -12,9 +14,10 @@ from pyspark.sql import types as T
 
 from samples import breakdown_line, write_statement
 from tidemark import jobs
-from tidemark.operators.upsert import latest_by_key, merge_rows, upsert
+from tidemark.operators import upsert as merging
+from tidemark.operators.upsert import latest_by_key, upsert, write_batch
 from tidemark.schemas import LAST_SYNC, PROGRESS, TableSpec, all_specs, campaign_specs, link_specs
-from tidemark.sources import SnapshotStore, decode_rows
+from tidemark.sources import SnapshotStore, decode_rows, snapshots
 from tidemark.sources.snapshots import ConcurrentWrite, evolve, with_period
 from tidemark.streaming import late_split, stream_exports
 
@@ -127,15 +130,115 @@ def test_latest_by_key_breaks_ties_by_the_other_columns(spark):
     assert found == {("a", 1, "y"), ("b", None, "z")}
 
 
-def test_merge_is_the_same_with_and_without_broadcast(spark):
-    target = spark.range(100).select("id", F.lit("old").alias("v"))
-    new = spark.range(50, 150).select("id", F.lit("new").alias("v"))
-    small = merge_rows(target, new, ["id"], batch_rows=100)
-    large = merge_rows(target, new, ["id"], batch_rows=10**9)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (small, large)]
-    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
-    assert small.count() == 150
+def wide_plan(store, rows, spec=SPEC):
+    """The plan by which a batch meets the stored rows."""
+    every = store.read(spec, with_period=True).withColumn("_new", F.lit(0)).unionByName(
+        evolve(with_period(rows, spec), store.columns(spec), ("period", "line")).withColumn("_new", F.lit(1)),
+        allowMissingColumns=True,
+    )
+    return merging._merged(every, spec, ["line"], {})._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_merge_moves_whole_rows_once(spark, store):
+    upsert(store, SPEC, batch(spark, breakdown_line()), NOW)
+    plan = wide_plan(store, batch(spark, breakdown_line(streams=3)))
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_COL" in plan
+    assert "SortAggregate" not in plan and "Join" not in plan
+    assert plan.count("Sort [") == 1
+
+
+def test_a_merge_reports_what_the_write_saw(spark, store):
+    lines = [breakdown_line(country_code=c, streams=n) for n, c in enumerate(["US", "DE", "US", "US"])]
+    first = write_batch(store, SPEC, batch(spark, *lines), NOW)
+    assert (first.given, first.kept, first.stored, first.repeated) == (4, 2, 2, 2)
+    second = write_batch(store, SPEC, batch(spark, breakdown_line(country_code="FR"), lines[0]), NOW)
+    assert (second.given, second.kept, second.stored) == (2, 2, 3)
+
+
+def test_a_very_frequent_key_is_reduced_before_it_moves(spark, store, monkeypatch):
+    monkeypatch.setattr(merging, "HOT_COPIES", 20)
+    reduced = []
+    few_copies = merging._few_copies
+
+    def watched(given, key, order, hot):
+        left = few_copies(given, key, order, hot)
+        reduced.append((len(hot), given.count(), left.count()))
+        return left
+
+    monkeypatch.setattr(merging, "_few_copies", watched)
+    lines = [breakdown_line(country_code="DE", streams=n) for n in range(60)]
+    lines += [breakdown_line(country_code=c, streams=n) for n, c in enumerate(["US", "FR"] * 5)]
+    report = write_batch(store, SPEC, batch(spark, *lines), NOW)
+    assert reduced == [(1, 70, 11)]
+    assert (report.given, report.kept) == (70, 3)
+    assert {c: r["streams"] for c, r in stored(store).items()} == {"DE": 59, "US": 8, "FR": 9}
+
+
+def test_large_periods_are_spread_over_cells(spark, store, conf, monkeypatch):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    monkeypatch.setattr(merging, "CELL_BYTES", 1000)
+    lines = [breakdown_line(campaign_id=str(n), streams=n) for n in range(40)]
+    upsert(store, SPEC, batch(spark, *lines), NOW)
+    upsert(store, SPEC, batch(spark, breakdown_line(campaign_id="7", streams=100)), NOW)
+    rows = store.read(SPEC)
+    assert len(rows.inputFiles()) > 1
+    assert sorted(r["streams"] for r in rows.collect()) == sorted([*range(7), *range(8, 40), 100])
+
+
+def test_a_numbered_batch_is_taken_once(spark, store):
+    one, two = batch(spark, breakdown_line(streams=1)), batch(spark, breakdown_line(streams=2))
+    assert upsert(store, SPEC, one, NOW, once=("s", 0)) == 1
+    assert upsert(store, SPEC, two, NOW, once=("s", 1)) == 1
+    version = store.version(SPEC)
+    assert upsert(store, SPEC, one, NOW, once=("s", 0)) == 0 == upsert(store, SPEC, one, NOW, once=("s", 1))
+    assert store.version(SPEC) == version and stored(store)["US"]["streams"] == 2
+    assert upsert(store, SPEC, one, NOW, once=("other", 0)) == 1
+    assert (store.last_batch(SPEC, "s"), store.last_batch(SPEC, "other"), store.last_batch(SPEC, "x")) == (1, 0, -1)
+    assert stored(store)["US"]["streams"] == 1
+
+
+def test_of_writers_of_one_version_at_most_one_publishes(spark, store):
+    store.ensure([SPEC])
+    base, snapshot = store.version(SPEC), store._snapshot(SPEC, store.version(SPEC))
+    published = 0
+    for _ in range(5):
+        start = threading.Barrier(4)
+
+        def publish(n, version=base + published + 1):
+            start.wait()
+            try:
+                store._publish(SPEC, version, {**snapshot, "notes": {"writer": n}})
+            except ConcurrentWrite:
+                return None
+            return n
+
+        with ThreadPoolExecutor(4) as pool:
+            won = [n for n in pool.map(publish, range(4)) if n is not None]
+        assert len(won) <= 1
+        if won:
+            published += 1
+            assert store._snapshot(SPEC, base + published)["notes"] == {"writer": won[0]}
+    assert store.version(SPEC) == base + published
+    store._publish(SPEC, base + published + 1, snapshot)
+
+
+def test_a_claim_of_a_dead_writer_does_not_block_for_good(spark, store, monkeypatch):
+    store.ensure([SPEC])
+    left = store._path(SPEC.name, "claims", store.version(SPEC) + 1, "dead")
+    store._fs().create(left, False).close()
+    with pytest.raises(ConcurrentWrite):
+        upsert(store, SPEC, batch(spark, breakdown_line()), NOW)
+    monkeypatch.setattr(snapshots, "CLAIM_HOURS", -1.0)
+    assert upsert(store, SPEC, batch(spark, breakdown_line()), NOW) == 1
+
+
+def test_a_batch_that_changes_between_reads_is_not_published(spark, store):
+    upsert(store, SPEC, batch(spark, breakdown_line()), NOW)
+    rows = with_period(batch(spark, breakdown_line(report_date="2026-05-01")), SPEC)
+    before = store.version(SPEC)
+    with pytest.raises(RuntimeError, match="not expected"):
+        store.write_periods(SPEC, rows, before, only={202604})
+    assert store.version(SPEC) == before
 
 
 def test_new_columns_are_nullable_and_old_ones_stay(spark, store):

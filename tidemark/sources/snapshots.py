@@ -7,7 +7,8 @@ Layout of a table below the store's root::
 
 A write puts its rows in a folder of its own and then publishes one snapshot file; readers
 follow the newest snapshot, so they see all of a write or nothing of it. A failed job leaves
-only unreferenced folders. The file system must rename a file atomically.
+only unreferenced folders. A renamed file must appear whole; that only one writer publishes a
+version is seen to by claims, not by the file system.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from tidemark.schemas import TableSpec
 from tidemark.sources.exports import between_days
 
 WHOLE = 0
+# Age after which a claim is taken for one of a writer that died.
+CLAIM_HOURS = 1.0
 
 
 class ConcurrentWrite(RuntimeError):
@@ -83,17 +86,32 @@ class SnapshotStore:
         return json.loads(text)
 
     def _publish(self, spec: TableSpec, version: int, snapshot: dict) -> None:
-        """Write aside, then rename: the name appears at once and only for one writer."""
+        """Write aside, then rename: the name appears at once and only for one writer.
+
+        Every writer of a version first leaves a claim and then looks for others. Of two, the
+        one that looks later sees both, so at most one goes on; that holds where testing for a
+        file and renaming to it are two steps. Writers that see another's claim give up.
+        """
         fs = self._fs()
+        claims = self._path(spec.name, "claims", version)
+        mine = self._path(spec.name, "claims", version, uuid.uuid4().hex)
         aside = self._path(spec.name, "snapshots", f".{uuid.uuid4().hex}")
         final = self._path(spec.name, "snapshots", version)
-        stream = fs.create(aside, False)
+        fs.create(mine, False).close()
         try:
-            stream.write(bytearray(json.dumps(snapshot).encode()))
+            oldest = (time.time() - CLAIM_HOURS * 3600) * 1000
+            others = [s for s in fs.listStatus(claims) if s.getPath().getName() != mine.getName()]
+            if any(s.getModificationTime() >= oldest for s in others) or fs.exists(final):
+                raise ConcurrentWrite(f"{spec.name} version {version}")
+            stream = fs.create(aside, False)
+            try:
+                stream.write(bytearray(json.dumps(snapshot).encode()))
+            finally:
+                stream.close()
+            if not fs.rename(aside, final):
+                raise ConcurrentWrite(f"{spec.name} version {version}")
         finally:
-            stream.close()
-        if fs.exists(final) or not fs.rename(aside, final):
-            raise ConcurrentWrite(f"{spec.name} version {version}")
+            fs.delete(mine, False)
 
     def columns(self, spec: TableSpec) -> T.StructType:
         """Stored columns plus those the table gained or kept from earlier contracts."""
@@ -114,11 +132,31 @@ class SnapshotStore:
             if snapshot["columns"] != columns:
                 self._publish(spec, version + 1, {**snapshot, "columns": columns})
 
+    def last_batch(self, spec: TableSpec, source: str, version: int | None = None) -> int:
+        """Number of the last batch of a numbered source that the table holds, -1 for none."""
+        at = self.version(spec) if version is None else version
+        return self._snapshot(spec, at).get("batches", {}).get(source, -1)
+
+    def writes(self, spec: TableSpec, version: int | None = None) -> dict[int, str]:
+        """The write that holds each period: what differs between two versions has changed."""
+        at = self.version(spec) if version is None else version
+        return {int(period): token for period, token in self._snapshot(spec, at)["periods"].items()}
+
+    def sizes(self, spec: TableSpec, periods: Iterable[int], version: int | None = None) -> dict[int, int]:
+        """Bytes stored of those periods that exist."""
+        held = self.writes(spec, version)
+        folders = {p: self._path(spec.name, "data", f"write={held[p]}", f"period={p}") for p in periods if p in held}
+        return {p: self._fs().getContentSummary(path).getLength() for p, path in folders.items()}
+
     def read(
-        self, spec: TableSpec, periods: Iterable[int] | None = None, with_period: bool = False
+        self,
+        spec: TableSpec,
+        periods: Iterable[int] | None = None,
+        with_period: bool = False,
+        version: int | None = None,
     ) -> DataFrame:
         """The table, or only some of its periods; older files show new columns as null."""
-        snapshot = self._snapshot(spec, self.version(spec))
+        snapshot = self._snapshot(spec, self.version(spec) if version is None else version)
         wanted = None if periods is None else {str(period) for period in periods}
         paths = [
             f"{self.root}/{spec.name}/data/write={token}/period={period}"
@@ -145,13 +183,23 @@ class SnapshotStore:
         return between_days(self.read(spec, known), spec, start, end)
 
     def write_periods(
-        self, spec: TableSpec, rows: DataFrame, base: int, keep_others: bool = True
+        self,
+        spec: TableSpec,
+        rows: DataFrame,
+        base: int,
+        keep_others: bool = True,
+        arranged: bool = False,
+        only: set[int] | None = None,
+        once: tuple[str, int] | None = None,
+        notes: dict | None = None,
     ) -> list[int]:
         """Replace the periods present in ``rows`` (with ``period``) on top of version ``base``.
 
         Rows are spread by period; adaptive execution splits a period that is larger than a
         partition should be and merges small ones. Within files rows are ordered by key, so a
-        filter on an entity skips row groups.
+        filter on an entity skips row groups. ``arranged`` rows lie as they should already.
+        Nothing is published if a period outside ``only`` was written. ``once`` is the (source,
+        number) of the batch that the version then holds; ``notes`` are kept with the version.
         """
         columns = self.columns(spec)
         earlier = self._snapshot(spec, base) if keep_others else {"grain": None, "periods": {}}
@@ -160,16 +208,21 @@ class SnapshotStore:
         token = uuid.uuid4().hex
         target = f"{self.root}/{spec.name}/data/write={token}"
         entity_first = sorted(spec.key, key=lambda name: not name.endswith("_id"))
-        (
-            evolve(rows, columns, keep=("period",))
-            .hint("rebalance", "period")
-            .sortWithinPartitions("period", *entity_first)
-            .write.partitionBy("period")
-            .parquet(target)
-        )
+        shaped = evolve(rows, columns, keep=("period",))
+        if not arranged:
+            shaped = shaped.hint("rebalance", "period").sortWithinPartitions("period", *entity_first)
+        shaped.write.partitionBy("period").parquet(target)
         written = self._written_periods(target)
+        if only is not None and not only.issuperset(written):
+            raise RuntimeError(f"{spec.name}: periods {sorted(set(written) - only)} were not expected")
         periods = {**earlier["periods"], **{str(period): token for period in written}}
-        snapshot = {"columns": columns.jsonValue(), "grain": spec.grain, "periods": periods}
+        snapshot = {
+            "columns": columns.jsonValue(),
+            "grain": spec.grain,
+            "periods": periods,
+            "batches": {**earlier.get("batches", {}), **({once[0]: once[1]} if once else {})},
+            "notes": {**earlier.get("notes", {}), **(notes or {})},
+        }
         self._publish(spec, base + 1, snapshot)
         return written
 

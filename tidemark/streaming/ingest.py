@@ -43,10 +43,10 @@ def stream_exports(
 ) -> StreamingQuery:
     """Upsert all files dropped below ``path`` since the last run, then stop.
 
-    Rows replace stored rows, so nothing is summed in state and a replayed micro-batch gives
-    the same table. Each micro-batch is parsed once into a staged table. Faulty and late rows
-    stay below ``<root>/<table>/aside/<checkpoint name>``, a folder per micro-batch that a replay
-    overwrites.
+    Rows replace stored rows, so nothing is summed in state. The table's snapshot records the
+    micro-batch it holds, so a replay of it changes nothing. Each micro-batch is parsed once into
+    a staged table. Faulty and late rows stay below ``<root>/<table>/aside/<checkpoint name>``, a
+    folder per micro-batch that a replay overwrites.
     """
     lines = (
         spark.readStream.format("text")
@@ -76,7 +76,8 @@ def stream_exports(
         folder = f"{store.root}/{spec.name}/aside/{name}/batch={batch_id}"
         aside.write.mode("overwrite").parquet(folder)
         accepted = judged.where(F.col("reason").isNull()).drop("faults", "reason")
-        upsert(store, spec, accepted, now, order=("landed", "file", "block", "line"))
+        order = ("landed", "file", "block", "line")
+        upsert(store, spec, accepted, now, order, once=(name, batch_id))
         discard(spark, staging)
 
     writer = lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
