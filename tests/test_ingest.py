@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -257,3 +259,49 @@ def test_unit_metrics_match_the_exported_ones(spark):
     assert (row["cpl"], row["cpf"]) == (0.16, 4.0)
     empty = decode(spark, breakdown_line(listeners=0)).drop("cpl")
     assert unit_metrics(empty, "cpl").first()["cpl"] is None
+
+
+def land_in(folder, **line):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "part.jsonl").write_text(json.dumps(breakdown_line(**line)) + "\n")
+
+
+def files_opened(rows):
+    return {r["file"] for r in rows.select("file").collect()}
+
+
+def test_a_range_of_days_opens_only_windows_that_can_hold_it(spark, tmp_path):
+    for window in ("2025-11-03", "2026-01-10", "2026-03-20", "2026-04-02", "soon"):
+        land_in(tmp_path / f"window={window}", report_date="2026-03-25", campaign_id=window)
+    start, end = date(2026, 3, 22), date(2026, 3, 31)
+    lines = read_lines(spark, str(tmp_path), start, end)
+    assert {f.split("window=")[1].split("/")[0] for f in files_opened(lines)} == {"2026-01-10", "2026-03-20", "soon"}
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    pushed = re.search(r"PartitionFilters: \[(.*?)\]", plan)[1]
+    assert "window" in pushed and "2025-12-23" in pushed
+    assert {r["campaign_id"] for r in read_export(spark, str(tmp_path), BREAKDOWN, start, end).collect()} == {
+        "2026-01-10", "2026-03-20", "soon",
+    }
+    # The first and the last window that can hold the first day of the range.
+    assert read_lines(spark, str(tmp_path), date(2026, 4, 9), date(2026, 4, 9)).count() == 4
+    assert read_lines(spark, str(tmp_path), date(2026, 4, 10), date(2026, 4, 10)).count() == 3
+    assert read_lines(spark, str(tmp_path)).count() == 5
+
+
+def test_entities_asked_for_prune_their_folders_at_run_time(spark, tmp_path):
+    for entity in ("007", "7", "8", "a b"):
+        land_in(tmp_path / f"entity={entity.replace(' ', '%20')}" / "window=2026-03-20", report_date="2026-03-25", campaign_id=entity)
+    ids = spark.createDataFrame([("007", 1), ("a b", 1), ("9", 1), ("8", 0)], "campaign_id string, wanted int")
+    lines = read_lines(spark, str(tmp_path), entities=ids.where("wanted = 1").select("campaign_id"))
+    assert "dynamicpruning" in lines._jdf.queryExecution().executedPlan().toString()
+    assert len(files_opened(lines)) == 2
+    found = read_export(spark, str(tmp_path), BREAKDOWN, ids=ids.where("wanted = 1").select("campaign_id"))
+    assert {r["campaign_id"] for r in found.collect()} == {"007", "a b"}
+    named = read_lines(spark, str(tmp_path), folders=("batch", "entity", "window"))
+    assert {(r["batch"], r["entity"]) for r in named.collect()} == {(None, e) for e in ("007", "7", "8", "a b")}
+
+
+def test_files_outside_folders_are_read_whatever_is_asked(spark, tmp_path):
+    land_in(tmp_path, report_date="2026-03-25")
+    ids = spark.createDataFrame([("c-1",)], "campaign_id string")
+    assert read_lines(spark, str(tmp_path), date(2026, 3, 1), date(2026, 3, 31), ids).count() == 1

@@ -50,13 +50,16 @@ def _month_number(day: Column) -> Column:
 
 def export_name(file: str = "file") -> Column:
     """The landed folder a line came from: one export per month."""
-    return F.regexp_extract(file, "ship_month=([0-9]+)", 1).cast("int")
+    return F.replace(F.regexp_extract(file, "window=([0-9]+-[0-9]+)", 1), F.lit("-"), F.lit("")).cast("int")
 
 
-def land(rows: DataFrame, name: str) -> str:
-    """Write (value, ship_month) as text files, a folder per month."""
+def land(rows: DataFrame, name: str, by: tuple[str, ...] = ("window",)) -> str:
+    """Write (value, ship_month) as text files, a folder per month named by its first day."""
     path = scratch_dir(rows.sparkSession, name)
-    rows.hint("rebalance", "ship_month").write.partitionBy("ship_month").text(path)
+    month = F.col("ship_month").cast("string")
+    window = F.concat_ws("-", F.substring(month, 1, 4), F.substring(month, 5, 2), F.lit("01"))
+    sorted_in = rows.withColumn("window", window).select("value", *by)
+    sorted_in.hint("rebalance", *by).write.partitionBy(*by).text(path)
     return path
 
 
@@ -84,13 +87,16 @@ def breakdown_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def land_breakdown(spark: SparkSession, sf: str, country: Column | None = None) -> str:
+def land_breakdown(
+    spark: SparkSession, sf: str, country: Column | None = None, by: tuple[str, ...] = ("window",)
+) -> str:
     """Breakdown exports; ``country`` replaces the country code."""
     rows = breakdown_rows(spark, sf)
     fields = F.col("fields")
     if country is not None:
         fields = fields.withField("country_code", country)
-    return land(rows.select(F.to_json(fields).alias("value"), "ship_month"), "breakdown")
+    entity = F.col("fields.campaign_id").alias("entity")
+    return land(rows.select(F.to_json(fields).alias("value"), "ship_month", entity), "breakdown", by)
 
 
 _ROWS = sql.with_views(sql.LINES)
@@ -123,6 +129,25 @@ FROM lines WHERE campaign_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal
 GROUP BY ALL"""
 
 
+def entity_folder_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Exports in a folder per campaign: those of campaigns not asked for stay closed."""
+    paused = views.campaigns(spark, sf).where(F.col("status") == "paused")
+    ids = paused.select(F.col("campaign_id").cast("string").alias("campaign_id"))
+    path = land_breakdown(spark, sf, by=("entity",))
+    rows = read_export(spark, path, BREAKDOWN, *RANGE, ids=ids)
+    return rows.groupBy("campaign_id", "country_code").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("streams").alias("streams")
+    )
+
+
+ENTITY_FOLDER_SCAN = f"""{_ROWS}
+SELECT CAST(campaign_id AS VARCHAR) AS campaign_id, country_code, COUNT(*) AS n_rows,
+  CAST(SUM(streams) AS BIGINT) AS streams
+FROM lines WHERE campaign_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0)
+  AND report_date BETWEEN DATE '1997-03-10' AND DATE '1997-06-07'
+GROUP BY ALL"""
+
+
 def ndjson_decode(spark: SparkSession, sf: str) -> DataFrame:
     rows = breakdown_rows(spark, sf)
     text = F.to_json("fields")
@@ -776,7 +801,7 @@ SELECT * EXCLUDE (l_shipdate, place), CAST(l_shipdate AS DATE) AS l_shipdate FRO
 WHERE place = 1"""
 
 
-def _stored_rows(spark: SparkSession, sf: str) -> DataFrame:
+def stored_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines in the stored breakdown shape, with the columns that order duplicates."""
     return views.lines(spark, sf).select(
         F.lit("demo").alias("provider"),
@@ -797,7 +822,7 @@ _ORDER = ("order_key", "line_number", "track", "streams")
 
 
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stored_rows(spark, sf)
+    rows = stored_rows(spark, sf)
     later = rows.where(F.col("line_number") >= 4).withColumn("streams", F.col("streams") + 1000)
     store = SnapshotStore(spark, scratch_dir(spark, "merging"))
     upsert(store, BREAKDOWN, rows.where(F.col("line_number") <= 4), SYNCED, _ORDER)
@@ -826,7 +851,7 @@ def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     early = TableSpec(
         BREAKDOWN.name, BREAKDOWN.key, T.StructType(early_fields), BREAKDOWN.key, BREAKDOWN.day
     )
-    rows = _stored_rows(spark, sf)
+    rows = stored_rows(spark, sf)
     store = SnapshotStore(spark, scratch_dir(spark, "evolving"))
     store.ensure([early])
     upsert(store, early, rows.where(F.col("line_number") <= 4), SYNCED, _ORDER)
@@ -892,6 +917,7 @@ QUERIES = {
     "entity_lookup": (entity_lookup, ENTITY_LOOKUP),
     "export_range_scan": (export_range_scan, EXPORT_RANGE_SCAN),
     "batch_semi_scan": (batch_semi_scan, BATCH_SEMI_SCAN),
+    "entity_folder_scan": (entity_folder_scan, ENTITY_FOLDER_SCAN),
     "ndjson_decode": (ndjson_decode, NDJSON_DECODE),
     "row_count_reconcile": (row_count_reconcile, ROW_COUNT_RECONCILE),
     "key_validation": (key_validation, KEY_VALIDATION),

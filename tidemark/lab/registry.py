@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.lab import analyses, ingest, planning
+from tidemark.lab import analyses, ingest, planning, stored
 
 
 def registered() -> dict:
-    return {**analyses.QUERIES, **ingest.QUERIES, **planning.QUERIES}
+    return {**analyses.QUERIES, **ingest.QUERIES, **planning.QUERIES, **stored.QUERIES}

@@ -46,6 +46,6 @@ def trailing_rollup(
 
 def _total(facts: DataFrame, column: str):
     amount = F.col(column)
-    if facts.schema[column].dataType.typeName() == "double":
+    if facts.schema[column].dataType.typeName() in ("double", "decimal"):
         return F.sum(money(amount)).cast("double")
     return F.sum(amount)

@@ -7,10 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import money, month_of
+from tidemark.functions import money, month_of, period_number
 from tidemark.operators.spread import counted, spread_join
 
 CAMPAIGN = "campaign_id"
+# Column of a stored table read with its periods.
+PERIOD = "period"
 
 
 def spend_profile(country_daily: DataFrame, by: str = CAMPAIGN) -> DataFrame:
@@ -60,7 +62,8 @@ def within_window(
     An equi-join on the campaign with the range as a filter: few windows are broadcast, many are
     shuffled with the rows. Rows and columns are the same either way.
     """
-    return _between(spread_join(rows, counted(windows), by, spread_by))
+    lookup = counted(windows)
+    return _between(spread_join(within_periods(rows, lookup.rows), lookup, by, spread_by))
 
 
 def sums_within_window(
@@ -77,11 +80,32 @@ def sums_within_window(
     with the columns of ``daily`` and the window's; a sum over either is the same.
     """
     lookup = counted(windows)
+    rows = within_periods(rows, lookup.rows)
     if not lookup.small:
         return _between(spread_join(daily(rows), lookup, by, spread_by))
     names = [*daily(rows).columns, *[c for c in lookup.rows.columns if c != by]]
     return _between(spread_join(rows, lookup, by, spread_by)).select(*names)
 
 
+def within_periods(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows of a stored table read with its periods, without the periods no window touches.
+
+    The months of all windows are found when the query runs and the scan opens their folders
+    only. A calendar has few months, so they are always broadcast. Rows without ``period`` stay
+    as they are.
+    """
+    if PERIOD not in rows.columns:
+        return rows
+    first, last = (F.trunc(name, "month") for name in ("first_day", "last_day"))
+    months = windows.where(F.col("first_day") <= F.col("last_day")).select(
+        F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("_month")
+    )
+    number = period_number(F.col("_month"), "month").alias("_touched")
+    # Days are numbered within their month.
+    month = F.when(F.col(PERIOD) > 999999, F.floor(F.col(PERIOD) / 100)).otherwise(F.col(PERIOD)).cast("int")
+    touched = F.broadcast(months.select(number).distinct())
+    return rows.join(touched, month == F.col("_touched"), "left_semi")
+
+
 def _between(joined: DataFrame) -> DataFrame:
     return joined.where(F.col("report_date").between(F.col("first_day"), F.col("last_day")))

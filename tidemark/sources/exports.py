@@ -2,28 +2,84 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Iterator
+from contextlib import contextmanager
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.windows import MAX_DAYS
 from tidemark.schemas import TableSpec
 from tidemark.sources.decode import decode_rows
 
+# The folders a fetcher may sort exports into, name=value each.
+BATCH, ENTITY, WINDOW = "batch", "entity", "window"
+FOLDERS = (BATCH, ENTITY, WINDOW)
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+
+@contextmanager
+def _folders_as_text(spark: SparkSession) -> Iterator[None]:
+    """Folder values stay what they are: an entity 007 is not the number 7."""
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def window_reaches(first: date | None, last: date | None, days: int = MAX_DAYS) -> Column:
+    """Whether an export whose window starts on the folder's day can hold days of the range.
+
+    A window has at most ``days`` days. Folders that name no day are always read. The text of a
+    day sorts like the day, so the filter is one on the folder alone.
+    """
+    window = F.col(WINDOW)
+    reaches = F.lit(True)
+    if first is not None:
+        reaches = reaches & (window >= F.lit(str(first - timedelta(days=days - 1))))
+    if last is not None:
+        reaches = reaches & (window <= F.lit(str(last)))
+    return reaches | ~window.rlike(r"^\d{4}-\d\d-\d\d$")
+
+
+def read_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    start: date | None = None,
+    end: date | None = None,
+    entities: DataFrame | None = None,
+    folders: tuple[str, ...] = (),
+) -> DataFrame:
     """Non-blank lines with where they came from.
 
     (file, block, line) orders the lines of a file as written: ``block`` is the start of the
     input split and ``line`` grows within it.
+
+    Where exports lie in folders, those that cannot hold what is asked for are never opened: a
+    range of days is a filter on ``window=YYYY-MM-DD``, and ``entities`` (one column of ids) meet
+    ``entity=`` in a semi-join that prunes folders when the query runs. ``folders`` names those
+    whose values are columns of the result, null where a layout lacks one.
     """
-    lines = spark.read.text(path).select(
+    with _folders_as_text(spark):
+        landed = spark.read.text(path)
+    if WINDOW in landed.columns:
+        landed = landed.where(window_reaches(start, end))
+    found = [name for name in FOLDERS if name in landed.columns]
+    lines = landed.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
+        *found,
     )
-    return lines.where(F.trim("value") != "")
+    if entities is not None and ENTITY in found:
+        asked = entities.select(F.col(entities.columns[0]).cast("string").alias(ENTITY))
+        lines = lines.join(asked.distinct(), ENTITY, "left_semi")
+    values = [F.col(n) if n in found else F.lit(None).cast("string").alias(n) for n in folders]
+    lines = lines.where(F.trim("value") != "")
+    return lines.select("value", "file", "block", F.monotonically_increasing_id().alias("line"), *values)
 
 
 def between_days(
@@ -54,12 +110,16 @@ def read_export(
     end: date | None = None,
     ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Decoded rows of landed exports, optionally for a day range and a set of entities."""
-    rows = between_days(decode_rows(read_lines(spark, path), spec), spec, start, end)
+    """Decoded rows of landed exports, optionally for a day range and a set of entities.
+
+    Folders that cannot hold them are not opened (see ``read_lines``); days and ids are then
+    checked on the rows.
+    """
     if ids is None:
-        return rows
+        return between_days(decode_rows(read_lines(spark, path, start, end), spec), spec, start, end)
     noun_id = next(name for name in spec.key if name in ids.columns)
-    return only_ids(rows, ids, noun_id)
+    lines = read_lines(spark, path, start, end, ids.select(noun_id))
+    return only_ids(between_days(decode_rows(lines, spec), spec, start, end), ids, noun_id)
 
 
 def reconcile_counts(rows: DataFrame, manifest: DataFrame, by: str = "export") -> DataFrame:

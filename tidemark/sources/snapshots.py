@@ -137,6 +137,10 @@ class SnapshotStore:
         at = self.version(spec) if version is None else version
         return self._snapshot(spec, at).get("batches", {}).get(source, -1)
 
+    def notes(self, spec: TableSpec, version: int | None = None) -> dict:
+        """What the writers of the table noted with it."""
+        return self._snapshot(spec, self.version(spec) if version is None else version).get("notes", {})
+
     def writes(self, spec: TableSpec, version: int | None = None) -> dict[int, str]:
         """The write that holds each period: what differs between two versions has changed."""
         at = self.version(spec) if version is None else version
@@ -191,6 +195,7 @@ class SnapshotStore:
         arranged: bool = False,
         only: set[int] | None = None,
         once: tuple[str, int] | None = None,
+        drop: set[int] = frozenset(),
         notes: dict | None = None,
     ) -> list[int]:
         """Replace the periods present in ``rows`` (with ``period``) on top of version ``base``.
@@ -199,7 +204,8 @@ class SnapshotStore:
         partition should be and merges small ones. Within files rows are ordered by key, so a
         filter on an entity skips row groups. ``arranged`` rows lie as they should already.
         Nothing is published if a period outside ``only`` was written. ``once`` is the (source,
-        number) of the batch that the version then holds; ``notes`` are kept with the version.
+        number) of the batch that the version then holds, ``drop`` lists periods that go unless
+        they were written, and ``notes`` are kept with the version.
         """
         columns = self.columns(spec)
         earlier = self._snapshot(spec, base) if keep_others else {"grain": None, "periods": {}}
@@ -215,7 +221,8 @@ class SnapshotStore:
         written = self._written_periods(target)
         if only is not None and not only.issuperset(written):
             raise RuntimeError(f"{spec.name}: periods {sorted(set(written) - only)} were not expected")
-        periods = {**earlier["periods"], **{str(period): token for period in written}}
+        kept = {period: held for period, held in earlier["periods"].items() if int(period) not in drop}
+        periods = {**kept, **{str(period): token for period in written}}
         snapshot = {
             "columns": columns.jsonValue(),
             "grain": spec.grain,
