@@ -130,6 +130,43 @@ def test_main_text_of_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+TALE = [f"This is part {i} of the tale and it is about the river that runs by the town, so it is long enough to be kept." for i in range(4)]
+SAID = "This is what some of them said about the tale and it would be kept if it were not for the name of its class."
+BESIDE = """
+    post-comments article-comments entry-comments entry-footer page-footer content-ad body-ad main-menu
+    article-share post-related usercomments reader-responses disclaimer postComments comments-area ad-slot
+    comment-list leftSidebar submenu entry_footer
+""".split()
+AROUND = """
+    no-sidebar page-with-comments has-sidebar content-sidebar-wrap layout-sidebar-main with-footer entry-header
+    is-popular entry-content article-body post commented documents
+""".split()
+
+
+@pytest.mark.parametrize("outer", ["article", "div"])
+@pytest.mark.parametrize("name", BESIDE)
+def test_parts_named_for_what_they_are_go(outer, name):
+    tale = "".join(f"<p>{part}</p>" for part in TALE)
+    for beside in (f"<div class='{name}'><p>{SAID}</p></div>", f"<section id='{name}'><ul><li>{SAID}</ul></section>"):
+        page = f"<html><body><{outer}>{tale}{beside}</{outer}></body></html>"
+        assert html_text.main_text(page) == "\n".join(TALE)
+        # However long they are.
+        assert SAID not in html_text.main_text(page.replace(SAID, " ".join([SAID] * 40)))
+
+
+@pytest.mark.parametrize("name", AROUND)
+def test_wrappers_named_for_what_lies_in_them_stay(name):
+    tale = "".join(f"<p>{part}</p>" for part in TALE)
+    page = f"<html><body><div class='{name}'>{tale}<div class='post-comments'><p>{SAID}</p></div></div></body></html>"
+    assert html_text.main_text(page) == "\n".join(TALE)
+
+
+def test_an_unclear_part_with_little_text_goes():
+    tale = "".join(f"<p>{part}</p>" for part in TALE)
+    page = f"<html><body>{tale}<div class='sidebar-content'><p>{SAID}</p></div></body></html>"
+    assert html_text.main_text(page) == "\n".join(TALE)
+
+
 RUSSIAN = "Это обычный русский текст о погоде и природе, который написан для проверки того, что статья остаётся целой."
 CHINESE = "这是一段用于测试的中文文本,它没有任何拉丁字母,但是它仍然是网页的正文,所以应该被保留下来。"
 FINNISH = "Tämä on suomenkielinen kirjoitus, joka kertoo säästä sekä luonnosta, ja sen pitää säilyä kokonaan tallessa."

@@ -42,6 +42,8 @@ BLOCKS = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "svg")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# How a part is dropped for its names, and while that is unclear.
+MARK, MAYBE = "mark", "maybe"
 # Elements whose end is implied: a new block of these closes an open one of the same kind.
 IMPLIED = frozenset("p li dt dd tr td th option".split())
 
@@ -55,13 +57,18 @@ MARKS = frozenset(
     cookie cookies consent gdpr notice notices alert popup modal overlay toast
     subscribe subscription newsletter signup login
     share sharing social follow
-    comment comments reply replies respond disqus discussion
-    contentinfo complementary search form
+    comment comments reply replies respond responses reactions disqus discussion
+    contentinfo complementary search form disclaimer
     """.split()
 )
-# Words that say a class is about the page around a part, or about the main text itself.
-_ABOUT = frozenset("no has with without is main content article body page layout wrapper entry post".split())
-_MARK_CUTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+# Endings that mark a word written together, as in usercomments.
+_MARK_ENDS = ("comments", "sidebar", "footer", "navbar", "menu", "banner", "disclaimer")
+# Words by which a class says what a page has or lacks, and words for the page or its main text.
+_STATES = frozenset("no has with without is".split())
+_ABOUT = frozenset("main content article body page layout wrapper entry post".split())
+# Of the main text a heading part belongs to it; a wrapper may be named after what lies beside it.
+_ITS_OWN = frozenset("header masthead".split())
+_MARK_CUTS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 _ATTRIBUTES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _HIDDEN = re.compile(r"""\shidden(?=[\s=>/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 _MAIN = re.compile(r"""(?:itemprop|role)\s*=\s*["']?(?:articleBody|main)\b""")
@@ -114,30 +121,63 @@ class _Open:
         self.name, self.dropped, self.inside, self.link = name, dropped, inside, link
 
 
-def _marked(rest: str) -> bool:
-    """Whether class, id or role name a part that is no main text."""
-    for found in _ATTRIBUTES.findall(rest):
-        for token in found.strip("\"'").split():
+def _is_mark(word: str) -> bool:
+    return word in MARKS or word.endswith(_MARK_ENDS)
+
+
+def _marked(rest: str) -> str:
+    """What class, id or role say about a part: MARK for no main text, MAYBE for unclear, or nothing.
+
+    A name that ends in a mark names the part itself: post-comments are comments. Where a word for
+    the page or the main text comes with a mark that is not the last word, the name may as well
+    be that of a wrapper. Names that say what a page has or lacks mark nothing.
+    """
+    found = MARK if _HIDDEN.search(rest) else ""
+    for names in _ATTRIBUTES.findall(rest):
+        for token in names.strip("\"'").split():
             words = [word.lower() for word in _MARK_CUTS.split(token) if word]
-            if words and _ABOUT.isdisjoint(words) and not MARKS.isdisjoint(words):
-                return True
-    return bool(_HIDDEN.search(rest))
+            if not any(map(_is_mark, words)) or not _STATES.isdisjoint(words):
+                continue
+            about = not _ABOUT.isdisjoint(words)
+            if about and words[-1] in _ITS_OWN:
+                continue
+            if not about or _is_mark(words[-1]):
+                return MARK
+            found = found or MAYBE
+    return found
 
 
-def _opened(top: _Open, name: str, rest: str) -> _Open:
-    """The element a start tag opens below ``top``."""
+def _opened(top: _Open, name: str, rest: str, at: int) -> _Open:
+    """The element a start tag opens below ``top``; ``at`` tells unclear ones apart."""
     main = name in ("article", "main") or bool(_MAIN.search(rest))
     dropped = top.dropped
     if main and dropped in ("form", "nav", "header"):
         dropped = ""  # a wrapper round the whole page, or one that was never closed
-    if dropped in ("", "form") and not main and name not in ("html", "body"):
+    unclear = dropped.startswith(MAYBE)
+    if (dropped in ("", "form") or unclear) and not main and name not in ("html", "body"):
+        said = _marked(rest) if rest else ""
         if name in DROPPED and not (name == "header" and top.inside):
             dropped = name
-        elif rest and _marked(rest):
-            dropped = "mark"
+        elif said == MARK:
+            dropped = MARK
+        elif said and not unclear:
+            dropped = f"{MAYBE} {at}"
     return _Open(name, dropped, top.inside or main, top.link or name == "a")
 
 
+def _decided(found: list[Block]) -> list[Block]:
+    """An unclear part that holds more than half of the text left is a wrapper; others go."""
+    sizes: Counter[str] = Counter()
+    for block in found:
+        if not block.dropped or block.dropped.startswith(MAYBE):
+            sizes[block.dropped] += len(block.text)
+    total = sizes.total()
+    for block in found:
+        if block.dropped.startswith(MAYBE):
+            block.dropped = "" if 2 * sizes[block.dropped] > total else MARK
+    return found
+
+
 def blocks(html: str) -> list[Block]:
     """The blocks of a page in order; references are decoded and white space is one space."""
     found: list[Block] = []
@@ -199,10 +239,10 @@ def blocks(html: str) -> list[Block]:
             close(1)
         if name in IMPLIED and (depth := _implied_end(stack, name)):
             close(depth)
-        stack.append(_opened(stack[-1], name, rest))
+        stack.append(_opened(stack[-1], name, rest, at))
         opened[name] += 1
     end_block()
-    return found
+    return _decided(found)
 
 
 def _cuts(name: str) -> bool:
