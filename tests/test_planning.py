@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import outcomes, requests, windows
 
-TODAY = date(2026, 8, 28)
+TODAY = date(2031, 3, 12)
 
 
 def entities(spark, created: dict, by="entity_id"):
@@ -20,43 +20,46 @@ def ranges(df):
     return sorted((str(r["window_start"]), str(r["window_end"])) for r in df.collect())
 
 
-def test_lookback_is_inclusive():
-    assert windows.lookback_range(date(2026, 4, 10), 10) == (date(2026, 4, 1), date(2026, 4, 10))
+@pytest.mark.parametrize("days", [1, 2, 14, 90])
+def test_a_lookback_has_as_many_days_as_asked(days):
+    start, end = windows.lookback_range(TODAY, days)
+    assert end == TODAY and (end - start).days + 1 == days
+
+
+def test_a_lookback_of_no_days_is_refused():
     with pytest.raises(ValueError, match=">= 1"):
         windows.lookback_range(TODAY, 0)
 
 
-def test_backfill_slices(spark):
-    rows = entities(spark, {"a": date(2026, 1, 1)})
-    assert ranges(windows.backfill_windows(rows, date(2026, 6, 1))) == [
-        ("2026-01-01", "2026-03-31"),
-        ("2026-04-01", "2026-06-01"),
-    ]
+def test_a_backfill_is_cut_from_the_creation_on(spark):
+    # 207 days, over the end of a leap year's February.
+    first, last = date(2027, 11, 5), date(2028, 5, 29)
+    found = ranges(windows.backfill_windows(entities(spark, {"a": first}), last))
+    assert found == [("2027-11-05", "2028-02-02"), ("2028-02-03", "2028-05-02"), ("2028-05-03", "2028-05-29")]
 
 
-def test_inverted_range_is_an_error(spark):
-    rows = spark.createDataFrame([(date(2026, 2, 1), date(2026, 1, 1))], "a date, b date")
+def test_a_range_that_ends_before_it_starts_is_an_error(spark):
+    rows = spark.createDataFrame([(TODAY, TODAY - timedelta(1))], "a date, b date")
     with pytest.raises(Exception, match="before it starts"):
         windows.slice_ranges(rows, "a", "b").collect()
 
 
-def test_lookback_is_clamped_to_creation(spark):
-    rows = entities(
-        spark,
-        {"new": date(2026, 8, 20), "old": date(2020, 1, 1), "later": date(2026, 8, 29)},
-    )
-    found = windows.lookback_windows(rows, TODAY)
-    assert ranges(found.where("entity_id = 'new'")) == [("2026-08-20", "2026-08-28")]
-    assert ranges(found.where("entity_id = 'old'")) == [("2026-08-19", "2026-08-28")]
-    assert found.where("entity_id = 'later'").count() == 0
-    assert windows.backfill_windows(rows.where("entity_id = 'later'"), TODAY).count() == 0
+def test_a_lookback_starts_no_earlier_than_the_entity(spark):
+    age = {"born today": 0, "younger": 6, "as old": 9, "older": 700, "not yet": -1}
+    rows = entities(spark, {name: TODAY - timedelta(days) for name, days in age.items()})
+    found = {r["entity_id"]: r for r in windows.lookback_windows(rows, TODAY, 10).collect()}
+    assert set(found) == {"born today", "younger", "as old", "older"}
+    for name, row in found.items():
+        assert row["window_end"] == TODAY
+        assert (TODAY - row["window_start"]).days == min(age[name], 9)
+    assert windows.backfill_windows(rows.where("entity_id = 'not yet'"), TODAY).count() == 0
 
 
 @settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
-    start=st.dates(date(2015, 1, 1), date(2026, 1, 1)),
+    start=st.dates(date(2013, 5, 1), date(2033, 1, 1)),
     length=st.integers(0, 900),
     size=st.integers(1, 120),
 )
@@ -72,21 +75,22 @@ def test_slices_tile_the_range(spark, start, length, size):
 
 
 def test_batch_windows_ignore_creation_when_incremental(spark):
-    members = entities(spark, {"a": date(2026, 8, 25), "b": date(2026, 3, 1)})
+    members = entities(spark, {"a": TODAY - timedelta(3), "b": TODAY - timedelta(120)})
     members = members.withColumn("batch", F.lit(0))
     assert ranges(windows.batch_windows(members, "incremental", TODAY)) == [
-        ("2026-08-19", "2026-08-28")
+        ("2031-03-03", "2031-03-12")
     ]
     full = ranges(windows.batch_windows(members, "full", TODAY))
-    assert (full[0][0], full[-1][1]) == ("2026-03-01", "2026-08-28")
+    assert (full[0][0], full[-1][1]) == ("2030-11-12", "2031-03-12") and len(full) == 2
 
 
 def test_batches_of_fifty(spark):
-    rows = spark.range(51).select(F.format_string("id%03d", "id").alias("entity_id"))
+    rows = spark.range(120).select(F.format_string("id%03d", "id").alias("entity_id"))
     batches = requests.id_batches(rows, "entity_id")
     found = {r["batch"]: r["n"] for r in batches.groupBy("batch").agg(F.count("*").alias("n")).collect()}
-    assert found == {0: 50, 1: 1}
-    assert batches.where("batch = 1").first()["entity_id"] == "id050"
+    assert found == {0: 50, 1: 50, 2: 20}
+    first = batches.groupBy("batch").agg(F.min("entity_id").alias("first")).orderBy("batch").collect()
+    assert [r["first"] for r in first] == ["id000", "id050", "id100"]
 
 
 @pytest.mark.parametrize("count", [0, 1, 1000])
@@ -98,8 +102,8 @@ def test_numbered_is_a_total_order(spark, count):
 
 
 def test_campaign_plan(spark):
-    rows = entities(spark, {"c1": date(2026, 1, 1), "c2": date(2026, 9, 1)}, "campaign_id")
-    plan = requests.plan_campaign_requests(rows, "full", date(2026, 6, 1)).collect()
+    rows = entities(spark, {"c1": TODAY - timedelta(100), "c2": TODAY + timedelta(30)}, "campaign_id")
+    plan = requests.plan_campaign_requests(rows, "full", TODAY).collect()
     kinds = [(r["campaign_id"], r["kind"], r["status"]) for r in plan]
     assert sorted(kinds, key=str) == [
         ("c1", "breakdown", "planned"),
@@ -121,7 +125,7 @@ def test_link_plan(spark):
         ("l1", "engagement"),
         ("l2", "engagement"),
     ]
-    late = members.withColumn("created_date", F.lit(date(2026, 9, 9)))
+    late = members.withColumn("created_date", F.lit(TODAY + timedelta(12)))
     skipped = requests.plan_link_requests(late, "full", TODAY).collect()
     assert [(r["batch"], r["kind"], r["status"]) for r in skipped] == [(0, None, "skipped")]
 
@@ -201,7 +205,7 @@ def test_link_failure_rules(spark):
 
 
 def test_run_keys():
-    assert outcomes.run_key("campaigns", "full", TODAY) == "run:full:2026-08-28"
-    assert outcomes.run_key("links", "incremental", TODAY) == "run:links:incremental:2026-08-28"
+    assert outcomes.run_key("campaigns", "full", TODAY) == "run:full:2031-03-12"
+    assert outcomes.run_key("links", "incremental", TODAY) == "run:links:incremental:2031-03-12"
     assert outcomes.last_sync_key("campaigns") == "last_sync"
     assert outcomes.last_sync_key("links") == "last_sync_links"

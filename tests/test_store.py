@@ -22,7 +22,7 @@ from tidemark.sources.snapshots import ConcurrentWrite, evolve, with_period
 from tidemark.streaming import late_split, stream_exports
 
 SPEC = campaign_specs()["breakdown"]
-NOW = datetime(2026, 8, 28, 6, 0)
+NOW = datetime(2031, 3, 12, 4, 30)
 
 
 def batch(spark, *lines, spec=SPEC):
@@ -50,7 +50,7 @@ def test_all_link_tables_take_upserts(spark, store):
     for role, spec in link_specs().items():
         if role == "entities":
             continue
-        line = {name: "x" for name in spec.key} | {spec.day: "2026-08-01"}
+        line = {name: "x" for name in spec.key} | {spec.day: "2031-02-01"}
         assert upsert(store, spec, batch(spark, line, spec=spec), NOW) == 1
         assert upsert(store, spec, batch(spark, line, spec=spec), NOW) == 1
         assert store.read(spec).count() == 1
@@ -411,7 +411,7 @@ def test_closing_runs(spark, store):
 
 def test_late_split(spark):
     rows = spark.createDataFrame(
-        [(date(2026, 8, 19),), (date(2026, 8, 18),), (None,)], "report_date date"
+        [(date(2031, 3, 3),), (date(2031, 3, 2),), (None,)], "report_date date"
     )
     fresh, late = late_split(rows, "report_date", NOW.date())
     assert (fresh.count(), late.count()) == (1, 2)
@@ -425,7 +425,7 @@ def test_stream_ingest_and_replay(spark, store, tmp_path):
         query.awaitTermination()
 
     landing = tmp_path / "landing"
-    fresh = breakdown_line(report_date="2026-08-27")
+    fresh = breakdown_line(report_date="2031-03-11")
     old = breakdown_line(report_date="2026-01-01")
     land(landing, "1.jsonl", fresh, "", old, "broken", {**fresh, "country_code": "DE"})
     run("one")
@@ -449,7 +449,7 @@ def export(folder, kind, *parts, lines):
     return land(target, "rows.jsonl", *lines)
 
 
-def link_item(name, created="2026-08-01T10:00:00Z"):
+def link_item(name, created="2031-02-01T10:00:00Z"):
     return {
         "linkId": name, "organizationId": "o", "name": name, "url": "u", "status": "active",
         "createdAt": created,
@@ -458,7 +458,7 @@ def link_item(name, created="2026-08-01T10:00:00Z"):
 
 def link_line(spec, name, **changes):
     values = {column: "x" for column in (*spec.key, "schema_version")}
-    return {**values, spec.day: "2026-08-27", "link_id": name, "streams": 1, **changes}
+    return {**values, spec.day: "2031-03-11", "link_id": name, "streams": 1, **changes}
 
 
 def test_link_run_end_to_end(spark, store, tmp_path):
@@ -468,11 +468,11 @@ def test_link_run_end_to_end(spark, store, tmp_path):
     names = ["a", "b", "c", "d"]
     landing = tmp_path / "landing"
     landing.mkdir()
-    future = link_item("later", "2026-08-29T00:00:00Z")
-    late = link_item("late", "2026-08-29T00:00:00Z")
+    future = link_item("later", "2031-03-13T00:00:00Z")
+    late = link_item("late", "2031-03-13T00:00:00Z")
     write_pages(landing / "entities", {1: [link_item(n) for n in names[:2]],
                                        2: [link_item(n) for n in names[2:]], 3: [future, late]}, 6)
-    window = "window=2026-08-19"
+    window = "window=2031-03-03"
     breakdown, engaged, cohort = specs["breakdown"], specs["engagement"], specs["retention"]
     export(landing, "breakdown", "batch=0", window, lines=[link_line(breakdown, n) for n in "ab"])
     export(landing, "breakdown", "batch=1", window,
@@ -481,7 +481,7 @@ def test_link_run_end_to_end(spark, store, tmp_path):
     for batch_id, name in (("0", "a"), ("1", "c"), ("1", "d")):
         export(landing, "engagement", f"batch={batch_id}", f"entity={name}", window,
                lines=[link_line(engaged, name)])
-    failed = {"kind": "engagement", "batch": "0", "entity_id": "b", "window_start": "2026-08-19",
+    failed = {"kind": "engagement", "batch": "0", "entity_id": "b", "window_start": "2031-03-03",
               "status": 500, "message": "gone"}
     land(landing / "errors", "e.jsonl", failed)
 
@@ -489,7 +489,7 @@ def test_link_run_end_to_end(spark, store, tmp_path):
     export(landing, "engagement", "batch=0", "entity=none", window, lines=[])
     export(landing, "engagement", "batch=0", "entity=short", window, lines=[link_line(engaged, "a")])
     land(landing / "counts", "c.jsonl", {"kind": "engagement", "batch": "0", "entity_id": "short",
-                                         "window_start": "2026-08-19", "expected": 2})
+                                         "window_start": "2031-03-03", "expected": 2})
     # A link of the batch that was created after the run's day and failed is no idle link.
     land(landing / "errors", "f.jsonl", {**failed, "entity_id": "late"})
     args = (store, "links", specs, str(landing), "full", NOW.date(), NOW)

@@ -229,8 +229,15 @@ RECOUP_PLAYLIST = f"""
 SELECT campaign_id, {sql.rounded(_WORTH, 2)} AS attributed_revenue_estimate,
   CAST(ANY_VALUE(CASE WHEN r.isrc IS NOT NULL THEN spend_usd END) AS DOUBLE) AS spend_usd,
   {sql.rounded(sql.quotient(_WORTH, "ANY_VALUE(spend_usd)"), 3)} AS recoup_ratio
-FROM monthly m LEFT JOIN rate r ON m.isrc = r.isrc AND m.month = r.month
-JOIN spend USING (campaign_id) GROUP BY campaign_id"""
+FROM spend LEFT JOIN monthly m USING (campaign_id)
+LEFT JOIN rate r ON m.isrc = r.isrc AND m.month = r.month GROUP BY campaign_id"""
+
+
+def recoup_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """The estimate where most campaigns have no playlist engagement left: their rows are empty."""
+    rows = views.lines(spark, sf)
+    few = rows.where((F.col("campaign_id") % 7 == 0) | (F.col("engagement_context") != "playlist"))
+    return attribution.playlist_recoup(few, rows, views.statement(spark, sf, "currency"))
 
 
 def recoup_spillover(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,6 +246,8 @@ def recoup_spillover(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+RECOUP_EMPTY = RECOUP_PLAYLIST.replace("monthly m USING", "(SELECT * FROM monthly WHERE campaign_id % 7 = 0) m USING")
+
 RECOUP_SPILLOVER = f"""
 {sql.with_views(*_SPLIT, *_PRICING, sql.SPLIT_MONTHLY)}
 SELECT campaign_id, bucket, {sql.rounded(_WORTH, 2)} AS attributed_revenue_estimate,
@@ -386,6 +395,7 @@ QUERIES = {
     "position_bands": (position_bands, POSITION_BANDS),
     "playlist_periods": (playlist_periods, PLAYLIST_PERIODS),
     "recoup_playlist": (recoup_playlist, RECOUP_PLAYLIST),
+    "recoup_empty": (recoup_empty, RECOUP_EMPTY),
     "promoted_vs_other": (promoted_vs_other, PROMOTED_VS_OTHER),
     "attributed_share_spillover": (attributed_share_spillover, ATTRIBUTED_SHARE_SPILLOVER),
     "spillover_noise_cut": (spillover_noise_cut, SPILLOVER_NOISE_CUT),

@@ -18,7 +18,7 @@ from tidemark.lab import analyses, sql, views
 from tidemark.operators import attribution, quality, retention
 from tidemark.operators.upsert import latest_by_key, upsert
 from tidemark.plans.requests import numbered
-from tidemark.schemas import STATEMENT, TableSpec, campaign_specs, link_specs
+from tidemark.schemas import LAST_SYNC, PROGRESS, STATEMENT, TableSpec, campaign_specs, link_specs
 from tidemark.session import pinned, scratch_dir
 from tidemark.sources import (
     SnapshotStore,
@@ -247,18 +247,21 @@ KEY_VALIDATION_TABLES = "SELECT * FROM (" + " UNION ALL ".join(
 WINDOW = "2001-07-20"
 
 
-def _landed_run(spark: SparkSession, sf: str, family: str) -> DataFrame:
-    """Outcome of a full run over suppliers as links (batches by nation) or as campaigns.
+def _landed_run(
+    spark: SparkSession, sf: str, family: str, store: SnapshotStore, clean: bool = False
+) -> jobs.RunReport:
+    """A full run over suppliers as links (batches by nation) or as campaigns.
 
     By the last digit of the key: 1 is created after the run's day and asks for nothing, 3 has a
     bad row, 5 an export without rows, 7 fewer rows than declared, 9 a failed request. The
-    breakdown of every sixth nation's batch has a bad row.
+    breakdown of every sixth nation's batch has a bad row. A ``clean`` run has none of that.
     """
     landing = scratch_dir(spark, f"landing-{family}")
     links = family == "links"
     specs = LINKS if links else CAMPAIGNS
     kind = "engagement" if links else "breakdown"
-    key, digit = F.col("s_suppkey"), F.col("s_suppkey") % 10
+    key = F.col("s_suppkey")
+    digit = F.lit(0) if clean else key % 10
     rows = views.table(spark, sf, "supplier")
     created = F.when(digit == 1, "2001-08-01T00:00:00Z").otherwise("2001-07-20T00:00:00Z")
     known = {
@@ -282,7 +285,8 @@ def _landed_run(spark: SparkSession, sf: str, family: str) -> DataFrame:
     batch = F.col("s_nationkey") if links else key
     asked = rows.where(~digit.isin(1, 9)).withColumns({"batch": batch, "entity": key, "window": F.lit(WINDOW)})
     if links:
-        whole = line(specs["breakdown"], F.col("s_nationkey") % 6 == 5).alias("value")
+        bad = F.lit(False) if clean else F.col("s_nationkey") % 6 == 5
+        whole = line(specs["breakdown"], bad).alias("value")
         asked.select(whole, "batch", "window").write.partitionBy("batch", "window").text(f"{landing}/breakdown")
     own = F.when(digit != 5, line(specs[kind], digit == 3)).otherwise("").alias("value")
     asked.select(own, "batch", "entity", "window").write.partitionBy("batch", "entity", "window").text(f"{landing}/{kind}")
@@ -295,13 +299,46 @@ def _landed_run(spark: SparkSession, sf: str, family: str) -> DataFrame:
     declared = F.when(digit == 5, 0).when(digit == 7, 2).otherwise(1).alias("expected")
     asked.select(*request, declared).write.json(f"{landing}/counts")
     rows.where(digit == 9).select(*request, F.lit(500).alias("status")).write.json(f"{landing}/errors")
-    store = SnapshotStore(spark, scratch_dir(spark, "landed"))
-    report = jobs.sync_landing(store, family, specs, landing, "full", views.AS_OF, SYNCED, waves=2)
-    return report.outcome.select(F.lit(family).alias("family"), "entity_id", "completed")
+    return jobs.sync_landing(store, family, specs, landing, "full", views.AS_OF, SYNCED, waves=2)
 
 
 def landing_run(spark: SparkSession, sf: str) -> DataFrame:
-    return _landed_run(spark, sf, "links").unionByName(_landed_run(spark, sf, "campaigns"))
+    store = SnapshotStore(spark, scratch_dir(spark, "landed"))
+    parts = [
+        _landed_run(spark, sf, family, store).outcome.select(F.lit(family).alias("family"), "entity_id", "completed")
+        for family in ("links", "campaigns")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def run_records(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run leaves: a failed one its progress, the clean one after it the last-sync record."""
+    store = SnapshotStore(spark, scratch_dir(spark, "records"))
+    rows = []
+    for number, clean in enumerate((False, True)):
+        report = _landed_run(spark, sf, "campaigns", store, clean)
+        saved = store.read(PROGRESS).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_distinct("run_key").alias("runs"),
+            F.max("error_count").alias("errors"),
+        ).first()
+        told = store.read(LAST_SYNC).first()
+        synced = (told["entities"], told["breakdown_rows"], told["mode"]) if told else (None, None, None)
+        rows.append((number + 1, report.finished, saved["n"], saved["runs"], saved["errors"], *synced))
+    return spark.createDataFrame(
+        rows,
+        "run int, finished boolean, saved bigint, runs_saved bigint, errors bigint, entities bigint, "
+        "breakdown_rows bigint, mode string",
+    )
+
+
+RUN_RECORDS = """
+SELECT 1 AS run, false AS finished, COUNT(*) FILTER (s_suppkey % 10 NOT IN (3, 7, 9)) AS saved,
+  CAST(1 AS BIGINT) AS runs_saved, COUNT(*) FILTER (s_suppkey % 10 IN (3, 7, 9)) AS errors,
+  CAST(NULL AS BIGINT) AS entities, CAST(NULL AS BIGINT) AS breakdown_rows, CAST(NULL AS VARCHAR) AS mode
+FROM supplier
+UNION ALL
+SELECT 2, true, 0, 0, NULL, COUNT(*), COUNT(*), 'full' FROM supplier"""
 
 
 LANDING_RUN = """
@@ -923,6 +960,7 @@ QUERIES = {
     "key_validation": (key_validation, KEY_VALIDATION),
     "key_validation_tables": (key_validation_tables, KEY_VALIDATION_TABLES),
     "landing_run": (landing_run, LANDING_RUN),
+    "run_records": (run_records, RUN_RECORDS),
     "reject_bad_batches": (reject_bad_batches, REJECT_BAD_BATCHES),
     "schema_version_report": (schema_version_report, SCHEMA_VERSION_REPORT),
     "dq_identities": (dq_identities, DQ_IDENTITIES),

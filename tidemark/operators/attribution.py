@@ -181,8 +181,13 @@ def spillover_periods(
     statement: DataFrame,
     min_share: float = 0.05,
 ) -> DataFrame:
-    """Before, during and after for the other releases that moved."""
-    moved = noise_cut(split_promoted(engagement), spend_window(country_daily), min_share)
+    """Before, during and after for the other releases that moved.
+
+    They are stored once: their windows are counted and joined, and their recordings are joined.
+    """
+    moved = pinned(
+        noise_cut(split_promoted(engagement), spend_window(country_daily), min_share), "moved"
+    )
     windows = moved.groupBy(CAMPAIGN).agg(
         F.max("first_day").alias("first_day"), F.max("last_day").alias("last_day")
     )
@@ -195,8 +200,8 @@ def recoup(
 ) -> DataFrame:
     """Campaign streams priced at the statement's rate, against all spend of the campaign.
 
-    ``monthly`` carries ``spend_usd``. Without keys each campaign with engagement in its window
-    has one row, empty when nothing could be priced. With a bucket key do not add up
+    ``monthly`` carries ``spend_usd``. Without keys each campaign in it has one row, empty when
+    nothing could be priced. With a bucket key do not add up
     ``spend_usd``: every bucket shows the whole spend.
     """
     rate = revenue_rate(statement, currency).withColumn("listed", F.lit(True))
@@ -218,10 +223,16 @@ def recoup(
 def playlist_recoup(
     engagement: DataFrame, country_daily: DataFrame, statement: DataFrame, currency: str = "USD"
 ) -> DataFrame:
-    """Rough recoup ratio of playlist campaigns."""
+    """Rough recoup ratio of playlist campaigns, a row for every campaign with spend rows.
+
+    The row is empty where the window holds no playlist engagement, or none could be priced.
+    """
     rows = in_context(engagement, "playlist")
-    monthly = engagement_monthly(rows, spend_profile(country_daily), carry=("spend_usd",))
-    return recoup(monthly, statement, currency=currency)
+    profile = counted(spend_profile(country_daily))
+    monthly = engagement_monthly(rows, profile, carry=("spend_usd",))
+    # A row without a recording for every campaign: it prices nothing and keeps the campaign.
+    every = profile.rows.select(CAMPAIGN)
+    return recoup(monthly.unionByName(every, allowMissingColumns=True), statement, currency=currency)
 
 
 def spillover_recoup(

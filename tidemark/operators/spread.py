@@ -22,12 +22,14 @@ class Lookup:
     small: bool
 
 
-def counted(rows: DataFrame, store: bool = True) -> Lookup:
-    """Count a lookup before it is joined.
+def counted(rows: DataFrame | Lookup, store: bool = True) -> Lookup:
+    """Count a lookup before it is joined; one that is counted already stays as it is.
 
     It is written to the shared folder, so that counting and joining do not compute it twice;
     ``store=False`` is for lookups that are cheap to compute again.
     """
+    if isinstance(rows, Lookup):
+        return rows
     kept = pinned(rows, "lookup") if store else rows
     return Lookup(kept, kept.count() <= BROADCAST_ROWS)
 

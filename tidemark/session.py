@@ -74,11 +74,12 @@ class Scratch:
         self.spark = spark
         self.paths: list[str] = []
 
-    def pin(self, df: DataFrame, name: str = "pinned") -> DataFrame:
-        """``pinned``, remembered for deletion."""
+    def pin(self, df: DataFrame, name: str = "pinned", by: str | None = None) -> DataFrame:
+        """``pinned``, remembered for deletion; ``by`` is a column to keep folders apart."""
         path = scratch_dir(self.spark, name)
         self.paths.append(path)
-        df.write.parquet(path)
+        writer = df.write if by is None else df.write.partitionBy(by)
+        writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def discard(self) -> None:

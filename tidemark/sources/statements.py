@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,31 +17,49 @@ from tidemark.schemas import STATEMENT_FIELDS
 STORE = "Spotify"
 
 
+# Bytes of a file that its header line must fit in.
+HEADER_BYTES = 1 << 16
+
+
 def read_statement(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Statement lines with declared types, whatever the order of a file's columns.
 
     Columns are found by the names in each file's header; others are ignored and a missing one is
-    an error, as is a number that cannot be read. Files with the same header are read together.
-    Types are declared: inference would read YYYY-MM as a timestamp.
+    an error, as is a number that cannot be read. A header is the first line of the first bytes
+    of a file, so no more than those are read to find it, and files with the same header are read
+    together. Types are declared: inference would read YYYY-MM as a timestamp.
     """
-    files = spark.read.text(path).inputFiles()
+    # Opened by the tasks: 64 KB a file, however long it is.
+    starts = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = [row["path"] for row in starts.where(F.col("length") > 0).select("path").collect()]
     if not files:
         return spark.createDataFrame([], STATEMENT_FIELDS)
-    first = spark.read.text(files).where(F.col("_metadata.file_block_start") == 0)
-    placed = first.select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("line")
-    )
-    headers = placed.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    by_header: dict[str, list[str]] = {}
-    for row in headers.collect():
-        by_header.setdefault(row["header"], []).append(row["file"])
-    parts = [_read_alike(spark, header, alike) for header, alike in sorted(by_header.items())]
+    headers = _headers(spark, files)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, names in headers.items():
+        by_header.setdefault(names, []).append(file)
+    parts = [_read_alike(spark, names, alike) for names, alike in sorted(by_header.items())]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _read_alike(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
+def _headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of every file, read by the file system from its first bytes."""
+    conf = spark._jsc.hadoopConfiguration()
+    found = {}
+    for file in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            start = bytes(stream.readNBytes(HEADER_BYTES)).decode("utf-8-sig", "replace")
+        finally:
+            stream.close()
+        names = next(csv.reader(io.StringIO(start.splitlines()[0])), [])
+        found[file] = tuple(name.strip() for name in names)
+    return found
+
+
+def _read_alike(spark: SparkSession, names: tuple[str, ...], files: list[str]) -> DataFrame:
     """The declared columns of files that share a header."""
-    names = [name.strip().strip('"') for name in header.lstrip("\ufeff").split(",")]
     absent = [field.name for field in STATEMENT_FIELDS if field.name not in names]
     if absent:
         raise ValueError(f"statement without {', '.join(absent)}: {files[:3]}")
