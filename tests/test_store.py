@@ -17,7 +17,7 @@ from tidemark import jobs
 from tidemark.operators import upsert as merging
 from tidemark.operators.upsert import latest_by_key, upsert, write_batch
 from tidemark.schemas import LAST_SYNC, PROGRESS, TableSpec, all_specs, campaign_specs, link_specs
-from tidemark.sources import SnapshotStore, decode_rows, snapshots
+from tidemark.sources import SnapshotStore, decode_rows, raw_field, snapshots
 from tidemark.sources.snapshots import ConcurrentWrite, evolve, with_period
 from tidemark.streaming import late_split, stream_exports
 
@@ -569,3 +569,25 @@ def test_statement_table_is_replaced_whole(spark, store, tmp_path):
     with pytest.raises(jobs.RejectedLoad):
         jobs.load_statement_table(store, other, NOW, "Nowhere")
     assert store.read(STATEMENT).count() == 12
+
+
+def test_source_items_kept_as_variant(spark, store):
+    spec = SPEC.with_variant()
+    lines = [breakdown_line(country_code=c, extra={"k": n, "t": "x"}) for n, c in enumerate(["US", "DE"])]
+    upsert(store, spec, batch(spark, *lines, spec=spec), NOW)
+    upsert(store, spec, batch(spark, {**lines[0], "extra": {"k": 9}}, spec=spec), NOW)
+    rows = store.read(spec)
+    found = rows.select("country_code", raw_field(rows, "$.extra.k", "int").alias("k"), raw_field(rows, "$.extra.t").alias("t"))
+    assert {tuple(r) for r in found.collect()} == {("US", 9, None), ("DE", 1, "x")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "get_json_object" not in plan
+    text = batch(spark, *lines)
+    assert sorted(r[0] for r in text.select(raw_field(text, "$.extra.k", "int")).collect()) == [0, 1]
+    with pytest.raises(ValueError, match="stored as variant"):
+        upsert(store, SPEC, batch(spark, *lines), NOW)
+
+
+def test_a_broken_line_has_no_variant(spark):
+    spec = SPEC.with_variant()
+    rows = decode_rows(spark.createDataFrame([("{oops",)], "value string"), spec).collect()
+    assert (rows[0]["raw_json"], rows[0]["faults"]) == (None, ["undecodable"])

@@ -7,13 +7,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import jobs
 from tidemark.lab import analyses, sql, views
 from tidemark.lab.ingest import BREAKDOWN, ENGAGEMENT, SYNCED, stored_rows
 from tidemark.operators import attribution, rollups
 from tidemark.operators.upsert import upsert, write_batch
 from tidemark.refresh import engagement_sums, refresh, spend_sums
 from tidemark.session import scratch_dir
-from tidemark.sources import SnapshotStore
+from tidemark.sources import SnapshotStore, raw_field
 
 ORDER = ("order_key", "line_number", "track", "streams")
 # Months that the later batches touch.
@@ -188,7 +189,31 @@ SELECT track_id AS link_id, report_date, country_code, order_key, line_number, s
 ORDER BY report_date DESC, track_id, country_code, order_key, line_number, streams, campaign_id LIMIT 25"""
 
 
+def raw_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """A field outside the contract, read from the stored VARIANT of the item after two loads."""
+    known = {name: F.lit("x") for name in BREAKDOWN.required} | {
+        BREAKDOWN.day: F.lit("2001-07-01"),
+        "account_id": F.col("event_id").cast("string"),
+    }
+    line = F.struct(*[value.alias(name) for name, value in known.items()], F.lit("1.0").alias("schema_version"))
+    text = F.concat(F.regexp_replace(F.to_json(line), r"\}$", ', "extra": '), "props", F.lit("}"))
+    events = views.table(spark, sf, "events").withColumn("value", text)
+    spec, store = BREAKDOWN.with_variant(), SnapshotStore(spark, scratch_dir(spark, "variants"))
+    for part in (events.where("event_id % 3 != 0"), events.where("event_id % 2 = 0")):
+        path = scratch_dir(spark, "props")
+        part.select("value").write.text(path)
+        jobs.load_export(store, spec, path, SYNCED)
+    stored = store.read(spec)
+    return stored.groupBy(raw_field(stored, "$.extra.k", "bigint").alias("k")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+RAW_VARIANT = """
+SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, COUNT(*) AS n_rows
+FROM events WHERE event_id % 3 <> 0 OR event_id % 2 = 0 GROUP BY k"""
+
+
 QUERIES = {
+    "raw_variant": (raw_variant, RAW_VARIANT),
     "sums_refresh": (sums_refresh, SUMS_REFRESH),
     "sums_refresh_scan": (sums_refresh_scan, SUMS_REFRESH_SCAN),
     "write_counts": (write_counts, WRITE_COUNTS),

@@ -13,6 +13,7 @@ RETENTION_VERSION = "1.1"
 RETENTION_DAYS = 7
 
 STORED_EXTRAS = "raw_json string, synced_at timestamp"
+RAW = "raw_json"
 
 
 TYPES = {
@@ -36,7 +37,8 @@ class TableSpec:
     """Columns, key and partition day of a stored table.
 
     ``fields`` are the columns read from the source; ``required`` must be present and non-null
-    there. ``day`` is the key column whose period partitions the stored table.
+    there. ``day`` is the key column whose period partitions the stored table. The source item is
+    kept as text, or parsed once as a VARIANT whose fields are read without parsing text again.
     """
 
     name: str
@@ -47,10 +49,13 @@ class TableSpec:
     version: str | None = None
     grain: str = "month"
     camel_case: bool = False
+    variant: bool = False
 
     @property
     def stored(self) -> T.StructType:
         extras = _struct(STORED_EXTRAS)
+        if self.variant:
+            extras = [T.StructField(f.name, T.VariantType() if f.name == RAW else f.dataType) for f in extras]
         return T.StructType(
             [T.StructField(f.name, f.dataType, True) for f in [*self.fields, *extras]]
         )
@@ -61,6 +66,10 @@ class TableSpec:
             return column
         return re.sub(r"_(\w)", lambda m: m.group(1).upper(), column)
 
+    def with_variant(self) -> TableSpec:
+        """The same table with the source item as VARIANT; decide before the table is created."""
+        return replace(self, variant=True)
+
     def partitioned_by(self, grain: str) -> TableSpec:
         """The same table split by 'month' or by 'day'; days suit very large facts."""
         return replace(self, grain=grain)

@@ -1,6 +1,6 @@
 """Landed files and stored tables."""
 
-from tidemark.sources.decode import decode_rows, split_valid
+from tidemark.sources.decode import decode_rows, raw_field, split_valid
 from tidemark.sources.exports import (
     between_days,
     only_ids,
@@ -28,6 +28,7 @@ __all__ = [
     "find_entity",
     "load_statement",
     "only_ids",
+    "raw_field",
     "read_entity",
     "read_export",
     "read_lines",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import iso_date
-from tidemark.schemas import TableSpec
+from tidemark.schemas import RAW, TableSpec
 
 BAD = "_bad"
 SEPARATOR = "\n"
@@ -90,7 +90,8 @@ def _faults(spec: TableSpec, checked: set[str]) -> Column:
 def decode_rows(rows: DataFrame, spec: TableSpec, text: str = "value") -> DataFrame:
     """Parse one JSON object per row into the table's columns.
 
-    The source text stays as ``raw_json``, so fields outside the contract are kept. ``faults``
+    The source text stays as ``raw_json``, so fields outside the contract are kept; a spec may ask
+    for it parsed as VARIANT, null where it cannot be. ``faults``
     lists undecodable text, missing or mistyped keys, unreadable days and counts too large for
     their column; no row is dropped.
     """
@@ -102,12 +103,23 @@ def decode_rows(rows: DataFrame, spec: TableSpec, text: str = "value") -> DataFr
     others = [name for name in rows.columns if name != text]
     return parsed.select(
         *[_column(spec, field, checked) for field in spec.fields],
-        F.col(text).alias("raw_json"),
+        (F.try_parse_json(text) if spec.variant else F.col(text)).alias(RAW),
         _faults(spec, checked).alias("faults"),
         *others,
     )
 
 
+def raw_field(rows: DataFrame, path: str, kind: str = "string") -> Column:
+    """A field of the source item, in the contract or not; null if absent or of another kind.
+
+    Stored VARIANTs are read as they are, stored text is parsed.
+    """
+    raw = F.col(RAW)
+    if rows.schema[RAW].dataType != T.VariantType():
+        raw = F.try_parse_json(raw)
+    return F.try_variant_get(raw, path, kind)
+
+
 def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantined rows) of a decoded export."""
     clean = F.size("faults") == 0

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import own_offset_date
 from tidemark.schemas import TableSpec
-from tidemark.sources.decode import decode_rows
+from tidemark.sources.decode import decode_rows, raw_field
 
 PAGINATION = T.StructType(
     [
@@ -78,7 +78,7 @@ def read_entity(spark: SparkSession, path: str | list[str], spec: TableSpec) ->
 
 def created_days(entities: DataFrame) -> DataFrame:
     """Adds ``created_date``, the day as written in the entity's own time offset."""
-    created = F.get_json_object("raw_json", "$.createdAt")
+    created = raw_field(entities, "$.createdAt")
     return entities.withColumn("created_date", own_offset_date(created))
 
 

@@ -119,6 +119,10 @@ class SnapshotStore:
         columns = T.StructType(list(spec.stored))
         if known:
             earlier = T.StructType.fromJson(known)
+            kinds = {field.name: field.dataType for field in columns}
+            for field in earlier:
+                if kinds.get(field.name, field.dataType) != field.dataType:
+                    raise ValueError(f"{spec.name}: {field.name} is stored as {field.dataType.simpleString()}")
             extra = [field for field in earlier if field.name not in columns.names]
             columns = T.StructType([*columns, *extra])
         return columns
