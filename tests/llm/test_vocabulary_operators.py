@@ -247,6 +247,21 @@ def test_alignment_of_odd_texts_equals_brute_force(aligner, plainly):
     assert aligner.align(None)[3] == "" and aligner.align("x▁")[:2] == (0, 0)
 
 
+def test_texts_are_spelled_as_the_model_says(aligner):
+    second = aligner.sides[1]
+    assert second.spells
+    for text in filter(None, odd_texts(500, 12)):
+        text = " " + text
+        whole = b"".join(second.bytes_of[i] for i in second(text).tolist())
+        assert second.spelled(second(text), text) == (whole == text.encode()), repr(text)
+
+
+def test_very_long_words_are_merged_like_any_other(aligner, plainly):
+    for text in ("ab" * 3000, "x " + "q" * 1500 + " tail", " " * 5000, "a" * 900):
+        got, expected = aligner.align(text), plainly(text)
+        assert (got[0], got[1], got[3]) == (expected[0], expected[1], expected[3])
+
+
 def test_pointers_rest_at_the_last_token_of_a_component():
     rng = random.Random(8)
     for _ in range(200):

@@ -13,7 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.byte_pieces import REMEMBERED, BytePieces, byte_pieces, slices
+from tidemark.llm.byte_pieces import PATTERN, BytePieces, is_plain, slices
+from tidemark.llm.common import worker_cache
 from tidemark.llm.packing import tokenizer_path
 from tidemark.session import pinned
 
@@ -22,72 +23,84 @@ TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_CHARS = 8_000_000
 PAIR_SHIFT = 32
 
-# A word of the second tokenizer with the spaces before it.
-_WORD = re.compile(" +[^ ]*")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
+# Words without white space that are longer go to the tokenizer that needs no square of them.
+LONGEST = 1000
 
 
 class FirstIds:
-    """Ids of a text by the byte-level tokenizer, as little-endian uint32 bytes."""
+    """Ids of a text by the byte-level tokenizer.
 
-    def __init__(self, pieces: BytePieces, remembered: int = REMEMBERED):
-        self.pieces, self.remembered = pieces, remembered
-        self.known: dict[str, bytes] = {}
+    A text of plain characters is merged by ranks: ids grow in the order of the merges, so the
+    pair of the least id is the one that the tokenizer would merge first. Other texts, and very
+    long words, go through the tokenizer itself.
+    """
+
+    def __init__(self, path: str):
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        pieces = BytePieces(path)
         self.bytes_of = pieces.token_bytes()
+        ranks = {raw: token for token, raw in self.bytes_of.items()}
+        if any(bytes([byte]) not in ranks for byte in range(256)):
+            raise ValueError("without a token for every byte a text may not be spelled by its tokens")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.ranked = None
+        if pieces.merged_in_order():
+            self.ranked = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, text: str) -> bytes:
-        cut = self.pieces.cut(text)
-        try:
-            return b"".join([self.known[piece] for piece in cut])
-        except KeyError:
-            if len(self.known) > self.remembered:
-                self.known.clear()
-            for piece in set(cut).difference(self.known):
-                whole = self.pieces.whole.get(piece)
-                self.known[piece] = _packed(self.pieces.merge(piece) if whole is None else [whole])
-            return b"".join([self.known[piece] for piece in cut])
+    def __call__(self, text: str) -> np.ndarray:
+        if self.ranked and is_plain(text) and len(max(text.split(), key=len, default="")) <= LONGEST:
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int64)
 
 
 class SecondIds:
-    """Ids of a text by the piece tokenizer, word by word, as little-endian uint32 bytes.
+    """Ids of a text by the piece tokenizer.
 
     No piece has a space after another character, so no merge reaches over the start of a word and
-    a text's ids are those of its words; a vocabulary where that does not hold is refused.
+    the ids of a text are those of its slices; a vocabulary where that does not hold is refused.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {}
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         if any("▁" in piece.lstrip("▁") for piece in pieces):
             raise ValueError("pieces that hold a space after another character are not handled")
-        self.space = self.model.piece_to_id("▁")
         self.bytes_of = dict(enumerate(map(self._bytes, pieces)))
+        self.spells = self._spells_all()
+
+    def _spells_all(self) -> bool:
+        """Whether tokens spell every text without U+2581: it is not normalised, gets its one space
+        and falls back on bytes where no piece fits."""
+        from sentencepiece import sentencepiece_model_pb2 as proto
+
+        model = proto.ModelProto()
+        model.ParseFromString(self.model.serialized_model_proto())
+        given, trained = model.normalizer_spec, model.trainer_spec
+        changed = given.precompiled_charsmap or given.normalization_rule_tsv or given.remove_extra_whitespaces
+        spaced = given.add_dummy_prefix and given.escape_whitespaces and not trained.treat_whitespace_as_suffix
+        every = all(self.model.piece_to_id(f"<0x{byte:02X}>") != self.model.unk_id() for byte in range(256))
+        return bool(given.name == "identity" and not changed and spaced and trained.byte_fallback and every)
 
     @staticmethod
     def _bytes(piece: str) -> bytes:
         byte = _BYTE.fullmatch(piece)
         return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
-    def __call__(self, text: str) -> bytes:
+    def __call__(self, text: str) -> np.ndarray:
         """``text`` begins with the space that the tokenizer adds by itself."""
-        words = _WORD.findall(text)
-        try:
-            return b"".join([self.known[word] for word in words])
-        except KeyError:
-            if len(self.known) > self.remembered:
-                self.known.clear()
-            for word in set(words).difference(self.known):
-                # The library gives no token for an empty text, so a lone space is looked up.
-                self.known[word] = _packed([self.space] if word == " " else self.model.encode(word[1:]))
-            return b"".join([self.known[word] for word in words])
+        return np.array(self.model.encode(text[1:]), dtype=np.int64)
 
-
-def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    def spelled(self, ids: np.ndarray, text: str) -> bool:
+        """Whether the bytes of the tokens are those of the text."""
+        if self.spells:
+            return "▁" not in text
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())) == text.encode()
 
 
 def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
@@ -135,8 +148,7 @@ class Aligner:
     """Both tokenizers of a worker process, and the alignment of one text."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.first, self.second = FirstIds(byte_pieces(path_a)), SecondIds(path_b)
-        self.sides = [self.first, self.second]
+        self.sides = [FirstIds(path_a), SecondIds(path_b)]
         self.lengths = []
         shown: list[str] = []
         self.starts = []
@@ -151,9 +163,6 @@ class Aligner:
                 shown += [f"{token},", f"{token}{last}"]
         self.shown = shown
 
-    def _bytes(self, side: int, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.sides[side].bytes_of.__getitem__, ids.tolist()))
-
     def align(self, text: str | None) -> tuple[int, int, np.ndarray, str]:
         """(tokens of A, tokens of B, id pairs of the links, sha256 of the groups) of a whole text.
 
@@ -164,16 +173,16 @@ class Aligner:
             return nothing
         digest, counts, links, between = hashlib.sha256(), [0, 0], [], ""
         for part in slices(" " + text):
-            ids = [np.frombuffer(side(part), dtype="<u4") for side in self.sides]
-            raw = part.encode()
-            if any(self._bytes(side, ids[side]) != raw for side in (0, 1)):
+            ids = [side(part) for side in self.sides]
+            # The tokens of A spell any text, as it has one for every byte.
+            if not self.sides[1].spelled(ids[1], part):
                 return nothing
             ends = [np.cumsum(self.lengths[side][ids[side]]) for side in (0, 1)]
             groups = group_tokens(*ends)
             spelled = self._spelled(ids, groups)
             digest.update((between + spelled).encode())
             between = ";"
-            pairs = [ids[side][groups.links[side]].astype(np.int64) for side in (0, 1)]
+            pairs = [ids[side][groups.links[side]] for side in (0, 1)]
             links.append(pairs[0] << PAIR_SHIFT | pairs[1])
             counts = [counts[side] + len(ids[side]) for side in (0, 1)]
         return counts[0], counts[1], np.concatenate(links), digest.hexdigest()
@@ -188,19 +197,18 @@ class Aligner:
         shift = [before[1], before[0] + per_group[0]]
         codes = np.empty(len(ids[0]) + len(ids[1]), dtype=np.int64)
         for side in (0, 1):
-            code = self.starts[side] + 2 * ids[side].astype(np.int64)
+            code = self.starts[side] + 2 * ids[side]
             code[groups.links[side]] += 1
             codes[np.arange(len(code)) + shift[side][of[side]]] = code
         return "".join(map(self.shown.__getitem__, codes.tolist()))[:-1]
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
-
-
 def _aligner(path_a: str, path_b: str) -> Aligner:
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+    """One per worker process."""
+    kept = worker_cache("alignment")
+    if (path_a, path_b) not in kept:
+        kept[path_a, path_b] = Aligner(path_a, path_b)
+    return kept[path_a, path_b]
 
 
 ALIGNED = (

@@ -22,6 +22,8 @@ _PLAIN = re.compile(f"[{_SPACE}0-9{_LETTER}{_MARK}]*")
 _CUTS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
+# Fixed rule: the same for all characters.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # A space between two ASCII letters or digits: a piece always begins there.
 _SAFE = re.compile("(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
 
@@ -38,6 +40,11 @@ def slices(text: str, size: int = SLICE) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def is_plain(text: str) -> bool:
+    """Whether all characters have the same class in every release of Unicode."""
+    return _PLAIN.fullmatch(text) is not None
+
+
 class BytePieces:
     """A byte-level tokenizer file, piece by piece.
 
@@ -50,7 +57,9 @@ class BytePieces:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            added = json.load(file).get("added_tokens") or []
+            whole_file = json.load(file)
+        self.merges = whole_file["model"]["merges"]
+        added = whole_file.get("added_tokens") or []
         if any(token.get(k) for token in added for k in ("lstrip", "rstrip", "single_word", "normalized")):
             raise ValueError("special strings that reach beyond themselves are not handled")
         self.added = {token["content"]: token["id"] for token in added}
@@ -76,13 +85,19 @@ class BytePieces:
         """The bytes of every token but the added ones."""
         return {token: self.raw(spelled) for spelled, token in self.vocabulary.items()}
 
+    def merged_in_order(self) -> bool:
+        """Whether the ids of merged tokens grow in the order of the merges."""
+        pairs = (pair.split(" ") if isinstance(pair, str) else pair for pair in self.merges)
+        ids = [self.vocabulary["".join(pair)] for pair in pairs]
+        return all(low < high for low, high in zip(ids, ids[1:]))
+
     def plain_parts(self, text: str) -> list[str]:
         """The text between special strings."""
         return self._special.split(text)
 
     def cut(self, text: str) -> list[str]:
         """The pieces of a text whose special strings count as plain text."""
-        if _PLAIN.fullmatch(text):
+        if is_plain(text):
             return _CUTS.findall(text)
         return [text[low:high] for _, (low, high) in self.cutter.pre_tokenize_str(text)]
 
@@ -91,12 +106,3 @@ class BytePieces:
         spelled = piece.encode().decode("latin-1").translate(self.letters)
         return [token.id for token in self.model.tokenize(spelled)]
 
-
-_LOADED: dict[str, BytePieces] = {}
-
-
-def byte_pieces(path: str) -> BytePieces:
-    """One per worker process."""
-    if path not in _LOADED:
-        _LOADED[path] = BytePieces(path)
-    return _LOADED[path]
