@@ -221,3 +221,16 @@ def test_rows_in_a_window_do_not_depend_on_how_many_windows(spark, monkeypatch):
     assert few.columns == many.columns == [*rows.columns, "first_day", "last_day"]
     assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
     assert few.count() == 25 * 3 * len(samples.ON_PLAYLIST)
+
+
+def test_a_lookup_is_counted_by_the_job_that_writes_it(spark, conf):
+    rows = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
+    assert counted(rows).small and counted(rows.where("id < 0")).rows.count() == 0
+    assert counted(rows.where("false")).small and counted(rows.limit(0)).small
+    lookup = counted(rows.groupBy("v").count())
+    assert counted(lookup) is lookup and lookup.rows.count() == 7
+
+
+def test_a_lookup_over_the_bound_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(spread, "BROADCAST_ROWS", 10)
+    assert counted(spark.range(10)).small and not counted(spark.range(11)).small

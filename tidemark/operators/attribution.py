@@ -169,7 +169,7 @@ def noise_cut(rows: DataFrame, windows: DataFrame, min_share: float = 0.05) -> D
     others = per_track.where(F.col("other").isNotNull()).select(
         CAMPAIGN, "isrc", F.col("other").alias("other_streams")
     )
-    totals = counted(promoted, store=False)
+    totals = counted(promoted)
     judged = spread_join(others, totals, CAMPAIGN, spread_by=("isrc",))
     share = Decimal(str(min_share))
     return judged.where(F.col("other_streams") >= F.lit(share) * F.col("promoted_streams"))
@@ -191,7 +191,7 @@ def spillover_periods(
     windows = moved.groupBy(CAMPAIGN).agg(
         F.max("first_day").alias("first_day"), F.max("last_day").alias("last_day")
     )
-    lookup = counted(windows, store=False)
+    lookup = counted(windows)
     return period_compare(statement, moved.select(CAMPAIGN, "isrc"), lookup)
 
 

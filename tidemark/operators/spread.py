@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.session import pinned
@@ -22,16 +22,17 @@ class Lookup:
     small: bool
 
 
-def counted(rows: DataFrame | Lookup, store: bool = True) -> Lookup:
+def counted(rows: DataFrame | Lookup) -> Lookup:
     """Count a lookup before it is joined; one that is counted already stays as it is.
 
-    It is written to the shared folder, so that counting and joining do not compute it twice;
-    ``store=False`` is for lookups that are cheap to compute again.
+    It is written to the shared folder, so that counting and joining do not compute it twice, and
+    the job that writes it counts its rows.
     """
     if isinstance(rows, Lookup):
         return rows
-    kept = pinned(rows, "lookup") if store else rows
-    return Lookup(kept, kept.count() <= BROADCAST_ROWS)
+    seen = Observation()
+    kept = pinned(rows.observe(seen, F.count(F.lit(1)).alias("rows")), "lookup")
+    return Lookup(kept, seen.get["rows"] <= BROADCAST_ROWS)
 
 
 def spread_join(
