@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import attribution
+from tidemark.operators.sieve import sieve, sifted
 from tidemark.operators.upsert import upsert
 from tidemark.operators.windows import spend_window, within_periods
 from tidemark.refresh import engagement_sums, refresh, spend_sums, statement_sums
@@ -148,3 +149,26 @@ def test_analyses_are_the_same_on_stored_sums(spark, facts):
         attribution.position_bands(rows, spend),
         attribution.position_bands(facts.read(FACTS), facts.read(SPEND)),
     )
+
+
+def test_a_sieve_lets_every_listed_key_through_and_few_others(spark):
+    listed = spark.range(0, 40_000, 7).selectExpr("cast(id as string) as k").unionByName(
+        spark.createDataFrame([(None,)], "k string")
+    )
+    rows = spark.range(40_000).selectExpr("cast(id as string) as k", "id")
+    words = sieve(listed, "k")
+    passed = {r["id"] for r in sifted(rows, "k", words).collect()}
+    assert set(range(0, 40_000, 7)) <= passed and len(passed) < 40_000 / 7 * 1.05
+    tiny = sieve(listed, "k", bits=640)
+    assert tiny.count() <= 10 and set(range(0, 40_000, 7)) <= {r["id"] for r in sifted(rows, "k", tiny, 640).collect()}
+    assert sifted(rows, "k", sieve(listed.limit(0), "k")).count() == 0
+
+
+def test_a_sifted_statement_is_filtered_before_it_is_summed(facts):
+    spend, statement = facts.read(SPEND), facts.read(STATEMENT)
+    few = facts.read(FACTS).where("engaged_track_isrc = 'Q1'")
+    plain, sifted_share = (attribution.playlist_share(few, spend, statement, sift=s) for s in (False, True))
+    same(plain, sifted_share)
+    assert "_mask" in plan(sifted_share) and "_mask" not in plan(plain)
+    read = sifted(statement, "isrc", sieve(few.withColumnRenamed("engaged_track_isrc", "isrc"), "isrc"))
+    assert 0 < read.count() < statement.count() / 2

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tidemark import jobs
 from tidemark.lab import analyses, sql, views
 from tidemark.lab.ingest import BREAKDOWN, ENGAGEMENT, SYNCED, stored_rows
-from tidemark.operators import attribution, rollups
+from tidemark.operators import attribution, quality, rollups
 from tidemark.operators.upsert import upsert, write_batch
 from tidemark.refresh import engagement_sums, refresh, spend_sums
+from tidemark.schemas import link_specs
 from tidemark.session import scratch_dir
-from tidemark.sources import SnapshotStore, raw_field
+from tidemark.sources import SnapshotStore, raw_field, read_entity
 
 ORDER = ("order_key", "line_number", "track", "streams")
 # Months that the later batches touch.
@@ -167,6 +168,55 @@ def stored_share(spark: SparkSession, sf: str) -> DataFrame:
     return _numbers(attribution.playlist_share(facts, store.read(BREAKDOWN), statement))
 
 
+def sifted_share(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of campaigns with few recordings: the others leave the statement where it is read."""
+    rows = views.lines(spark, sf)
+    few = rows.where((F.col("engaged_track_isrc") % 5 == 2) | (F.col("engagement_context") != "playlist"))
+    return attribution.playlist_share(few, rows, views.statement(spark, sf), sift=True)
+
+
+SIFTED_SHARE = analyses.QUERIES["attributed_share_playlist"][1].replace(
+    "JOIN (SELECT DISTINCT campaign_id, isrc FROM monthly)", "JOIN (SELECT DISTINCT campaign_id, isrc FROM monthly WHERE isrc % 5 = 2)"
+)
+
+
+def load_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by the instant of the load that last wrote them; an empty batch leaves no version."""
+    store = SnapshotStore(spark, scratch_dir(spark, "stamps"))
+    batches = _batches(spark, sf)
+    for number, batch in enumerate([batches[0], batches[1].limit(0), *batches[1:]]):
+        upsert(store, BREAKDOWN, batch, SYNCED + timedelta(hours=number), ORDER)
+    seconds = (F.unix_seconds("synced_at") - int((SYNCED - datetime(1970, 1, 1)).total_seconds())).alias("seconds")
+    stamped = store.read(BREAKDOWN).groupBy(seconds).agg(F.count(F.lit(1)).alias("n_rows"))
+    return stamped.withColumn("published", F.lit(store.version(BREAKDOWN)))
+
+
+LOAD_STAMPS = f"""{_GIVEN}
+SELECT CAST(CASE batch WHEN 1 THEN 0 ELSE batch * 3600 END AS BIGINT) AS seconds, COUNT(*) AS n_rows,
+  CAST(3 AS INTEGER) AS published
+FROM held GROUP BY batch"""
+
+
+def envelope_refusal(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers landed one by one, every fifth without its envelope's data."""
+    key, spec = F.col("s_suppkey"), link_specs()["entities"]
+    known = {
+        spec.source_name(f.name): F.lit("2001-07-20T00:00:00Z" if f.name == "created_at" else "x")
+        for f in spec.fields
+        if f.name in spec.required
+    }
+    item = F.struct(*[v.alias(n) for n, v in (known | {"linkId": key.cast("string")}).items()])
+    envelope = F.when(key % 5 == 0, F.lit('{"meta": {}}')).otherwise(F.to_json(F.struct(item.alias("data"))))
+    path = scratch_dir(spark, "envelopes")
+    views.table(spark, sf, "supplier").select(envelope.alias("value"), key).write.partitionBy("s_suppkey").text(path)
+    return quality.fault_report(read_entity(spark, path, spec))
+
+
+ENVELOPE_REFUSAL = """
+SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'undecodable' ELSE 'ok' END AS fault, COUNT(*) AS rows
+FROM supplier GROUP BY fault"""
+
+
 def stored_bands(spark: SparkSession, sf: str) -> DataFrame:
     """Position bands on stored sums of both tables instead of the facts."""
     store = _stored_facts(spark, sf)
@@ -221,4 +271,7 @@ QUERIES = {
     "stored_share": (stored_share, analyses.QUERIES["attributed_share_playlist"][1]),
     "stored_bands": (stored_bands, analyses.QUERIES["position_bands"][1]),
     "latest_links": (latest_links, LATEST_LINKS),
+    "sifted_share": (sifted_share, SIFTED_SHARE),
+    "load_stamps": (load_stamps, LOAD_STAMPS),
+    "envelope_refusal": (envelope_refusal, ENVELOPE_REFUSAL),
 }

@@ -23,6 +23,7 @@ from tidemark.operators.engagement import (
     streams_inside,
     track_days,
 )
+from tidemark.operators.sieve import sieve, sifted
 from tidemark.operators.spread import Lookup, counted, spread_join
 from tidemark.operators.windows import CAMPAIGN, spend_profile, spend_window, sums_within_window
 from tidemark.session import pinned
@@ -51,14 +52,23 @@ def revenue_rate(statement: DataFrame, currency: str = "USD") -> DataFrame:
     return sums.select("isrc", "month", rate.alias("revenue_per_stream"))
 
 
-def attributed_share(monthly: DataFrame, statement: DataFrame, *keys: str) -> DataFrame:
+def attributed_share(
+    monthly: DataFrame, statement: DataFrame, *keys: str, sift: bool = False
+) -> DataFrame:
     """Campaign streams against all streams for every statement month of the touched recordings.
 
     ``monthly`` has one row per (campaign, keys, recording, month). Its months are folded into
     a map per recording, no longer than the campaign has months, so that one join on the
     recording serves both "which recordings" and "how many streams that month", and months
     without campaign streams count as zero.
+
+    ``sift`` drops statement rows of other recordings where they are read, by a filter of fixed
+    size, before they are summed and moved. It stores the months first, which pays where the
+    statement lists far more than the campaigns touched.
     """
+    if sift:
+        monthly = pinned(monthly, "monthly")
+        statement = sifted(statement, "isrc", sieve(monthly, "isrc"))
     touched = monthly.where(F.col("isrc").isNotNull()).groupBy(CAMPAIGN, *keys, "isrc")
     months = F.map_from_entries(F.collect_list(F.struct("month", "campaign_streams")))
     folded = touched.agg(months.alias("by_month"))
@@ -76,17 +86,22 @@ def attributed_share(monthly: DataFrame, statement: DataFrame, *keys: str) -> Da
     )
 
 
-def playlist_share(engagement: DataFrame, country_daily: DataFrame, statement: DataFrame):
+def playlist_share(
+    engagement: DataFrame, country_daily: DataFrame, statement: DataFrame, sift: bool = False
+) -> DataFrame:
     """Attributed share per playlist recording and month."""
     rows = in_context(engagement, "playlist")
-    return attributed_share(engagement_monthly(rows, spend_window(country_daily)), statement)
+    monthly = engagement_monthly(rows, spend_window(country_daily))
+    return attributed_share(monthly, statement, sift=sift)
 
 
-def spillover_share(engagement: DataFrame, country_daily: DataFrame, statement: DataFrame):
+def spillover_share(
+    engagement: DataFrame, country_daily: DataFrame, statement: DataFrame, sift: bool = False
+) -> DataFrame:
     """Attributed share per bucket, recording and month of track campaigns."""
     rows = split_promoted(engagement)
     monthly = engagement_monthly(rows, spend_window(country_daily), "bucket")
-    return attributed_share(monthly, statement, "bucket")
+    return attributed_share(monthly, statement, "bucket", sift=sift)
 
 
 def band_of(position: Column, edges: tuple[int, ...] = (10, 25)) -> Column:
