@@ -23,7 +23,7 @@ MIN_LENGTH, MIN_COUNT, RATIO = 7, 2, 10
 # Words that a worker counts before it hands them on, and runs of a long text counted at a time.
 COUNTED, RUNS = 200_000, 1 << 16
 # Symbols tried, and how many words may share a reduced word with the average word.
-SYMBOLS, SHARED = (4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64), 8
+SYMBOLS, SHARED = (4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64), 16
 # Neighbours that are handed on at a time.
 BATCH = 1 << 18
 
