@@ -234,3 +234,18 @@ def test_a_lookup_is_counted_by_the_job_that_writes_it(spark, conf):
 def test_a_lookup_over_the_bound_is_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(spread, "BROADCAST_ROWS", 10)
     assert counted(spark.range(10)).small and not counted(spark.range(11)).small
+
+
+def test_retention_needs_no_window_and_takes_many_users(spark, monkeypatch):
+    start = date(2030, 2, 20)
+    events = [(n % 41 if n % 3 else 0, start + timedelta(days=n * 5 % 19), n % 4 == 1, n % 6) for n in range(900)]
+    rows, as_of = spark.createDataFrame(events, EVENTS), date(2030, 3, 7)
+    expected = brute_retention(events, as_of)
+    for bound in (500_000, 0):
+        monkeypatch.setattr(spread, "BROADCAST_ROWS", bound)
+        wide = cohort_retention(rows, as_of)
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and ("BroadcastHashJoin" in plan) == (bound > 0)
+        assert {r["cohort_date"]: tuple(r)[1:] for r in wide.collect()} == expected
+    with pytest.raises(ValueError, match="at most"):
+        cohort_retention(rows, as_of, days=63)

@@ -4,24 +4,16 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import ratio, round_half_away
+from tidemark.operators.spread import counted, spread_join
 from tidemark.schemas import RETENTION_DAYS
 
 USER, DAY = "user_id", "day"
-
-
-def cohort_days(events: DataFrame, *keys: str) -> DataFrame:
-    """One row per user and day with streams and whether the user joined that day.
-
-    ``events`` has (user_id, day, joins, streams). A user with very many events shrinks to one
-    row per day before any join.
-    """
-    return events.groupBy(*keys, USER, DAY).agg(
-        F.max("joins").alias("joins"), F.sum("streams").alias("streams")
-    )
+# Days that fit a number with a bit for each.
+MASK_BITS = 63
 
 
 def cohort_retention(
@@ -29,24 +21,36 @@ def cohort_retention(
 ) -> DataFrame:
     """Per cohort day the users, their first returns, share returned so far and streams.
 
-    A user belongs to the day of the first joining event. ``returned_on_day_N`` counts users
-    whose first return is day N, so ``retention_by_day_N`` (returns up to N over the cohort)
-    never exceeds one. All three are null until day N has passed at ``as_of``. The window over a
-    user sees one row per active day, so the calendar bounds it, not the events.
+    ``events`` has (user_id, day, joins, streams). A user belongs to the day of the first joining
+    event. ``returned_on_day_N`` counts users whose first return is day N, so
+    ``retention_by_day_N`` (returns up to N over the cohort) never exceeds one. All three are null
+    until day N has passed at ``as_of``.
+
+    Joining events alone give each user's day; that counted lookup is met by the events where they
+    are read, which leaves those of the days asked for. A user is then one number with a bit per
+    active day, so events of one user add up before they move and nothing is sorted by user.
     """
-    joined = F.min(F.when(F.col("joins"), F.col(DAY))).over(Window.partitionBy(*keys, USER))
-    since = F.date_diff(F.col(DAY), F.col("cohort_date"))
-    active = cohort_days(events, *keys).withColumn("cohort_date", joined)
-    near = active.withColumn("_n", since).where(F.col("_n").between(0, days))
+    if days >= MASK_BITS:
+        raise ValueError(f"at most {MASK_BITS - 1} days")
+    on = (*keys, USER)
+    joined = events.where("joins").groupBy(*on).agg(F.min(DAY).alias("cohort_date"))
+    placed = spread_join(events.select(*on, DAY, "streams"), counted(joined), on, spread_by=(DAY, "streams"))
     numbers = range(1, days + 1)
+    since = F.date_diff(F.col(DAY), F.col("cohort_date"))
+    near = placed.withColumn("_n", since).where(F.col("_n").between(0, days))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_n"))
     on_day = {n: F.when(F.col("_n") == n, F.col("streams")).otherwise(0) for n in numbers}
-    per_user = near.groupBy(*keys, USER, "cohort_date").agg(
-        F.min(F.when(F.col("_n") > 0, F.col("_n"))).alias("first_return"),
-        *[F.sum(on_day[n]).alias(f"_streams_{n}") for n in numbers],
+    per_user = near.groupBy(*on, "cohort_date").agg(
+        F.bit_or(bit).alias("_active"), *[F.sum(on_day[n]).alias(f"_streams_{n}") for n in numbers]
     )
+
+    def first_on(n: int) -> Column:
+        """Of the days up to n, without the first, only day n is active."""
+        return F.col("_active").bitwiseAND(F.lit((1 << n + 1) - 2)) == F.lit(1 << n)
+
     cohorts = per_user.groupBy(*keys, "cohort_date").agg(
         F.count(F.lit(1)).alias("cohort_size"),
-        *[F.count_if(F.col("first_return") == n).alias(f"_returned_{n}") for n in numbers],
+        *[F.count_if(first_on(n)).alias(f"_returned_{n}") for n in numbers],
         *[F.sum(f"_streams_{n}").alias(f"_streams_{n}") for n in numbers],
     )
     columns = []

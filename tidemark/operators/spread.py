@@ -38,7 +38,7 @@ def counted(rows: DataFrame | Lookup) -> Lookup:
 def spread_join(
     facts: DataFrame,
     lookup: Lookup,
-    on: str,
+    on: str | Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
     salts: int | None = None,
@@ -50,6 +50,7 @@ def spread_join(
     tasks, by default as many as the session has shuffle partitions. The salt leaves the row set
     and the result as they are.
     """
+    on = [on] if isinstance(on, str) else list(on)
     if lookup.small:
         return facts.join(F.broadcast(lookup.rows), on, how)
     if salts is None:
@@ -58,4 +59,4 @@ def spread_join(
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = facts.withColumn("_salt", salt)
     spread = lookup.rows.withColumn("_salt", copies).hint("merge")
-    return salted.join(spread, [on, "_salt"], how).drop("_salt")
+    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
