@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, packing, simhash, toxicity
-from tidemark.llm.common import running_sum, split_of
+from tidemark.llm.common import BATCH_ROWS, few_rows_a_batch, running_sum, split_of, worker_cache
 from tidemark.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -404,3 +404,29 @@ def test_toxicity_of_held_out_texts(spark):
     assert kept.columns == asked.columns and kept.count() == 320 + 2
     untaught = toxicity.fit(docs, labels.where("false"), F.lit(True))
     assert toxicity.clean(docs, untaught).count() == 400
+
+
+def test_a_worker_keeps_what_the_last_owner_needs():
+    first = worker_cache("first")
+    first["model"] = [1]
+    assert worker_cache("first") is first and worker_cache("first")["model"] == [1]
+    assert worker_cache("second") == {} and worker_cache("first") == {}
+
+
+def test_few_rows_a_batch_never_raises_the_number(spark, conf):
+    conf(**{BATCH_ROWS.replace(".", "__"): "5000"})
+    few_rows_a_batch(spark, 700)
+    assert spark.conf.get(BATCH_ROWS) == "700"
+    few_rows_a_batch(spark, 900)
+    assert spark.conf.get(BATCH_ROWS) == "700"
+
+
+def test_near_duplicates_hash_a_text_once(spark, monkeypatch):
+    hashed = []
+    fingerprint = simhash.fingerprint
+    monkeypatch.setattr(simhash, "fingerprint", lambda *a, **k: hashed.append(1) or fingerprint(*a, **k))
+    docs = documents(spark, [(1, "a b c d e", "s"), (2, "a b c d e", "s"), (3, "x y z", None), (None, "a b c d e", "s")], clash=True)
+    kept = simhash.without_copies(docs)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, None]
+    assert len(hashed) == 1 and "Python" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.columns == docs.columns

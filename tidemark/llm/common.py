@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +13,42 @@ from pyspark.sql import functions as F
 RUN_ROWS = 4096
 
 
+# Texts that go to a Python worker at a time where stages with large models follow each other.
+FEW_ROWS = 1000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# What a worker process keeps between tasks, by its owner.
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What this worker process keeps for ``owner``; what it kept for others goes.
+
+    Workers outlive a job, so without that the models of earlier stages would stay in memory
+    until the session ends.
+    """
+    others = [name for name in _KEPT if name != owner]
+    for name in others:
+        del _KEPT[name]
+    if others:
+        give_back()
+    return _KEPT.setdefault(owner, {})
+
+
+def give_back() -> None:
+    """Return free memory of this worker process to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def few_rows_a_batch(spark: SparkSession, rows: int = FEW_ROWS) -> None:
+    """Send at most so many rows at a time to Python workers from now on, in this session."""
+    if int(spark.conf.get(BATCH_ROWS)) > rows:
+        spark.conf.set(BATCH_ROWS, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

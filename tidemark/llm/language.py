@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import worker_cache
+
 # Longest context in bytes; symbols told apart (all byte values); fixed point of a code length.
 ORDER, SYMBOLS, SCALE = 3, 256, 1024
 # The training sample: so many documents of each language, the least by a hash of the text.
@@ -162,15 +164,13 @@ class Scorer:
         return self.counts.languages[best], score, float(total[best]) / (SCALE * size)
 
 
-_READY: dict[int, Scorer] = {}
-
-
 def _scorer(token: int, counts: Counts) -> Scorer:
     """One table per worker process and model."""
-    if token not in _READY:
-        _READY.clear()
-        _READY[token] = Scorer(counts)
-    return _READY[token]
+    ready = worker_cache("language")
+    if token not in ready:
+        ready.clear()
+        ready[token] = Scorer(counts)
+    return ready[token]
 
 
 def training_sample(

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import running_sum
+from tidemark.llm.common import running_sum, worker_cache
 from tidemark.session import pinned
 
 TOKENIZER = "word_bpe_49k.json"
@@ -129,14 +129,12 @@ def pieces(docs: DataFrame, text: str, row_id: str, path: str | None = None, cap
     return rows.mapInArrow(cut, f"row_id {kind}, {PIECES}")
 
 
-_LOADED: dict[str, WordIds] = {}
-
-
 def _word_ids(path: str) -> WordIds:
     """One tokenizer per worker process, so that remembered words outlive a task."""
-    if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
-    return _LOADED[path]
+    loaded = worker_cache("packing")
+    if path not in loaded:
+        loaded[path] = WordIds(path)
+    return loaded[path]
 
 
 @dataclass(frozen=True)

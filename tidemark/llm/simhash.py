@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh, give_back, worker_cache
 from tidemark.llm.components import components
 from tidemark.session import pinned
 
@@ -51,9 +52,12 @@ def fingerprint(text: Column, size: int = SHINGLE_WORDS, seed: int = SEED) -> Co
     """SimHash of a text column as a signed long; null and empty texts give 0."""
 
     @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        values = np.fromiter((fingerprint_of(t, size, seed) for t in texts), np.uint64, len(texts))
-        return pd.Series(values.view(np.int64))
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache("simhash")
+        for texts in parts:
+            values = np.fromiter((fingerprint_of(t, size, seed) for t in texts), np.uint64, len(texts))
+            yield pd.Series(values.view(np.int64))
+        give_back()
 
     return of(text)
 
@@ -162,18 +166,15 @@ def near_duplicates(
     row. A row without an id takes part by its text; component_id is the least id among its links,
     null if none has one. Other columns are ignored. An empty table gives an empty result.
     """
-    grouped = _grouped(docs, text, row_id, size, max_bits, seed)
+    printed = docs.select(F.col(row_id).alias("id"), fingerprint(F.col(text), size, seed).alias("fingerprint"))
+    grouped = _grouped(pinned(printed, "prints"), max_bits)
     return grouped.select(
         F.col("id").alias(row_id), as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
 
 
-def _grouped(
-    docs: DataFrame, text: str, row_id: str, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, seed: int = SEED
-) -> DataFrame:
-    """(id, fingerprint, root, component_id) of every row; root is the least fingerprint of its group."""
-    rows = docs.select(F.col(row_id).alias("id"), fingerprint(F.col(text), size, seed).alias("fingerprint"))
-    rows = pinned(rows, "prints")
+def _grouped(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Stored rows (id, fingerprint) with root, the least fingerprint of the group, and component_id."""
     prints = pinned(rows.groupBy("fingerprint").agg(F.min("id").alias("first_id")), "distinct")
     roots = components(linked_prints(prints.select("fingerprint"), max_bits))
     grouped = prints.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
@@ -190,22 +191,24 @@ def without_copies(docs: DataFrame, text: str = "text", row_id: str = "doc_id")
     Rows without an id are kept, as nothing names them a copy. Rows that repeat an id count as
     copies of each other if they are in one group; the one of the least fingerprint stays, and of
     equal fingerprints the one of the least text. An id may be the least of several groups.
+
+    Documents are stored once with their fingerprint, so that no text is hashed again.
     """
-    found = pinned(_grouped(docs.select(row_id, text), text, row_id), "groups")
-    printed = "_print"
-    while printed in docs.columns:
-        printed += "_"
+    printed = fresh("_print", docs.columns)
+    stored = pinned(docs.withColumn(printed, fingerprint(F.col(text))), "printed")
+    rows = stored.select(F.col(row_id).alias("id"), F.col(printed).alias("fingerprint"))
+    found = pinned(_grouped(rows), "groups")
     least = found.where(F.col("id") == F.col("component_id")).groupBy("id", "root")
     first = least.agg(F.min("fingerprint").alias(printed), F.count(F.lit(1)).alias("rows"))
     first = pinned(first.select(F.col("id").alias(row_id), printed, "rows"), "kept")
-    unnamed = docs.where(F.col(row_id).isNull())
+    unnamed = stored.where(F.col(row_id).isNull())
     # Whole documents meet a list of ids as long as the table: shuffled alike at every size.
     key = [row_id, printed]
-    marked = docs.where(F.col(row_id).isNotNull()).withColumn(printed, fingerprint(F.col(text)))
+    marked = stored.where(F.col(row_id).isNotNull())
     kept = marked.join(first.select(*key).hint("merge"), key, "left_semi")
     again = first.where("rows > 1").select(*key)
     if not again.isEmpty():
         whole = F.min_by(F.struct(*docs.columns), F.struct(text)).alias("whole")
         repeated = kept.join(again, key, "left_semi").groupBy(*key).agg(whole).select("whole.*")
         kept = kept.join(again, key, "left_anti").select(*docs.columns).unionByName(repeated)
-    return kept.select(*docs.columns).unionByName(unnamed)
+    return kept.select(*docs.columns).unionByName(unnamed.select(*docs.columns))

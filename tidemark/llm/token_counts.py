@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.byte_pieces import REMEMBERED, BytePieces, byte_pieces, slices
+from tidemark.llm.byte_pieces import REMEMBERED, BytePieces, slices
+from tidemark.llm.common import worker_cache
 from tidemark.llm.packing import tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -42,14 +43,12 @@ class TokenCounter:
             return sum(map(self.sizes.__getitem__, cut))
 
 
-_COUNTERS: dict[str, TokenCounter] = {}
-
-
 def _counter(path: str) -> TokenCounter:
     """One per worker process, so that merged pieces outlive a task."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = TokenCounter(byte_pieces(path))
-    return _COUNTERS[path]
+    kept = worker_cache("token counts")
+    if path not in kept:
+        kept[path] = TokenCounter(BytePieces(path))
+    return kept[path]
 
 
 def token_count(text: Column, path: str | None = None) -> Column:

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import give_back, worker_cache
+
 # The training sample: at most so many documents of either label, the least by a hash of the id.
 TOXIC_DOCS, CLEAN_DOCS = 3000, 5000
 # Lexicon voters, documents that a lexicon entry must occur in, and lengths of word beginnings.
@@ -235,6 +237,7 @@ def score(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_cache("toxicity")
         voters = Voters(model.lexicon)
         plain, steps = model.weights[: voters.width], model.weights[voters.width :]
         reach = np.concatenate([[0.0], np.cumsum(steps)])
@@ -244,6 +247,8 @@ def score(text: Column, model: Model) -> Column:
                 fired, listed = voters.fired(body)
                 odds[row] = model.bias + plain[fired].sum() + reach[min(listed, STEPS)]
             yield pd.Series(1 / (1 + np.exp(-np.clip(odds, -700, 700))))
+        del voters
+        give_back()
 
     return of(text)
 
