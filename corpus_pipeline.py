@@ -1,11 +1,15 @@
-"""The corpus pipeline: filters, near-duplicates, mixing and packing, one stage after the other."""
+"""The corpus pipeline: filters, near-duplicates, mixing and packing, one stage after the other.
+
+The stages share their Python workers. Each sends few texts at a time to them (a setting of the
+session that stays), and a worker drops the model of one stage when the next one uses it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import language, mixing, packing, simhash, toxicity
-from tidemark.llm.common import split_of, table
+from tidemark.llm.common import few_rows_a_batch, split_of, table
 from tidemark.session import pinned
 
 
@@ -15,6 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from the labels of the given tables, leaving out the held-out fifth. Null and
     empty texts trigger nothing and stay; without labels every document stays.
     """
+    few_rows_a_batch(spark)
     labels = table(spark, sf_dir, "labels")
     return toxicity.clean(docs, toxicity.fit(docs, labels, split_of("doc_id", 5) != 0))
 
@@ -25,6 +30,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Languages are learned from the documents given, leaving out the held-out quarter. Texts that
     are null or have no letter go, and texts that no language codes better than chance.
     """
+    few_rows_a_batch(spark)
     return language.recognised(docs, language.fit(docs, split_of("doc_id", 4) != 2))
 
 
@@ -33,6 +39,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that repeat an id are one document if they are in one group; rows without an id stay.
     """
+    few_rows_a_batch(spark)
     return simhash.without_copies(docs)
 
 
@@ -47,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document given; repeats are packed as often as they come."""
+    few_rows_a_batch(spark)
     return packing.pack(docs)
 
 
