@@ -6,7 +6,6 @@ import re
 from datetime import date, datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import attribution
 from tidemark.operators.sieve import sieve, sifted

@@ -278,6 +278,7 @@ def test_expire_keeps_what_snapshots_use(spark, store):
     assert len(store.expire(SPEC, keep=2, older_than_hours=-1)) == 2
     left = (Path(store.root) / SPEC.name / "snapshots").iterdir()
     assert sorted(p.name for p in left if p.name.isdigit()) == ["3", "4"]
+    assert not list((Path(store.root) / SPEC.name / "claims").iterdir())
     assert stored(store)["US"]["streams"] == 4
 
 

@@ -263,6 +263,10 @@ class SnapshotStore:
                     self._fs().delete(status.getPath(), False)
                 else:
                     used.update(self._snapshot(spec, int(name))["periods"].values())
+        claims = self._path(spec.name, "claims")
+        for status in self._fs().listStatus(claims) if self._fs().exists(claims) else []:
+            if int(status.getPath().getName()) <= newest:  # published: nobody claims it any more
+                self._fs().delete(status.getPath(), True)
         gone = []
         for status in self._fs().listStatus(data):
             token = status.getPath().getName().removeprefix("write=")
