@@ -150,7 +150,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.sides = [FirstIds(path_a), SecondIds(path_b)]
         self.lengths = []
-        shown: list[str] = []
+        shown: list[bytes] = []
         self.starts = []
         for side, last in zip(self.sides, "|;"):
             top = max(side.bytes_of) + 1
@@ -160,8 +160,9 @@ class Aligner:
             self.lengths.append(lengths)
             self.starts.append(len(shown))
             for token in range(top):
-                shown += [f"{token},", f"{token}{last}"]
-        self.shown = shown
+                shown += [f"{token},".encode(), f"{token}{last}".encode()]
+        # A row of bytes for each way to write an id, short ones filled up with zeros.
+        self.shown = np.array(shown, dtype=np.bytes_).view(np.uint8).reshape(len(shown), -1)
 
     def align(self, text: str | None) -> tuple[int, int, np.ndarray, str]:
         """(tokens of A, tokens of B, id pairs of the links, sha256 of the groups) of a whole text.
@@ -171,7 +172,7 @@ class Aligner:
         nothing = (0, 0, np.zeros(0, dtype=np.int64), "")
         if not text:
             return nothing
-        digest, counts, links, between = hashlib.sha256(), [0, 0], [], ""
+        digest, counts, links, between = hashlib.sha256(), [0, 0], [], b""
         for part in slices(" " + text):
             ids = [side(part) for side in self.sides]
             # The tokens of A spell any text, as it has one for every byte.
@@ -180,14 +181,14 @@ class Aligner:
             ends = [np.cumsum(self.lengths[side][ids[side]]) for side in (0, 1)]
             groups = group_tokens(*ends)
             spelled = self._spelled(ids, groups)
-            digest.update((between + spelled).encode())
-            between = ";"
+            digest.update(between + spelled)
+            between = b";"
             pairs = [ids[side][groups.links[side]] for side in (0, 1)]
             links.append(pairs[0] << PAIR_SHIFT | pairs[1])
             counts = [counts[side] + len(ids[side]) for side in (0, 1)]
         return counts[0], counts[1], np.concatenate(links), digest.hexdigest()
 
-    def _spelled(self, ids: list[np.ndarray], groups: Groups) -> str:
+    def _spelled(self, ids: list[np.ndarray], groups: Groups) -> bytes:
         """``a1,a2|b1;a3|b2,b3``: each group's ids of A, then of B."""
         n = len(groups.links[0])
         of = [groups.of_a, groups.of_b]
@@ -200,7 +201,8 @@ class Aligner:
             code = self.starts[side] + 2 * ids[side]
             code[groups.links[side]] += 1
             codes[np.arange(len(code)) + shift[side][of[side]]] = code
-        return "".join(map(self.shown.__getitem__, codes.tolist()))[:-1]
+        written = self.shown[codes].ravel()
+        return written[written != 0].tobytes()[:-1]
 
 
 def _aligner(path_a: str, path_b: str) -> Aligner:
