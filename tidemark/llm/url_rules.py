@@ -66,10 +66,10 @@ def _canonical(rules: DataFrame) -> DataFrame:
     # max: block is later in the alphabet than allow, and wins if a rule is given both ways.
     single = named.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     keyed = pinned(single.withColumn("domain", reversed_host(F.col("host"))), "rules")
-    prefixes = keyed.select(
-        "domain",
-        F.col("path").alias("inner"),
-        F.explode(F.transform(F.sequence(F.lit(0), F.length("path")), lambda n: F.col("path").substr(F.lit(1), n))).alias("path"),
+    # Only prefixes as long as some rule of the domain can be a rule.
+    sizes = keyed.select("domain", F.length("path").alias("n")).distinct()
+    prefixes = keyed.join(sizes, "domain").where(F.col("n") <= F.length("path")).select(
+        "domain", F.col("path").alias("inner"), F.substring("path", F.lit(1), F.col("n")).alias("path")
     )
     opened = prefixes.join(keyed, ["domain", "path"]).select(
         "domain",
@@ -99,6 +99,9 @@ def judge(
     is carried on, and at a point the innermost rule of the stack that still covers it is the
     answer. A domain with many points is swept in shares, each with all rules of the domain.
 
+    Hosts and paths of any length are compared whole; the work for a host grows with its length
+    and the labels of the deepest rule.
+
     Null urls and those without ``://`` have an empty host and path, which no rule fits; such
     pages, and those no rule fits, get ``default``. Repeated rows each get a row, rows without an
     id too. Other columns are ignored. Without rules every page gets the default; an empty table
@@ -113,8 +116,11 @@ def judge(
     rows = pinned(split, "urls")
     starts = pinned(_canonical(rules), "stacks")
     labels = F.split(reversed_host(F.col("host")), r"\.")
+    # No domain deeper than the deepest rule can have one, however many labels a host has.
+    deepest = starts.agg(F.max(F.size(F.split("domain", r"\.")))).first()[0] or 1
     above = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat_ws(".", F.slice(labels, F.lit(1), n))
+        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(deepest))),
+        lambda n: F.concat_ws(".", F.slice(labels, F.lit(1), n)),
     )
     points = rows.select("row", "path", F.explode(above).alias("domain"))
     points = points.join(starts.select("domain").distinct(), "domain", "left_semi")
