@@ -20,6 +20,8 @@ LEAST_SHARED = 100
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # A read joins records at most this far apart, up to this many bytes at a time.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+# Archive bytes that a task reads, about.
+TASK_BYTES = 64 << 20
 
 INDEX = "row_id {id}, file string, offset long, length long, url string, payload_digest string, record_type string"
 RECORD = "row_id {id}, url string, payload_bytes long, payload_digest string, record_type string, refers_to {id}, payload binary"
@@ -178,7 +180,10 @@ def read(archive: Archive, selected: DataFrame | None = None, keep_payload: bool
     entries = archive.index if selected is None else selected
     kind = archive.index.schema["row_id"].dataType
     names = entries.select("row_id", "file", "offset", "length")
-    ordered = names.repartition("file", F.floor(F.col("offset") / F.lit(4 * READ_BYTES))).sortWithinPartitions("file", "offset")
+    # As many tasks as the archive's bytes ask for: rows of the index say little about them.
+    total = names.agg(F.sum("length")).first()[0] or 0
+    place = F.floor(F.col("offset") / F.lit(4 * READ_BYTES))
+    ordered = names.repartition(1 + total // TASK_BYTES, "file", place).sortWithinPartitions("file", "offset")
     folder = archive.folder
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
