@@ -55,6 +55,16 @@ def test_rules_match_brute_force(spark, sweep_rows):
     )
 
 
+def test_hosts_and_paths_of_any_length_are_judged(spark):
+    deep, long = "a." * 20_000 + "org", "/en/" + "1/" * 50_000
+    rules = [*url_rules.RULES, url_rules.Rule("x.y.example.org", long, "block")]
+    pages = spark.createDataFrame(
+        [(1, f"http://{deep}/x", ""), (2, f"http://x.y.example.org{long}tail", ""), (3, f"http://example.org{long}", "")], PAGES
+    )
+    found = {r.page_id: (r.rule, r.verdict) for r in url_rules.judge(pages, url_rules.rule_table(spark, rules)).collect()}
+    assert found == {1: ("org/", "allow"), 2: (f"x.y.example.org{long}", "block"), 3: ("example.org/en/1", "block")}
+
+
 def test_rules_of_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://org/", None)], PAGES)
     none = url_rules.rule_table(spark, [])
@@ -338,6 +348,33 @@ def test_footrule_of_the_inverted_file():
         assert files.footrule(query).tolist() == [plain(query.tolist(), o.tolist()) for o in orders]
 
 
+def test_copies_neither_crowd_out_nor_depend_on_arrival(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 200)
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(900, 12))
+    vectors[rng.permutation(900)[:300]] = vectors[7]
+    rows = [(int(i) * 5, v.tolist(), 0) for i, v in enumerate(vectors)]
+    answers = []
+    for order in (rows, rows[::-1], [rows[i] for i in rng.permutation(900)]):
+        made = spark.createDataFrame(order, VECTORS).repartition(5)
+        answers.append(sorted(map(tuple, ann.search(made, F.col("vec_id") % 20 == 0, rerank=60).collect())))
+    assert answers[0] == answers[1] == answers[2]
+    found, shares = {}, []
+    for query, _, near, _ in answers[0]:
+        found.setdefault(query, set()).add(near)
+    ids = np.array([i for i, _, _ in rows])
+    for i, vector, _ in rows:
+        if i % 20 == 0:
+            scores = np.where(ids == i, -np.inf, vectors @ vector)
+            shares.append(len(found[i] & set(ids[np.lexsort((ids, -scores.round(9)))[:20]].tolist())) / 20)
+    assert np.mean(shares) >= 0.9 and np.mean(sorted(shares)[: len(shares) // 10]) >= 0.6
+
+
+def test_nothing_to_search(spark):
+    none = spark.createDataFrame([], VECTORS)
+    assert ann.search(none, F.col("vec_id") % 20 == 0).collect() == []
+
+
 def test_fewer_candidates_than_asked(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0], 0), (20, [1.0, 0.0], 0), (3, [0.5, 1.0], 0)], VECTORS)
     found = ann.search(few, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.vectors import matrix, sample, usable
@@ -72,10 +72,10 @@ class InvertedFile:
         (k - a) + (k - b) - |a - b|, that is 2 (k - max(a, b)).
         """
         k = self.posted
-        saved = np.zeros(self.rows, dtype=np.int32)
+        saved = np.zeros(self.rows, dtype=np.int16 if k * (k + 1) < 1 << 15 else np.int32)
         for place, pivot in enumerate(order):
             part = slice(self.start[pivot], self.start[pivot + 1])
-            saved[self.row[part]] += 2 * (k - np.maximum(self.place[part], place))
+            saved[self.row[part]] += 2 * (k - np.maximum(self.place[part], place)).astype(saved.dtype)
         return k * (k + 1) - saved
 
 
@@ -96,10 +96,13 @@ def search(
     the query's own. Pivots come from a bounded sample; every vector is indexed by the order of
     its ``posted`` nearest pivots. The index lies in parts by a hash of the id, each with its
     inverted file. A query is sent to every part, in blocks; there all vectors posted under its
-    pivots are ranked by the footrule distance of the orders, and the best ``rerank`` plus
-    ``rerank_share`` of all vectors, shared out over the parts, are compared by the exact inner
-    product in double precision. A part returns its nearest, and they are merged. Memory is
-    bounded by a part and a block, and parts differ only by chance, however many vectors are alike.
+    pivots are ranked by the footrule distance of the orders, ties by the least id, and the best
+    ``rerank`` plus ``rerank_share`` of all vectors, shared out over the parts, are compared by the
+    exact inner product in double precision. A part returns its nearest, and they are merged.
+
+    Equal vectors are one entry of the index, with as many of their least ids as an answer can hold
+    (ties go to them), so copies neither crowd others out nor cost a comparison each, and an answer
+    does not depend on the order in which rows arrive. Memory is bounded by a part and a block.
 
     Nearest first, ties to the smaller id; all candidates where there are fewer. Null, zero and
     empty vectors, vectors with null or non-finite components, and rows without an id take no part.
@@ -112,11 +115,12 @@ def search(
     spark = rows.sparkSession
     stored = pinned(found, "vectors")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    totals = stored.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest")).first()
+    kinds = pinned(_distinct(stored, nearest + 1), "distinct")
+    totals = kinds.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest")).first()
     if not totals.n:
         empty = spark.createDataFrame([], shape)
         return _ranked(empty, nearest, row_id)
-    chosen = choose_pivots(sample(stored, size, SAMPLE), pivots)
+    chosen = choose_pivots(sample(kinds, size, SAMPLE), pivots)
     largest, n = float(totals.largest), totals.n
     shards = -(-n // SHARD_ROWS)
     share = -(-int(rerank + rerank_share * n) // shards)
@@ -128,7 +132,7 @@ def search(
                 listed = pa.FixedSizeListArray.from_arrays(pa.array(orders.ravel(), pa.int16()), orders.shape[1])
                 yield batch.append_column("pivots", listed.cast(pa.list_(pa.int16())))
 
-    index = stored.mapInArrow(indexed, "id long, vector array<double>, pivots array<short>")
+    index = kinds.mapInArrow(indexed, "id long, vector array<double>, ids array<long>, pivots array<short>")
     index = index.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
     questions = pinned(stored.join(asked, "id", "left_semi"), "queries")
     groups = max(1, -(-questions.count() // QUERY_ROWS))
@@ -140,25 +144,32 @@ def search(
     def nearest_in(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, scores, names = [], [], []
         if left.num_rows and right.num_rows:
-            own = left.column("id").to_numpy()
+            # In the order of ids, so that a stable sort by distance leaves ties to the least.
+            left = left.sort_by("id")
             vectors = matrix(left.column("vector"), size)
-            orders = left.column("pivots").combine_chunks().flatten().to_numpy().reshape(len(own), -1)
+            copies = left.column("ids").combine_chunks()
+            flat, starts = copies.flatten().to_numpy(), copies.offsets.to_numpy() - copies.offsets[0].as_py()
+            orders = left.column("pivots").combine_chunks().flatten().to_numpy().reshape(len(vectors), -1)
             files = InvertedFile(orders, len(chosen))
             asking = matrix(right.column("vector"), size)
             for name, query, order in zip(
                 right.column("id").to_pylist(), asking, query_order(asking, chosen, posted)
             ):
-                distance = files.footrule(order)
-                if share < len(own):
-                    few = np.argpartition(distance, share - 1)[:share]
-                else:
-                    few = np.arange(len(own))
-                few = few[own[few] != name]
+                few = np.argsort(files.footrule(order), kind="stable")[:share]
                 score = vectors[few] @ query
-                best = np.lexsort((own[few], -score))[:nearest] if len(few) <= nearest else _best(score, own[few], nearest)
+                # One more than asked for: one may be the query's own.
+                least = np.partition(score, -nearest - 1)[-nearest - 1] if len(few) > nearest + 1 else -np.inf
+                close = score >= least
+                few, score = few[close], score[close]
+                sizes = starts[few + 1] - starts[few]
+                own = flat[np.repeat(starts[few] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+                each = np.repeat(score, sizes)
+                others = own != name
+                own, each = own[others], each[others]
+                best = np.lexsort((own, -each))[:nearest]
                 names.append(name)
-                ids.append(own[few][best])
-                scores.append(score[best])
+                ids.append(own[best])
+                scores.append(each[best])
         return pa.table(
             {
                 "query_id": pa.array(names, pa.int64()),
@@ -171,11 +182,16 @@ def search(
     return _ranked(cells.applyInArrow(nearest_in, shape), nearest, row_id)
 
 
-def _best(score: np.ndarray, ids: np.ndarray, nearest: int) -> np.ndarray:
-    """Places of the largest scores, ties to the smaller id."""
-    least = np.partition(score, len(score) - nearest)[len(score) - nearest]
-    few = np.flatnonzero(score >= least)
-    return few[np.lexsort((ids[few], -score[few]))[:nearest]]
+def _distinct(stored: DataFrame, most: int) -> DataFrame:
+    """(id, vector, ids): different vectors with their ``most`` least ids, the first as id.
+
+    Ids are ranked before they are moved, so a vector that very many rows share has a few rows a
+    task.
+    """
+    rank = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
+    firsts = stored.withColumn("rank", rank).where(F.col("rank") <= most)
+    ids = F.sort_array(F.collect_list("id")).alias("ids")
+    return firsts.groupBy("vector").agg(F.min("id").alias("id"), ids).select("id", "vector", "ids")
 
 
 def _ranked(cells: DataFrame, nearest: int, row_id: str) -> DataFrame:
