@@ -42,6 +42,8 @@ RETENTION = LINKS["retention"]
 RANGE = date(1997, 3, 10), date(1997, 6, 7)
 PAGE_SIZE = 25
 SYNCED = datetime(2001, 7, 27, 6, 0)
+# Landed text repeats its field names; the fastest level already leaves little of them.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def _month_number(day: Column) -> Column:
@@ -53,21 +55,35 @@ def export_name(file: str = "file") -> Column:
     return F.replace(F.regexp_extract(file, "window=([0-9]+-[0-9]+)", 1), F.lit("-"), F.lit("")).cast("int")
 
 
-def land(rows: DataFrame, name: str, by: tuple[str, ...] = ("window",)) -> str:
-    """Write (value, ship_month) as text files, a folder per month named by its first day."""
+def land(rows: DataFrame, name: str, value: Column, by: tuple[str, ...] = ("window",)) -> str:
+    """Write lines as compressed text files, a folder per month named by its first day.
+
+    ``rows`` have ship_month and what ``value`` reads: the columns move, the text is made where
+    it is written.
+    """
     path = scratch_dir(rows.sparkSession, name)
     month = F.col("ship_month").cast("string")
     window = F.concat_ws("-", F.substring(month, 1, 4), F.substring(month, 5, 2), F.lit("01"))
-    sorted_in = rows.withColumn("window", window).select("value", *by)
-    sorted_in.hint("rebalance", *by).write.partitionBy(*by).text(path)
+    sorted_in = rows.withColumn("window", window).hint("rebalance", *by)
+    sorted_in.select(value.alias("value"), *by).write.partitionBy(*by).options(**PACKED).text(path)
     return path
 
 
-def breakdown_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Every order line as one breakdown export row, with its tags for the faulty variants."""
-    rows = views.lines(spark, sf, "country")
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows for files of their own: making a file costs more than its rows, so all cores share them."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, *by)
+
+
+def dated_lines(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
+    """Every order line with the month it is landed in."""
+    rows = views.lines(spark, sf, *extra)
+    return rows.withColumn("ship_month", _month_number(F.col("report_date")))
+
+
+def breakdown_fields() -> Column:
+    """An order line with its country as the fields of a breakdown export row."""
     version = F.when(F.col("line_number") == 7, "1.1").otherwise("1.0")
-    fields = F.struct(
+    return F.struct(
         F.lit("demo").alias("provider"),
         F.concat_ws("-", "order_key", "line_number").alias("account_id"),
         F.col("report_date").cast("string").alias("report_date"),
@@ -79,24 +95,17 @@ def breakdown_rows(spark: SparkSession, sf: str) -> DataFrame:
         "spend_total",
         F.lit("kept in the raw text only").alias("remark"),
     )
-    return rows.select(
-        fields.alias("fields"),
-        _month_number(F.col("report_date")).alias("ship_month"),
-        "line_number",
-        "engagement_context",
-    )
 
 
 def land_breakdown(
     spark: SparkSession, sf: str, country: Column | None = None, by: tuple[str, ...] = ("window",)
 ) -> str:
     """Breakdown exports; ``country`` replaces the country code."""
-    rows = breakdown_rows(spark, sf)
-    fields = F.col("fields")
+    fields = breakdown_fields()
     if country is not None:
         fields = fields.withField("country_code", country)
-    entity = F.col("fields.campaign_id").alias("entity")
-    return land(rows.select(F.to_json(fields).alias("value"), "ship_month", entity), "breakdown", by)
+    rows = dated_lines(spark, sf, "country").withColumn("entity", F.col("campaign_id").cast("string"))
+    return land(rows, "breakdown", F.to_json(fields), by)
 
 
 _ROWS = sql.with_views(sql.LINES)
@@ -149,8 +158,7 @@ GROUP BY ALL"""
 
 
 def ndjson_decode(spark: SparkSession, sf: str) -> DataFrame:
-    rows = breakdown_rows(spark, sf)
-    text = F.to_json("fields")
+    text = F.to_json(breakdown_fields())
     cut = F.col("line_number") == 7
     mistyped = (F.col("line_number") == 3) & (F.col("engagement_context") == "other")
     value = (
@@ -159,7 +167,7 @@ def ndjson_decode(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("line_number") == 5, F.concat(text, F.lit("\n\n   ")))
         .otherwise(text)
     )
-    path = land(rows.select(value.alias("value"), "ship_month"), "broken")
+    path = land(dated_lines(spark, sf, "country"), "broken", value)
     return quality.fault_report(decode_rows(read_lines(spark, path), BREAKDOWN))
 
 
@@ -184,8 +192,7 @@ FROM lines WHERE month(report_date) = 6 GROUP BY export"""
 
 
 def key_validation(spark: SparkSession, sf: str) -> DataFrame:
-    rows = breakdown_rows(spark, sf)
-    fields = F.col("fields")
+    fields = breakdown_fields()
     no_country = F.when(F.col("line_number") != 6, fields["country_code"])
     odd_day = (F.col("line_number") == 5) & (F.col("engagement_context") == "catalog")
     day = F.when(odd_day, "soon").otherwise(fields["report_date"])
@@ -193,8 +200,8 @@ def key_validation(spark: SparkSession, sf: str) -> DataFrame:
     numeric = (F.col("line_number") == 4) & (F.col("engagement_context") == "playlist")
     text = F.to_json(fields)
     unquoted = F.regexp_replace(text, r'"campaign_id":"(\d+)"', r'"campaign_id":$1')
-    value = F.when(numeric, unquoted).otherwise(text).alias("value")
-    path = land(rows.select(value, "ship_month"), "keys")
+    value = F.when(numeric, unquoted).otherwise(text)
+    path = land(dated_lines(spark, sf, "country"), "keys", value)
     decoded = pinned(decode_rows(read_lines(spark, path), BREAKDOWN), "decoded")
     good, aside = split_valid(decoded)
     bad = aside.select(F.explode("faults").alias("fault")).groupBy("fault").agg(
@@ -218,7 +225,7 @@ def _checked_specs() -> list[TableSpec]:
 
 def key_validation_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Line n of an order lacks the nth required field, for every table of both families."""
-    lines = views.lines(spark, sf).select("line_number", _month_number(F.col("report_date")).alias("ship_month"))
+    lines = dated_lines(spark, sf)
     found = None
     for spec in _checked_specs():
         kinds = {f.name: f.dataType.typeName() for f in spec.fields}
@@ -228,8 +235,8 @@ def key_validation_tables(spark: SparkSession, sf: str) -> DataFrame:
             for n, name in enumerate(spec.required)
         ]
         version = [F.lit(spec.version).alias("schema_version")] if spec.version else []
-        text = F.to_json(F.struct(*fields, *version)).alias("value")
-        decoded = decode_rows(read_lines(spark, land(lines.select(text, "ship_month"), spec.name)), spec)
+        text = F.to_json(F.struct(*fields, *version))
+        decoded = decode_rows(read_lines(spark, land(lines, spec.name, text)), spec)
         fault = F.explode(F.when(F.size("faults") == 0, F.array(F.lit("ok"))).otherwise(F.col("faults")))
         counted = decoded.select(F.lit(spec.name).alias("table_name"), fault.alias("fault"))
         found = counted if found is None else found.unionByName(counted)
@@ -289,7 +296,10 @@ def _landed_run(
         whole = line(specs["breakdown"], bad).alias("value")
         asked.select(whole, "batch", "window").write.partitionBy("batch", "window").text(f"{landing}/breakdown")
     own = F.when(digit != 5, line(specs[kind], digit == 3)).otherwise("").alias("value")
-    asked.select(own, "batch", "entity", "window").write.partitionBy("batch", "entity", "window").text(f"{landing}/{kind}")
+    # A campaign is its own batch, which needs no folder.
+    folders = ["batch", "entity", "window"] if links else ["entity", "window"]
+    own_files = spread(asked.select(own, *folders), *folders[:-1])
+    own_files.write.partitionBy(*folders).text(f"{landing}/{kind}")
     request = [
         F.lit(kind).alias("kind"),
         batch.cast("string").alias("batch"),
@@ -351,7 +361,7 @@ SELECT 'campaigns', CAST(s_suppkey AS VARCHAR), s_suppkey % 10 NOT IN (3, 7, 9)
 
 def reject_bad_batches(spark: SparkSession, sf: str) -> DataFrame:
     lost = (F.col("line_number") == 6) & (F.col("ship_month") % 3 == 0)
-    country = F.when(~lost, F.col("fields")["country_code"])
+    country = F.when(~lost, F.col("country_code"))
     store = SnapshotStore(spark, scratch_dir(spark, "rejecting"))
     path = land_breakdown(spark, sf, country)
     jobs.load_export(store, BREAKDOWN, path, SYNCED, on_invalid="reject", export=export_name())
@@ -430,7 +440,6 @@ FROM lines"""
 
 
 def project_engagement_daily(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.lines(spark, sf, "country", "part")
     fields = F.struct(
         F.lit("demo").alias("provider"),
         F.concat_ws("-", "order_key", "line_number").alias("account_id"),
@@ -444,8 +453,7 @@ def project_engagement_daily(spark: SparkSession, sf: str) -> DataFrame:
         "playlist_position",
         "streams",
     )
-    month = _month_number(F.col("report_date")).alias("ship_month")
-    path = land(rows.select(F.to_json(fields).alias("value"), month), "engagement")
+    path = land(dated_lines(spark, sf, "country", "part"), "engagement", F.to_json(fields))
     return read_export(spark, path, ENGAGEMENT).select(
         "account_id", "report_date", "campaign_id", "engagement_context", "country_code",
         "engaged_spotify_track_id", "engaged_track_isrc", "engaged_track_name",
@@ -489,7 +497,7 @@ def land_listing(
     data = F.struct(F.col("items")["item"].alias("items"), pagination.alias("pagination"))
     path = path or scratch_dir(spark, "pages")
     envelope = grouped.select(F.to_json(F.struct(data.alias("data"))).alias("value"), "page")
-    envelope.hint("rebalance", "page").write.partitionBy("page").text(path)
+    spread(envelope, "page").write.partitionBy("page").text(path)
     return path
 
 
@@ -649,8 +657,8 @@ def retention_wide(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(RETENTION.version).alias("schema_version"),
         *[F.col(name) for name in cohorts.columns],
     )
-    month = _month_number(F.col("cohort_date")).alias("ship_month")
-    path = land(cohorts.select(F.to_json(fields).alias("value"), month), "retention")
+    dated = cohorts.withColumn("ship_month", _month_number(F.col("cohort_date")))
+    path = land(dated, "retention", F.to_json(fields))
     return loaded(spark, RETENTION, path).select(*cohorts.columns)
 
 
@@ -722,14 +730,12 @@ def _link_fields(*more: Column) -> Column:
 
 
 def link_breakdown_load(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.lines(spark, sf, "country")
     fields = _link_fields(
         F.col("country_code"),
         F.col("line_number").alias("views"),
         F.round(F.col("line_number") / 8, 4).alias("ctr_lp"),
     )
-    month = _month_number(F.col("report_date")).alias("ship_month")
-    path = land(rows.select(F.to_json(fields).alias("value"), month), "link-breakdown")
+    path = land(dated_lines(spark, sf, "country"), "link-breakdown", F.to_json(fields))
     return loaded(spark, LINKS["breakdown"], path).groupBy("link_id").agg(
         F.count_distinct("account_id", "report_date", "country_code").alias("n_keys"),
         F.count("views").alias("with_views"),
@@ -747,7 +753,6 @@ FROM keys GROUP BY track_id"""
 
 
 def _engagement_load(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
-    rows = views.lines(spark, sf, "country", "part")
     fields = _link_fields(
         F.col("campaign_id").cast("string").alias("campaign_id"),
         F.col("country_code"),
@@ -757,8 +762,7 @@ def _engagement_load(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame
         F.col("engaged_track_name"),
         F.col("playlist_position"),
     )
-    month = _month_number(F.col("report_date")).alias("ship_month")
-    path = land(rows.select(F.to_json(fields).alias("value"), month), spec.name)
+    path = land(dated_lines(spark, sf, "country", "part"), spec.name, F.to_json(fields))
     return loaded(spark, spec, path).groupBy("engagement_context", "engaged_track_isrc").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("playlist_position").alias("placed"),
