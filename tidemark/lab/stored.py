@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import jobs
 from tidemark.lab import analyses, sql, views
-from tidemark.lab.ingest import BREAKDOWN, ENGAGEMENT, SYNCED, stored_rows
+from tidemark.lab.ingest import BREAKDOWN, ENGAGEMENT, SYNCED, spread, stored_rows
 from tidemark.operators import attribution, quality, rollups
 from tidemark.operators.upsert import upsert, write_batch
 from tidemark.refresh import engagement_sums, refresh, spend_sums
@@ -208,7 +208,8 @@ def envelope_refusal(spark: SparkSession, sf: str) -> DataFrame:
     item = F.struct(*[v.alias(n) for n, v in (known | {"linkId": key.cast("string")}).items()])
     envelope = F.when(key % 5 == 0, F.lit('{"meta": {}}')).otherwise(F.to_json(F.struct(item.alias("data"))))
     path = scratch_dir(spark, "envelopes")
-    views.table(spark, sf, "supplier").select(envelope.alias("value"), key).write.partitionBy("s_suppkey").text(path)
+    landed = spread(views.table(spark, sf, "supplier").select(envelope.alias("value"), key), "s_suppkey")
+    landed.write.partitionBy("s_suppkey").text(path)
     return quality.fault_report(read_entity(spark, path, spec))
 
 

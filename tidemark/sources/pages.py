@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import own_offset_date
 from tidemark.schemas import TableSpec
+from tidemark.session import few_listing_tasks
 from tidemark.sources.decode import decode_rows, raw_field
 
 PAGINATION = T.StructType(
@@ -39,7 +40,8 @@ class EntityNotFound(LookupError):
 
 def _envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     reader = spark.read.schema(ENVELOPE).option("multiLine", True)
-    return reader.json(path).select("data", F.col("_metadata.file_path").alias("file"))
+    with few_listing_tasks(spark):
+        return reader.json(path).select("data", F.col("_metadata.file_path").alias("file"))
 
 
 def read_pages(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
@@ -66,7 +68,8 @@ def read_entity(spark: SparkSession, path: str | list[str], spec: TableSpec) ->
     A file whose ``data`` is missing or null gives one faulty row, as in a listing.
     """
     schema = T.StructType([T.StructField("data", T.VariantType())])
-    landed = spark.read.schema(schema).option("multiLine", True).json(path)
+    with few_listing_tasks(spark):
+        landed = spark.read.schema(schema).option("multiLine", True).json(path)
     items = landed.select(
         F.to_json("data").alias("value"),
         F.col("_metadata.file_path").alias("file"),
