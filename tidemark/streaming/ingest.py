@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.upsert import upsert
 from tidemark.plans.windows import LOOKBACK_DAYS, lookback_range
 from tidemark.schemas import TableSpec
-from tidemark.session import discard, scratch_dir
+from tidemark.session import DENSE, discard, scratch_dir
 from tidemark.sources.decode import decode_rows
 from tidemark.sources.snapshots import SnapshotStore
 
@@ -70,11 +70,11 @@ def stream_exports(
         fresh = on_time(F.col(spec.day), now.date(), days) if spec.day else F.lit(True)
         reason = F.when(F.size("faults") > 0, "faulty").when(~fresh, "late")
         staging = scratch_dir(spark, "micro-batch")
-        decode_rows(numbered, spec).withColumn("reason", reason).write.parquet(staging)
+        decode_rows(numbered, spec).withColumn("reason", reason).write.options(**DENSE).parquet(staging)
         judged = spark.read.parquet(staging)
         aside = judged.where(F.col("reason").isNotNull())
         folder = f"{store.root}/{spec.name}/aside/{name}/batch={batch_id}"
-        aside.write.mode("overwrite").parquet(folder)
+        aside.write.mode("overwrite").options(**DENSE).parquet(folder)
         accepted = judged.where(F.col("reason").isNull()).drop("faults", "reason")
         order = ("landed", "file", "block", "line")
         upsert(store, spec, accepted, now, order, once=(name, batch_id))
