@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -310,6 +311,21 @@ def test_aligned_rows_equal_brute_force_whatever_the_blocks(spark, plainly, monk
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("n_pairs, width", [(0, 2), (1, 2), (65_535, 2), (65_537, 4)])
+def test_links_move_as_bytes_no_wider_than_the_list_of_pairs_asks_for(n_pairs, width):
+    pairs = np.arange(n_pairs, dtype=np.int64) * 3
+    each = [pairs[:5], pairs, pairs[:0], pairs[-1:]]
+    block = alignment._block(7, pa.array(range(4), pa.int64()), [(len(x), len(x), x, "") for x in each])
+    assert [len(x) for x in block.column("links").to_pylist()] == [width * len(x) for x in each]
+    assert block.column("n_links").to_pylist() == [len(x) for x in each]
+    place = np.arange(n_pairs)
+    looked_up = pa.table({"place": place, "count": place + 1, "best": place % 2 == 0})
+    rows = pa.Table.from_batches([block]).drop_columns(["pairs", "times"])
+    found = alignment._totals(rows, looked_up)
+    assert found.column("count_sum").to_pylist() == [int((x // 3 + 1).sum()) for x in each]
+    assert found.column("n_best").to_pylist() == [int((x // 3 % 2 == 0).sum()) for x in each]
+
+
 def test_nothing_to_align(spark):
     assert alignment.align_tokens(documents(spark, [])).collect() == []
     rows = alignment.align_tokens(documents(spark, [(1, None), (2, "▁")])).collect()

@@ -215,7 +215,7 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
 
 ALIGNED = (
     "block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-    "links array<int>, pairs array<long>, times array<long>"
+    "links binary, pairs array<long>, times array<long>"
 )
 
 
@@ -229,7 +229,8 @@ def aligned(
     """Every document aligned by itself, some megabytes of text to a block.
 
     ``links`` points into the block's list of id pairs, which the first row of the block carries as
-    ``pairs`` with ``times``, how many links of the block hold each. ``block`` differs between
+    ``pairs`` with ``times``, how many links of the block hold each. The pointers are bytes, two or
+    four to each as the list asks for, so that Spark moves them as they are. ``block`` differs between
     blocks of one table as long as the table is stored before it is read.
     """
 
@@ -255,14 +256,16 @@ def _block(block: int, row_ids: pa.Array, rows: list[tuple[int, int, np.ndarray,
     n = len(rows)
     links = [row[2] for row in rows]
     pairs, place, times = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in links])])
+    counts = np.array([len(x) for x in links], dtype=np.int64)
+    place = place.astype(np.min_scalar_type(max(len(pairs), 256)).newbyteorder("<"))
+    offsets = pa.array(np.concatenate([[0], np.cumsum(counts * place.itemsize)]), pa.int32())
     once = pa.array(np.arange(n + 1).clip(max=1) * len(pairs), pa.int32())
     only_first = pa.array(np.arange(n) > 0)
 
     def whole_block(values: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(once, pa.array(values, pa.int64()), mask=only_first)
 
-    n_links = pa.array(np.diff(offsets), pa.int64())
+    n_links = pa.array(counts, pa.int64())
     return pa.RecordBatch.from_arrays(
         [
             row_ids,
@@ -272,7 +275,7 @@ def _block(block: int, row_ids: pa.Array, rows: list[tuple[int, int, np.ndarray,
             n_links,  # a group has one token of each side at its end
             n_links,
             pa.array([row[3] for row in rows], pa.string()),
-            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(place, pa.int32())),
+            pa.Array.from_buffers(pa.binary(), n, [None, offsets.buffers()[1], pa.py_buffer(place)]),
             whole_block(pairs),
             whole_block(times),
         ],
@@ -326,9 +329,9 @@ def _totals(rows: pa.Table, looked_up: pa.Table) -> pa.Table:
     places = looked_up.column("place").to_numpy()
     counts[0, places] = looked_up.column("best").to_numpy()
     counts[1, places] = looked_up.column("count").to_numpy()
-    links = rows.column("links").combine_chunks()
+    links = b"".join(rows.column("links").to_pylist())
     ends = np.concatenate([[0], np.cumsum(rows.column("n_links").to_numpy())])
-    flat = links.flatten().to_numpy()
+    flat = np.frombuffer(links, dtype=f"<u{len(links) // ends[-1]}" if links else "<u2")
     sums = []
     for values in counts:
         running = np.concatenate([[0], np.cumsum(values[flat])])
